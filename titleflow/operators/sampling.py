@@ -7,8 +7,9 @@ buckets instead:
 
 1. every row gets a bucket that is monotone in the order key: the leading
    hex digits of an md5 key (uniform for unique keys), or, for a natural
-   key, the interval between approximate quantiles (one aggregate pass;
-   only the bucket bounds reach the driver);
+   key, the interval between quantiles of a bounded key sample (at most
+   ``MAX_BOUND_SAMPLE`` keys reach the driver, as in Spark's own range
+   partitioner);
 2. ``groupBy(bucket).count()`` gives a table with at most ``buckets`` rows
    per group; a running sum over that small table gives each bucket's
    offset;
@@ -75,20 +76,32 @@ def _md5_bucket(order_col: Column, buckets: int) -> Column:
     return F.conv(F.substring(order_col, 1, digits), 16, 10).cast("int")
 
 
-def _quantile_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
-    """Bucket a numeric order key by approximate quantiles.
+# At most this many sampled keys reach the driver to place bucket bounds
+# (the same budget Spark's range partitioner uses for its sample).
+MAX_BOUND_SAMPLE = 1_000_000
+SAMPLES_PER_BUCKET = 20
+
 
-    Only ``buckets - 1`` bounds come back to the driver. The bucket is
-    monotone in the key (the double cast is monotone), so ranges stay
-    ordered even when two large ids round to the same double.
+def _quantile_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
+    """Bucket a numeric order key by sampled quantiles.
+
+    A row count (one cheap job) sizes a Bernoulli sample of about
+    ``SAMPLES_PER_BUCKET`` keys per bucket, capped at ``MAX_BOUND_SAMPLE``;
+    only that sample reaches the driver, where it is sorted and cut into
+    ``buckets`` equal parts. The bucket is monotone in the key (the double
+    cast is monotone), so ranges stay ordered even when two large ids round
+    to the same double; sampling error only makes buckets unequal in size.
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.select(
-        F.percentile_approx(F.col(order_col).cast("double"), probs,
-                            max(10000, 10 * buckets))
-    ).first()[0] if probs else []
-    splits = sorted({float(b) for b in (bounds or []) if b is not None})
-    splits = [-math.inf] + splits + [math.inf]
+    n = df.count()
+    buckets = max(1, min(buckets, n // SAMPLES_PER_BUCKET or 1))
+    target = min(MAX_BOUND_SAMPLE, SAMPLES_PER_BUCKET * buckets)
+    frac = min(1.0, target / max(n, 1))
+    keys = df.select(F.col(order_col).cast("double").alias("k")).where(F.col("k").isNotNull())
+    if frac < 1.0:
+        keys = keys.sample(withReplacement=False, fraction=frac, seed=17)
+    sample = sorted(r.k for r in keys.collect())
+    bounds = {sample[(len(sample) * i) // buckets] for i in range(1, buckets)} if sample else set()
+    splits = [-math.inf] + sorted(bounds) + [math.inf]
     tmp = "__tf_key_double"
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=_BUCKET,
                      handleInvalid="keep").transform(

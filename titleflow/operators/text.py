@@ -42,17 +42,50 @@ def token_blocklist_table(stop: DataFrame, punct: DataFrame) -> DataFrame:
     return a.union(b).distinct()
 
 
+def explode_values(df: DataFrame, array_col: str, out: str) -> DataFrame:
+    """One row per array element, as ``explode`` - written as
+    ``explode_outer`` plus a NULL filter so that the optimizer does not
+    infer a ``size(array) > 0`` filter below a repartition, which would
+    evaluate a tokeniser expression a second time."""
+    return (df.select(F.explode_outer(F.col(array_col)).alias(out))
+            .where(F.col(out).isNotNull()))
+
+
 def _explode_tokens(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     """(key, pos, token) rows; a title without tokens keeps one row with
     NULL pos so that it survives the regroup."""
     return df.select(key, F.posexplode_outer(tokens).alias(_POS, _TOK))
 
 
-def _regroup(exploded: DataFrame, key: str, value: Column, out: str) -> DataFrame:
-    """Collect ``value`` per key in position order."""
+def _regroup(exploded: DataFrame, key: str, value: Column, out: str,
+             carry: DataFrame | None = None) -> DataFrame:
+    """Collect ``value`` per key in position order.
+
+    ``carry`` (the input table) brings every title back, also one whose
+    tokens were all dropped, together with its other columns. It joins the
+    regroup as one extra row per title (a UNION ALL into the same
+    aggregation), so the other columns travel once per title - never once
+    per token, and without a join back to the input.
+    """
     item = F.when(F.col(_POS).isNotNull(), F.struct(F.col(_POS).alias("p"), value.alias("v")))
-    agg = exploded.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("__tf_items"))
-    return agg.select(key, F.transform("__tf_items", lambda s: s["v"]).alias(out))
+    items = exploded.select(key, item.alias("__tf_item"))
+    extra = [c for c in (carry.columns if carry is not None else []) if c != key]
+    if carry is not None:
+        item_type = items.schema["__tf_item"].dataType
+        if extra:
+            packed = carry.select(key, F.struct(*extra).alias("__tf_carry"))
+            carry_type = packed.schema["__tf_carry"].dataType
+            items = items.withColumn("__tf_carry", F.lit(None).cast(carry_type))
+            packed = packed.select(key, F.lit(None).cast(item_type).alias("__tf_item"), "__tf_carry")
+        else:
+            packed = carry.select(key, F.lit(None).cast(item_type).alias("__tf_item"))
+        items = items.unionByName(packed)
+    aggs = [F.array_sort(F.collect_list("__tf_item")).alias("__tf_items")]
+    if extra:
+        aggs.append(F.first("__tf_carry", ignorenulls=True).alias("__tf_carry"))
+    agg = items.groupBy(key).agg(*aggs)
+    cols = [key] + [F.col(f"__tf_carry.`{c}`").alias(c) for c in extra]
+    return agg.select(*cols, F.transform("__tf_items", lambda s: s["v"]).alias(out))
 
 
 def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFrame | None = None,
@@ -80,12 +113,7 @@ def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFra
     table = table.select(F.col(table.columns[0]).alias("__tf_low")).distinct()
     ex = _explode_tokens(df, key, F.col(tokens)).withColumn("__tf_low", F.lower(_TOK))
     kept = lookup_join(ex, table, "__tf_low", how="left_anti", salt_by=[key, _POS])
-    # titles whose tokens were all removed still need an (empty) row
-    kept = kept.unionByName(df.select(key, F.lit(None).cast("int").alias(_POS),
-                                      F.lit(None).cast("string").alias(_TOK),
-                                      F.lit(None).cast("string").alias("__tf_low")))
-    reg = _regroup(kept, key, F.col(_TOK), out)
-    return df.drop(out).join(reg, on=key, how="left")
+    return _regroup(kept, key, F.col(_TOK), out, carry=df.drop(out))
 
 
 def suffix_lemmas(tokens: DataFrame, dictionary: DataFrame, *,
@@ -123,10 +151,10 @@ def lemmatize(df: DataFrame, tokens: str, lemmas: DataFrame, *, out: str | None
     tokens missing from the table stay as they are."""
     out = out or tokens
     ex = _explode_tokens(df, key, F.col(tokens))
-    lt = lemmas.select(F.col("token").alias(_TOK), "lemma")
+    lt = lemmas.select(F.col("token").alias(_TOK), F.col("lemma").alias("__tf_lemma"))
     joined = lookup_join(ex, lt, _TOK, how="left", salt_by=[key, _POS])
-    reg = _regroup(joined, key, F.coalesce(F.col("lemma"), F.col(_TOK)), out)
-    return df.drop(out).join(reg, on=key, how="left")
+    return _regroup(joined, key, F.coalesce(F.col("__tf_lemma"), F.col(_TOK)), out,
+                    carry=df.drop(out))
 
 
 def joined_text(tokens: Column | str) -> Column:
@@ -162,7 +190,7 @@ def build_vocab(df: DataFrame, tokens: str, size: int, *, n_specials: int = 4,
     map-side counters); the top-k is a distributed take-ordered, and only
     the ``size`` winners are numbered.
     """
-    counts = (df.select(F.explode(F.col(tokens)).alias("token"))
+    counts = (explode_values(df, tokens, "token")
               .groupBy("token").agg(F.count(F.lit(1)).alias("count"))
               .where(F.col("count") >= min_count))
     top = counts.orderBy(F.desc("count"), F.asc("token")).limit(size)

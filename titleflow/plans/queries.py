@@ -32,6 +32,8 @@ from titleflow.operators import metrics as M
 from titleflow.operators import sampling as S
 from titleflow.operators import text as X
 from titleflow.operators.joins import align_labels
+from titleflow.operators.partitioning import spread
+from titleflow.session import cut_lineage
 from titleflow.sources.tables import read_table, without_labels
 
 DIGITS = 6
@@ -181,8 +183,12 @@ def take_positions(spark, sf):
 
 # ---------------------------------------------------------------- text
 
+def _spread_titles(spark, sf) -> DataFrame:
+    return spread(_titles(spark, sf), "Id")
+
+
 def _basic_tokens(spark, sf) -> DataFrame:
-    return _titles(spark, sf).select("Id", tokenize_basic("Title").alias("tokens"))
+    return _spread_titles(spark, sf).select("Id", tokenize_basic("Title").alias("tokens"))
 
 
 def tokenize_basic_q(spark, sf):
@@ -215,14 +221,17 @@ def _word_lemmas(spark, sf) -> DataFrame:
     """Lemma table derived from the corpus itself: the dictionary is every
     lower-cased word token of ``documents``; surface forms are the kept
     tokens."""
-    words = _titles(spark, sf).select(F.explode(tokenize_words("Title")).alias("w"))
+    words = X.explode_values(_spread_titles(spark, sf).select(tokenize_words("Title").alias("t")), "t", "w")
     dictionary = words.select(F.lower("w").alias("lemma"))
     return X.suffix_lemmas(words, dictionary)
 
 
 def clean_text(spark, sf):
-    lemmas = _word_lemmas(spark, sf)
-    c = X.clean(_titles(spark, sf), "Title", lemmas=lemmas, key="Id")
+    # the lemma table is derived from a full pass over the corpus: write it
+    # once to the checkpoint folder, so that sizing it for the join and
+    # joining it do not repeat that pass
+    lemmas = cut_lineage(_word_lemmas(spark, sf))
+    c = X.clean(_spread_titles(spark, sf), "Title", lemmas=lemmas, key="Id")
     return c.select("Id", "clean_text", F.size("clean_tokens").alias("n_clean"))
 
 
