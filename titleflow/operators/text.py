@@ -42,12 +42,13 @@ def token_blocklist_table(stop: DataFrame, punct: DataFrame) -> DataFrame:
     return a.union(b).distinct()
 
 
-def explode_values(df: DataFrame, array_col: str, out: str) -> DataFrame:
-    """One row per array element, as ``explode`` - written as
-    ``explode_outer`` plus a NULL filter so that the optimizer does not
-    infer a ``size(array) > 0`` filter below a repartition, which would
-    evaluate a tokeniser expression a second time."""
-    return (df.select(F.explode_outer(F.col(array_col)).alias(out))
+def explode_values(df: DataFrame, array_col: str, out: str, *,
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """One row per non-NULL array element (plus the ``keep`` columns), as
+    ``explode`` - written as ``explode_outer`` plus a NULL filter so that
+    the optimizer does not infer a ``size(array) > 0`` filter below a
+    repartition, which would evaluate a tokeniser expression twice."""
+    return (df.select(*keep, F.explode_outer(F.col(array_col)).alias(out))
             .where(F.col(out).isNotNull()))
 
 
@@ -129,16 +130,14 @@ def suffix_lemmas(tokens: DataFrame, dictionary: DataFrame, *,
     """
     toks = tokens.select(F.col(tokens.columns[0]).alias("token")).distinct()
     dic = dictionary.select(F.col(dictionary.columns[0]).alias("lemma")).distinct()
-    props = []
-    for suffix, repl in rules:
-        n = len(suffix)
-        props.append(
-            toks.where(F.col("token").endswith(suffix) & (F.length("token") > n))
-            .select("token", F.concat(F.expr(f"substring(token, 1, length(token) - {n})"),
-                                      F.lit(repl)).alias("lemma")))
-    cand = props[0]
-    for p in props[1:]:
-        cand = cand.unionByName(p)
+    # all rules in one projection: one pass over the distinct tokens
+    proposals = [
+        F.when(F.col("token").endswith(suffix) & (F.length("token") > len(suffix)),
+               F.concat(F.expr(f"substring(token, 1, length(token) - {len(suffix)})"), F.lit(repl)))
+        for suffix, repl in rules
+    ]
+    cand = explode_values(toks.select("token", F.array(*proposals).alias("__tf_p")), "__tf_p",
+                          "lemma", keep=["token"])
     found = cand.join(dic, on="lemma", how="left_semi")
     best = found.groupBy("token").agg(
         F.min(F.struct(F.length("lemma").alias("n"), F.col("lemma").alias("l"))).alias("b"))

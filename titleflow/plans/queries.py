@@ -222,8 +222,11 @@ def _word_lemmas(spark, sf) -> DataFrame:
     lower-cased word token of ``documents``; surface forms are the kept
     tokens."""
     words = X.explode_values(_spread_titles(spark, sf).select(tokenize_words("Title").alias("t")), "t", "w")
-    dictionary = words.select(F.lower("w").alias("lemma"))
-    return X.suffix_lemmas(words, dictionary)
+    surface = words.distinct()
+    # lower-casing the distinct surface forms gives the same dictionary as
+    # lower-casing every word, from the one tokenising pass
+    dictionary = surface.select(F.lower("w").alias("lemma"))
+    return X.suffix_lemmas(surface, dictionary)
 
 
 def clean_text(spark, sf):
