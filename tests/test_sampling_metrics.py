@@ -116,3 +116,17 @@ def test_metric_log_history_and_sampling(spark, tmpdir_path):
     from titleflow.operators.tuning import best_run
     runs = back.where("metric = 'val_accuracy'").groupBy("run_id").agg(F.avg("value").alias("val_accuracy"))
     assert best_run(runs).first().run_id == "r2"
+
+
+def test_split_exact_matches_brute_force(spark):
+    import hashlib
+    import math
+    df = _ids(spark, 997)
+    for b in (1, 16, 4096):
+        got = {r.Id: r.split for r in S.split_exact(df, "Id", 0.73, 5, buckets=b).collect()}
+        order = sorted(range(997), key=lambda i: hashlib.md5(f"{i}#5".encode()).hexdigest())
+        cut = math.floor(0.73 * 997)
+        exp = {i: ("train" if p < cut else "validation") for p, i in enumerate(order)}
+        assert got == exp, b
+    got = sorted(r.pos for r in S.take_positions(df, [0, 5, 996, 2000], "Id", seed=5, buckets=16).collect())
+    assert got == [0, 5, 996]

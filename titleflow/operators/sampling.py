@@ -101,6 +101,8 @@ def _quantile_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
         keys = keys.sample(withReplacement=False, fraction=frac, seed=17)
     sample = sorted(r.k for r in keys.collect())
     bounds = {sample[(len(sample) * i) // buckets] for i in range(1, buckets)} if sample else set()
+    if not bounds:
+        return df.withColumn(_BUCKET, F.lit(0))
     splits = [-math.inf] + sorted(bounds) + [math.inf]
     tmp = "__tf_key_double"
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=_BUCKET,
@@ -109,6 +111,33 @@ def _quantile_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
     return out.withColumn(_BUCKET, F.col(_BUCKET).cast("int")).drop(tmp)
 
 
+def _bucketed(df: DataFrame, order_by: Column | str, parts: list[str], seed, salts,
+              buckets: int | None, total: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The input with order key and bucket columns, and the small table of
+    bucket offsets ``(parts, bucket, __tf_off, __tf_n[, total])``."""
+    buckets = buckets or default_buckets(df)
+    if seed is not None:
+        keyed = df.withColumn(_ORDER, shuffle_key(order_by, seed, *salts))
+        keyed = keyed.withColumn(_BUCKET, _md5_bucket(F.col(_ORDER), buckets))
+    else:
+        keyed = df.withColumn(_ORDER, F.col(order_by) if isinstance(order_by, str) else order_by)
+        keyed = _quantile_bucket(keyed, _ORDER, buckets)
+    counts = keyed.groupBy(*parts, _BUCKET).agg(F.count(F.lit(1)).alias("__tf_n"))
+    w = Window.partitionBy(*parts).orderBy(_BUCKET).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.select(
+        *parts, _BUCKET, "__tf_n",
+        (F.sum("__tf_n").over(w) - F.col("__tf_n")).alias("__tf_off"),
+        *([F.sum("__tf_n").over(Window.partitionBy(*parts)).alias(total)] if total else []))
+    return keyed, offsets
+
+
+def _rank(rows: DataFrame, parts: list[str], out: str) -> DataFrame:
+    """Position = bucket offset + row number inside the bucket."""
+    rn = F.row_number().over(Window.partitionBy(*parts, _BUCKET).orderBy(_ORDER))
+    return rows.withColumn(out, (rn - 1 + F.col("__tf_off")).cast("long"))
+
+
 def with_position(df: DataFrame, order_by: Column | str, *,
                   partition_by: str | Sequence[str] | None = None,
                   seed=None, salts: Sequence[str] = (), out: str = "pos",
@@ -124,46 +153,40 @@ def with_position(df: DataFrame, order_by: Column | str, *,
     given, names a column with the group's row count.
     """
     parts = _cols(partition_by)
-    buckets = buckets or default_buckets(df)
-    if seed is not None:
-        keyed = df.withColumn(_ORDER, shuffle_key(order_by, seed, *salts))
-        keyed = keyed.withColumn(_BUCKET, _md5_bucket(F.col(_ORDER), buckets))
-    else:
-        if not isinstance(order_by, str):
-            keyed = df.withColumn(_ORDER, order_by)
-        else:
-            keyed = df.withColumn(_ORDER, F.col(order_by))
-        keyed = _quantile_bucket(keyed, _ORDER, buckets)
-
-    counts = keyed.groupBy(*parts, _BUCKET).agg(F.count(F.lit(1)).alias("__tf_n"))
-    w = Window.partitionBy(*parts).orderBy(_BUCKET).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select(
-        *parts, _BUCKET,
-        (F.sum("__tf_n").over(w) - F.col("__tf_n")).alias("__tf_off"),
-        *([F.sum("__tf_n").over(Window.partitionBy(*parts)).alias(total)]
-          if total else []))
+    keyed, offsets = _bucketed(df, order_by, parts, seed, salts, buckets, total)
     # Without a group column the offsets table has at most `buckets` rows,
     # a proven bound, so it is broadcast; with groups its size grows with
     # the number of groups and the join strategy is left to AQE, which
     # broadcasts it at run time only under the configured threshold.
     if not parts:
         offsets = F.broadcast(offsets)
-    joined = keyed.join(offsets, on=[*parts, _BUCKET], how="inner")
-    rn = F.row_number().over(Window.partitionBy(*parts, _BUCKET).orderBy(_ORDER))
-    return (joined.withColumn(out, (rn - 1 + F.col("__tf_off")).cast("long"))
-            .drop(_BUCKET, _ORDER, "__tf_off"))
+    joined = keyed.join(offsets.drop("__tf_n"), on=[*parts, _BUCKET], how="inner")
+    return _rank(joined, parts, out).drop(_BUCKET, _ORDER, "__tf_off")
 
 
 def take_positions(df: DataFrame, positions: Sequence[int] | DataFrame,
-                   order_by: Column | str, *, seed=None, out: str = "pos") -> DataFrame:
+                   order_by: Column | str, *, seed=None, out: str = "pos",
+                   buckets: int | None = None) -> DataFrame:
     """Rows at the given 0-based positions (the ``__getitem__`` of a
-    dataset). ``positions`` is a list or a one-column DataFrame ``pos``."""
-    indexed = with_position(df, order_by, seed=seed, out=out)
+    dataset). ``positions`` is a list or a one-column DataFrame.
+
+    With a list, only the buckets that hold a wanted position are ranked:
+    the other rows are dropped by a broadcast join against the (small)
+    table of wanted buckets before any shuffle, so fetching a batch does
+    not sort the whole table.
+    """
     if isinstance(positions, DataFrame):
-        return indexed.join(positions.select(F.col(positions.columns[0]).alias(out)),
+        indexed = with_position(df, order_by, seed=seed, out=out, buckets=buckets)
+        return indexed.join(positions.select(F.col(positions.columns[0]).cast("long").alias(out)),
                             on=out, how="left_semi")
-    return indexed.where(F.col(out).isin([int(p) for p in positions]))
+    wanted = sorted({int(p) for p in positions})
+    keyed, offsets = _bucketed(df, order_by, [], seed, (), buckets)
+    arr = F.array(*[F.lit(p).cast("long") for p in wanted]) if wanted else F.array().cast("array<bigint>")
+    hit = F.exists(arr, lambda p: (p >= F.col("__tf_off")) & (p < F.col("__tf_off") + F.col("__tf_n")))
+    flagged = F.broadcast(offsets.where(hit).drop("__tf_n"))
+    rows = keyed.join(flagged, on=_BUCKET, how="inner")
+    ranked = _rank(rows, [], out)
+    return ranked.where(F.col(out).isin(wanted)).drop(_BUCKET, _ORDER, "__tf_off")
 
 
 def with_batch(df: DataFrame, size: int, *, pos: str = "pos",
@@ -195,15 +218,27 @@ def split_exact(df: DataFrame, key: str, fraction: float = 0.9, seed=42, *,
 
     Same rows for any partitioning of the input and for every rerun.
     ``floor`` is taken in double arithmetic (``int(0.9 * n)``).
+
+    Only one bucket of the md5 order can straddle the cut: rows of buckets
+    wholly before or after it get their side from a broadcast of the small
+    bucket table, and only the straddling bucket's rows are shuffled and
+    ranked - the split needs no shuffle of the whole table.
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be within [0, 1]")
-    pos = with_position(df, key, seed=seed, out="__tf_pos", total="__tf_total",
-                        buckets=buckets)
-    n_train = F.floor(F.lit(float(fraction)) * F.col("__tf_total").cast("double"))
-    return (pos.withColumn(out, F.when(F.col("__tf_pos") < n_train, F.lit(train))
-                           .otherwise(F.lit(validation)))
-            .drop("__tf_pos", "__tf_total"))
+    keyed, offsets = _bucketed(df, key, [], seed, (), buckets, total="__tf_total")
+    cut = F.floor(F.lit(float(fraction)) * F.col("__tf_total").cast("double"))
+    side = (F.when(F.col("__tf_off") + F.col("__tf_n") <= cut, F.lit(train))
+            .when(F.col("__tf_off") >= cut, F.lit(validation)))
+    table = F.broadcast(offsets.select(_BUCKET, "__tf_off", cut.alias("__tf_cut"),
+                                       side.alias("__tf_side")))
+    joined = keyed.join(table, on=_BUCKET, how="inner")
+    settled = joined.where(F.col("__tf_side").isNotNull()).withColumn(out, F.col("__tf_side"))
+    straddle = _rank(joined.where(F.col("__tf_side").isNull()), [], "__tf_pos")
+    straddle = straddle.withColumn(out, F.when(F.col("__tf_pos") < F.col("__tf_cut"), F.lit(train))
+                                   .otherwise(F.lit(validation))).drop("__tf_pos")
+    drop = [_BUCKET, _ORDER, "__tf_off", "__tf_cut", "__tf_side"]
+    return settled.drop(*drop).unionByName(straddle.drop(*drop))
 
 
 def split_hash(df: DataFrame, key: str, fraction: float = 0.9, seed=42, *,
