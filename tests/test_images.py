@@ -50,3 +50,27 @@ def test_read_normalize_and_flags(spark, tmpdir_path):
     assert np.allclose(p, [np.mean(exp[0:4]), np.mean(exp[4:8]), np.mean(exp[8:12])], atol=1e-5)
     plan = n._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
+
+
+def test_image_classifier_on_pooled_features(spark, tmpdir_path):
+    from titleflow.operators.models import fit_image, score
+    rows = []
+    for i in range(12):
+        dark = i % 2 == 0
+        base = 20 if dark else 200
+        px = [[((base + 3 * i + r) % 256, (base + c) % 256, (base + r * c) % 256) for c in range(4)]
+              for r in range(4)]
+        if not dark:  # bright covers have a dark top-left block
+            for r in range(2):
+                for c in range(2):
+                    px[r][c] = (5, 5, 5)
+        name = f"img{i}.bmp"
+        _bmp(os.path.join(tmpdir_path, name), px)
+        rows.append((i, name, 0 if dark else 1))
+    titles = spark.createDataFrame(rows, "Id long, Cover string, Genre int")
+    feats = pool(normalize(read_images(spark, tmpdir_path)), 4, 4, 3, block=2)
+    data = attach_images(titles, feats).where("has_image")
+    model = fit_image(data, "pooled", max_iter=50)
+    scored = score(model, data, features="pooled", keep=["Id", "Genre"])
+    acc = scored.agg(F.avg((F.col("pred") == F.col("Genre")).cast("double"))).first()[0]
+    assert scored.count() == 12 and acc == 1.0

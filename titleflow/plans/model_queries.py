@@ -80,6 +80,41 @@ def best_search_run(spark, sf):
     return TU.best_run(random_search(spark, sf), "val_accuracy")
 
 
+def _doc_titles(spark, sf):
+    d = read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), F.col("text").alias("Title"))
+    y = read_table(spark, sf, "labels").select(
+        F.col("doc_id").alias("Id"), (F.col("quality") * 2 + F.col("toxic")).cast("int").alias("Genre"))
+    return d, y
+
+
+def _fit_documents(spark, sf):
+    """Train on the labelled documents (90% by an exact seeded split)."""
+    from titleflow.operators.joins import align_labels
+    d, y = _doc_titles(spark, sf)
+    labelled = align_labels(d, y, on="Id", how="inner", check="unique")
+    data = S.split_exact(labelled, "Id", 0.9, SEED)
+    train = data.where(F.col("split") == "train")
+    val = data.where(F.col("split") == "validation")
+    model = MD.fit_title(train, text="Title", label="Genre", num_features=1 << 16, max_iter=30)
+    return model, val, d, y
+
+
+def title_submission(spark, sf):
+    """Train on labelled titles, score the unlabelled ones and number the
+    rows as the submission file does (Id = position in key order)."""
+    model, _, d, y = _fit_documents(spark, sf)
+    unlabelled = d.join(y.select("Id"), "Id", "left_anti")
+    scored = MD.score(model, unlabelled, keep=["Id"])
+    pos = S.with_position(scored.select("Id", F.col("pred").alias("Genre")), "Id", out="pos")
+    return pos.select(F.col("pos").alias("Id"), "Genre")
+
+
+def title_validation(spark, sf):
+    """Validation metrics of the document title model (batch size 50)."""
+    model, val, _, _ = _fit_documents(spark, sf)
+    return MD.evaluate(model, val.select("Id", "Title", "Genre"), 50, key="Id", label="Genre", digits=6)
+
+
 def registry():
     return {
         "score_title_model": score_title_model,
@@ -87,4 +122,6 @@ def registry():
         "evaluate_vector_model": evaluate_vector_model,
         "random_search": random_search,
         "best_search_run": best_search_run,
+        "title_submission": title_submission,
+        "title_validation": title_validation,
     }
