@@ -46,12 +46,14 @@ def random_search(estimator, grid: Sequence[ParamMap], train: DataFrame, val: Da
     if checkpoint:
         train, val = cut_lineage(train), cut_lineage(val)
     rows = []
+    metric_cols: list[str] = []
     spark: SparkSession = train.sparkSession
     for idx, model in estimator.fitMultiple(train, chosen):
-        metrics = evaluate(model, val).first().asDict()
-        rows.append({"run_id": f"run-{idx:03d}", "params": _describe(chosen[idx]), **metrics})
-    rows.sort(key=lambda r: r["run_id"])
-    return spark.createDataFrame(rows)
+        first = evaluate(model, val).first()
+        metric_cols = list(first.asDict().keys())
+        rows.append((f"run-{idx:03d}", _describe(chosen[idx]), *first))
+    rows.sort(key=lambda r: r[0])
+    return spark.createDataFrame(rows, ["run_id", "params", *metric_cols])
 
 
 def best_run(results: DataFrame, metric: str = "val_accuracy", *, run_col: str = "run_id",
