@@ -34,10 +34,12 @@ def test_no_single_partition_or_python_in_hot_paths(spark):
 
 
 def test_scan_prunes_columns(spark):
-    df = E.queries()["accuracy_overall"](spark, SF)
-    plan = _plan(df)
-    assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>,label:int>" in plan or \
-        "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in plan
+    plan = _plan(E.queries()["tokenize_basic"](spark, SF))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+    plan = _plan(E.queries()["accuracy_overall"](spark, SF))
+    assert "ReadSchema: struct<embedding:array<float>,label:int>" in plan
+    # one scan, no self-join
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
 
 
 @pytest.fixture(scope="module")

@@ -130,3 +130,11 @@ def test_split_exact_matches_brute_force(spark):
         assert got == exp, b
     got = sorted(r.pos for r in S.take_positions(df, [0, 5, 996, 2000], "Id", seed=5, buckets=16).collect())
     assert got == [0, 5, 996]
+
+
+def test_with_truth_join(spark):
+    pred = spark.createDataFrame([(i, p) for i, p, _ in METRIC_ROWS], "Id long, pred int")
+    truth = spark.createDataFrame([(i, g) for i, _, g in METRIC_ROWS] + [(99, 1)], "Id long, Genre int")
+    j = M.with_truth(pred, truth)
+    assert j.count() == 5 and j.agg(F.sum("correct")).first()[0] == 3
+    assert M.accuracy(j).first().accuracy == 60.0

@@ -109,23 +109,32 @@ def score(model, df: DataFrame, *, features: str | None = None, keep: list[str]
                       F.col("prediction").cast("int").alias("pred"))
 
 
-def ensemble(a: DataFrame, b: DataFrame, *, on: str = "Id", z: str = "z",
-             mode: str = "raw") -> DataFrame:
-    """Combine two models' outputs per row (M5): elementwise product, then
-    argmax. ``mode='raw'`` multiplies raw outputs as the reference does
-    (two negative scores make a positive one); ``mode='probability'``
-    multiplies softmax probabilities instead."""
+def _combine(za, zb, mode: str):
     if mode not in ("raw", "probability"):
         raise ValueError("mode must be 'raw' or 'probability'")
+    return multiply(za, zb) if mode == "raw" else multiply(softmax(za), softmax(zb))
+
+
+def ensemble(a: DataFrame, b: DataFrame, *, on: str = "Id", z: str = "z",
+             mode: str = "raw") -> DataFrame:
+    """Combine two models' score tables per row (M5, J5): join on the key,
+    elementwise product, argmax. ``mode='raw'`` multiplies raw outputs as
+    the reference does (two negative scores make a positive one);
+    ``mode='probability'`` multiplies softmax probabilities instead."""
+    prod = _combine(F.col("z_a"), F.col("z_b"), mode)
     j = a.select(on, F.col(z).alias("z_a")).join(b.select(on, F.col(z).alias("z_b")), on=on)
-    if mode == "raw":
-        prod = multiply("z_a", "z_b")
-    else:
-        prod = multiply(softmax("z_a"), softmax("z_b"))
     return j.select(on, argmax("z_a").alias("pred_a"), argmax("z_b").alias("pred_b"),
                     prod.alias("z"), argmax(prod).alias("pred"))
 
 
+def ensemble_columns(df: DataFrame, za: str, zb: str, *, mode: str = "raw") -> DataFrame:
+    """:func:`ensemble` for two outputs already in the same row (scored by
+    one pass over the same table): no join, no shuffle."""
+    prod = _combine(F.col(za), F.col(zb), mode)
+    return df.withColumn("pred_a", argmax(za)).withColumn("pred_b", argmax(zb)) \
+        .withColumn("z_ens", prod).withColumn("pred", argmax(prod))
+
+
 def evaluate(model, df: DataFrame, size: int, *, key: str = "Id", label: str = "Genre",
              features: str | None = None, digits: int | None = None) -> DataFrame:
     """Validation after a fit (M6): batch-mean accuracy and batch-mean loss

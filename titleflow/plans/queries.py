@@ -51,20 +51,21 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- logits
 
-def _logits(spark, sf, first: int, last: int) -> DataFrame:
+def _outputs(spark, sf) -> DataFrame:
+    """One scan of ``embeddings``: both models' outputs and the truth sit
+    in the same row, so predictions are compared with the truth in place -
+    no self-join (which would shuffle the table twice for nothing). The
+    join forms (``with_truth``, ``ensemble``) are for outputs and labels
+    that live in different tables."""
     e = _t(spark, sf, "embeddings")
     return e.select(F.col("vec_id").alias("Id"),
-                    F.slice("embedding", first, last - first + 1).cast("array<double>").alias("z"))
-
-
-def _truth(spark, sf) -> DataFrame:
-    return _t(spark, sf, "embeddings").select(F.col("vec_id").alias("Id"),
-                                              F.col("label").alias("Genre"))
+                    F.slice("embedding", 1, 10).cast("array<double>").alias("z"),
+                    F.slice("embedding", 11, 10).cast("array<double>").alias("z_b"),
+                    F.col("label").alias("Genre"))
 
 
 def _scored(spark, sf) -> DataFrame:
-    pred = _logits(spark, sf, 1, 10).select("Id", argmax("z").alias("pred"))
-    return M.with_truth(pred, _truth(spark, sf))
+    return _outputs(spark, sf).select("Id", argmax("z").alias("pred"), "Genre")
 
 
 def accuracy_overall(spark, sf):
@@ -80,16 +81,13 @@ def accuracy_batch_mean(spark, sf):
 
 
 def loss_batch_mean(spark, sf):
-    z = _logits(spark, sf, 1, 10).join(_truth(spark, sf), "Id")
-    losses = z.select("Id", cross_entropy("z", "Genre").alias("loss"))
+    losses = _outputs(spark, sf).select("Id", cross_entropy("z", "Genre").alias("loss"))
     return M.batch_mean_loss(losses, BATCH, order_by="Id", digits=DIGITS)
 
 
 def _ensemble(spark, sf) -> DataFrame:
-    from titleflow.operators.models import ensemble
-    a = _logits(spark, sf, 1, 10)
-    b = _logits(spark, sf, 11, 20)
-    return ensemble(a, b, on="Id", mode="raw")
+    from titleflow.operators.models import ensemble_columns
+    return ensemble_columns(_outputs(spark, sf), "z", "z_b", mode="raw")
 
 
 def ensemble_predict(spark, sf):
@@ -97,13 +95,12 @@ def ensemble_predict(spark, sf):
 
 
 def ensemble_per_class(spark, sf):
-    scored = M.with_truth(_ensemble(spark, sf).select("Id", "pred"), _truth(spark, sf))
-    return M.per_class_accuracy(scored, EMB_CLASSES, digits=DIGITS)
+    return M.per_class_accuracy(_ensemble(spark, sf), EMB_CLASSES, digits=DIGITS)
 
 
 def argmax_predictions(spark, sf):
     """Submission rows: Id = row position in key order, Genre = argmax."""
-    pred = _logits(spark, sf, 1, 10).select("Id", argmax("z").alias("Genre"))
+    pred = _outputs(spark, sf).select("Id", argmax("z").alias("Genre"))
     pos = S.with_position(pred, "Id", out="pos")
     return pos.select(F.col("pos").alias("Id"), "Genre")
 
