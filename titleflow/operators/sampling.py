@@ -141,10 +141,16 @@ def _rank(rows: DataFrame, parts: list[str], out: str) -> DataFrame:
 def with_position(df: DataFrame, order_by: Column | str, *,
                   partition_by: str | Sequence[str] | None = None,
                   seed=None, salts: Sequence[str] = (), out: str = "pos",
-                  total: str | None = None, buckets: int | None = None) -> DataFrame:
+                  total: str | None = None, buckets: int | None = None,
+                  materialize: bool = False) -> DataFrame:
     """Add ``out`` = 0-based position of each row in the order of
     ``order_by`` (ascending) inside each ``partition_by`` group.
 
+    The index reads its input several times (bucket counts, and for a
+    natural order a row count and a key sample, then the numbering pass).
+    For an input that is expensive to recompute - model scores, say - pass
+    ``materialize=True`` to write it once to the checkpoint folder first.
+
     With ``seed`` the order is the pseudo-random md5 order of
     :func:`shuffle_key` (``order_by`` is then the unique row key, and
     ``salts`` are extra columns mixed into the key, e.g. the epoch).
@@ -153,6 +159,9 @@ def with_position(df: DataFrame, order_by: Column | str, *,
     given, names a column with the group's row count.
     """
     parts = _cols(partition_by)
+    if materialize:
+        from titleflow.session import cut_lineage
+        df = cut_lineage(df)
     keyed, offsets = _bucketed(df, order_by, parts, seed, salts, buckets, total)
     # Without a group column the offsets table has at most `buckets` rows,
     # a proven bound, so it is broadcast; with groups its size grows with

@@ -105,7 +105,8 @@ def title_submission(spark, sf):
     model, _, d, y = _fit_documents(spark, sf)
     unlabelled = d.join(y.select("Id"), "Id", "left_anti")
     scored = MD.score(model, unlabelled, keep=["Id"])
-    pos = S.with_position(scored.select("Id", F.col("pred").alias("Genre")), "Id", out="pos")
+    pos = S.with_position(scored.select("Id", F.col("pred").alias("Genre")), "Id", out="pos",
+                          materialize=True)
     return pos.select(F.col("pos").alias("Id"), "Genre")
 
 

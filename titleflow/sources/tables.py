@@ -128,7 +128,8 @@ def write_submission(df: DataFrame, path: str, *, id_col: str = "Id", genre: str
     out = df
     if id_mode == "position":
         from titleflow.operators.sampling import with_position
-        out = with_position(df, order_by or id_col, out="__tf_pos").withColumn(id_col, F.col("__tf_pos"))
+        out = with_position(df.select(id_col, genre), order_by or id_col, out="__tf_pos",
+                            materialize=True).withColumn(id_col, F.col("__tf_pos"))
     elif id_mode != "id":
         raise ValueError("id_mode must be 'id' or 'position'")
     out = out.select(F.col(id_col).cast("long").alias("Id"), F.col(genre).cast("int").alias("Genre"))
