@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from titleflow.functions.arrays import argmax, cross_entropy, multiply, softmax
 from titleflow.functions.text import tokenize_basic
+from titleflow.session import cut_lineage
 
 
 @dataclass
@@ -54,13 +55,21 @@ def title_estimator(*, tokens: str = "__tf_tokens", label: str = "Genre",
 
 
 def fit_title(df: DataFrame, *, text: str = "Title", label: str = "Genre",
-              **params) -> TitleClassifier:
-    """Train a title classifier (M1)."""
+              materialize: bool = True, **params) -> TitleClassifier:
+    """Train a title classifier (M1).
+
+    Fitting reads the training table several times (IDF document
+    frequencies, label statistics, the solver's cached blocks); with
+    ``materialize`` the two needed columns are written once to the
+    checkpoint folder so that upstream work (splits, joins) is not redone
+    for each pass.
+    """
     tokens = "__tf_tokens"
     est = title_estimator(tokens=tokens, label=label, **params)
-    data = df.select(text, F.col(label).cast("double").alias(label)).withColumn(
-        tokens, tokenize_basic(text))
-    return TitleClassifier(est.fit(data), text, tokens)
+    data = df.select(text, F.col(label).cast("double").alias(label))
+    if materialize:
+        data = cut_lineage(data)
+    return TitleClassifier(est.fit(data.withColumn(tokens, tokenize_basic(text))), text, tokens)
 
 
 def vector_features(df: DataFrame, features: str, out: str = "features") -> DataFrame:
@@ -80,11 +89,14 @@ def vector_estimator(layers: list[int], *, label: str = "Genre", max_iter: int =
 
 
 def fit_vectors(df: DataFrame, features: str, layers: list[int], *, label: str = "Genre",
-                **params):
+                materialize: bool = True, **params):
     """Train on a fixed-length numeric array per row (M2): mean token
-    vector, a flattened title matrix, or any model output."""
-    data = vector_features(df, features).withColumn(label, F.col(label).cast("double"))
-    return vector_estimator(layers, label=label, **params).fit(data)
+    vector, a flattened title matrix, or any model output. ``materialize``
+    as in :func:`fit_title`."""
+    data = df.select(features, F.col(label).cast("double").alias(label))
+    if materialize:
+        data = cut_lineage(data)
+    return vector_estimator(layers, label=label, **params).fit(vector_features(data, features))
 
 
 def fit_image(df: DataFrame, features: str = "pooled", *, label: str = "Genre",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from titleflow.operators import models as MD
 from titleflow.operators import sampling as S
 from titleflow.operators import tuning as TU
+from titleflow.operators.partitioning import spread
 from titleflow.sources.tables import read_table
 
 SEED = 42
@@ -36,7 +37,8 @@ def score_title_model(spark, sf):
     data = S.split_exact(_part_titles(spark, sf), "Id", 0.9, SEED)
     train = data.where(F.col("split") == "train")
     val = data.where(F.col("split") == "validation")
-    model = MD.fit_title(train, text="Title", label="Genre", num_features=1 << 16, max_iter=30)
+    # part names are two words from a small vocabulary: 4096 hash buckets
+    model = MD.fit_title(train, text="Title", label="Genre", num_features=1 << 12, max_iter=30)
     return MD.score(model, val, keep=["Id", "Genre"]).select("Id", "Genre", "pred")
 
 
@@ -48,13 +50,13 @@ def _vector_split(spark, sf):
 
 def score_vector_model(spark, sf):
     train, val = _vector_split(spark, sf)
-    model = MD.fit_vectors(train, "embedding", [64, 32, 10], label="Genre", max_iter=100, seed=SEED)
+    model = MD.fit_vectors(train, "embedding", [64, 32, 10], label="Genre", max_iter=50, seed=SEED)
     return MD.score(model, val, features="embedding", keep=["Id", "Genre"]).select("Id", "Genre", "pred")
 
 
 def evaluate_vector_model(spark, sf):
     train, val = _vector_split(spark, sf)
-    model = MD.fit_vectors(train, "embedding", [64, 32, 10], label="Genre", max_iter=100, seed=SEED)
+    model = MD.fit_vectors(train, "embedding", [64, 32, 10], label="Genre", max_iter=50, seed=SEED)
     return MD.evaluate(model, val, 50, key="Id", label="Genre", features="embedding", digits=6)
 
 
@@ -81,7 +83,8 @@ def best_search_run(spark, sf):
 
 
 def _doc_titles(spark, sf):
-    d = read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), F.col("text").alias("Title"))
+    d = spread(read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"),
+                                                         F.col("text").alias("Title")), "Id")
     y = read_table(spark, sf, "labels").select(
         F.col("doc_id").alias("Id"), (F.col("quality") * 2 + F.col("toxic")).cast("int").alias("Genre"))
     return d, y
@@ -95,7 +98,7 @@ def _fit_documents(spark, sf):
     data = S.split_exact(labelled, "Id", 0.9, SEED)
     train = data.where(F.col("split") == "train")
     val = data.where(F.col("split") == "validation")
-    model = MD.fit_title(train, text="Title", label="Genre", num_features=1 << 16, max_iter=30)
+    model = MD.fit_title(train, text="Title", label="Genre", num_features=1 << 14, max_iter=20)
     return model, val, d, y
 
 
