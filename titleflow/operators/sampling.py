@@ -85,25 +85,32 @@ SAMPLES_PER_BUCKET = 20
 def _quantile_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
     """Bucket a numeric order key by sampled quantiles.
 
-    A row count (one cheap job) sizes a Bernoulli sample of about
-    ``SAMPLES_PER_BUCKET`` keys per bucket, capped at ``MAX_BOUND_SAMPLE``;
-    only that sample reaches the driver, where it is sorted and cut into
-    ``buckets`` equal parts. The bucket is monotone in the key (the double
-    cast is monotone), so ranges stay ordered even when two large ids round
-    to the same double; sampling error only makes buckets unequal in size.
+    A row count (one cheap job) sizes both the bucket count (enough buckets
+    for every core, about one per 100k rows, never more than ``buckets``)
+    and a Bernoulli sample of about ``SAMPLES_PER_BUCKET`` keys per bucket,
+    capped at ``MAX_BOUND_SAMPLE`` rows. The sample is cut into equal
+    parts by ``ntile`` inside Spark (one task over at most that many rows)
+    and only the ``buckets - 1`` bounds reach the driver. The bucket is
+    monotone in the key (the double cast is monotone), so ranges stay
+    ordered even when two large ids round to the same double; sampling
+    error only makes buckets unequal in size.
     """
     n = df.count()
-    buckets = max(1, min(buckets, n // SAMPLES_PER_BUCKET or 1))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    buckets = max(1, min(buckets, max(2 * cores, n // 100_000), n // SAMPLES_PER_BUCKET or 1))
+    if buckets == 1:
+        return df.withColumn(_BUCKET, F.lit(0))
     target = min(MAX_BOUND_SAMPLE, SAMPLES_PER_BUCKET * buckets)
     frac = min(1.0, target / max(n, 1))
     keys = df.select(F.col(order_col).cast("double").alias("k")).where(F.col("k").isNotNull())
     if frac < 1.0:
         keys = keys.sample(withReplacement=False, fraction=frac, seed=17)
-    sample = sorted(r.k for r in keys.collect())
-    bounds = {sample[(len(sample) * i) // buckets] for i in range(1, buckets)} if sample else set()
+    tiles = keys.select("k", F.ntile(buckets).over(Window.orderBy("k")).alias("t"))
+    tops = tiles.groupBy("t").agg(F.max("k").alias("b")).collect()
+    bounds = sorted({r.b for r in tops if r.t < buckets})
     if not bounds:
         return df.withColumn(_BUCKET, F.lit(0))
-    splits = [-math.inf] + sorted(bounds) + [math.inf]
+    splits = [-math.inf] + bounds + [math.inf]
     tmp = "__tf_key_double"
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=_BUCKET,
                      handleInvalid="keep").transform(
