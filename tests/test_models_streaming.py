@@ -68,3 +68,19 @@ def test_streaming_tokenise_and_predict(spark, tmpdir_path):
     q2.processAllAvailable()
     q2.stop()
     assert spark.table("tf_stream_pred").count() == docs.count()
+
+
+def test_streaming_file_sink(spark, tmpdir_path):
+    from titleflow.streaming.scoring import predict_stream, read_features_stream, write_predictions
+    src = os.path.join(tmpdir_path, "in")
+    rows = [(i, "x.bmp", f"title {i % 3} words") for i in range(30)]
+    spark.createDataFrame(rows, "Id long, Cover string, Title string").coalesce(1).write \
+        .option("header", True).csv(src)
+    labelled = spark.createDataFrame([(i, t, i % 3) for i, _, t in rows], "Id long, Title string, Genre int")
+    model = MD.fit_title(labelled, num_features=1 << 8, max_iter=20)
+    out = os.path.join(tmpdir_path, "out")
+    q = write_predictions(predict_stream(model, read_features_stream(spark, src)), out,
+                          checkpoint=os.path.join(tmpdir_path, "ck"), trigger_once=True)
+    q.awaitTermination(120)
+    back = spark.read.option("header", True).schema("Id long, Genre int").csv(out)
+    assert back.count() == 30 and back.where("Genre is null").count() == 0

@@ -219,18 +219,19 @@ def _word_lemmas(spark, sf) -> DataFrame:
     lower-cased word token of ``documents``; surface forms are the kept
     tokens."""
     words = X.explode_values(_spread_titles(spark, sf).select(tokenize_words("Title").alias("t")), "t", "w")
-    surface = words.distinct()
+    # the distinct surface forms are the only product of the pass over the
+    # corpus; written once to the checkpoint folder (vocabulary-sized), the
+    # dictionary, the candidate lemmas and the join's size check all read
+    # that small table instead of tokenising the corpus again
+    surface = cut_lineage(words.distinct())
     # lower-casing the distinct surface forms gives the same dictionary as
-    # lower-casing every word, from the one tokenising pass
+    # lower-casing every word
     dictionary = surface.select(F.lower("w").alias("lemma"))
     return X.suffix_lemmas(surface, dictionary)
 
 
 def clean_text(spark, sf):
-    # the lemma table is derived from a full pass over the corpus: write it
-    # once to the checkpoint folder, so that sizing it for the join and
-    # joining it do not repeat that pass
-    lemmas = cut_lineage(_word_lemmas(spark, sf))
+    lemmas = _word_lemmas(spark, sf)
     c = X.clean(_spread_titles(spark, sf), "Title", lemmas=lemmas, key="Id")
     return c.select("Id", "clean_text", F.size("clean_tokens").alias("n_clean"))
 
