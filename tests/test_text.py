@@ -87,3 +87,9 @@ def test_length_profile_exact_median(spark):
     assert p.median_tokens == float(statistics.median(lens))
     odd = spark.createDataFrame([([1],), ([1, 2, 3],), ([1, 2],)], "t array<int>")
     assert X.length_profile(odd, "t").first().median_tokens == 2.0
+
+
+def test_matrix_features(spark):
+    df = spark.createDataFrame([([[1.0, 2.0], [3.0, 4.0], [0.0, 0.0]],)], "m array<array<float>>")
+    r = df.select(X.matrix_features("m", 2, "mean").alias("a"), X.matrix_features("m", 2, "concat").alias("b")).first()
+    assert [round(v, 6) for v in r.a] == [round(4 / 3, 6), 2.0] and r.b == [1.0, 2.0, 3.0, 4.0, 0.0, 0.0]

@@ -265,6 +265,21 @@ def embed_tokens(df: DataFrame, tokens: str, vectors: DataFrame, dim: int, *,
                       F.aggregate("__tf_m", F.lit(0), lambda a, s: a + s["k"]).alias("n_known"))
 
 
+def matrix_features(matrix: Column | str, dim: int, mode: str = "mean") -> Column:
+    """A title matrix (rows of ``dim`` floats) -> one fixed-length vector:
+    ``mode='mean'`` averages the rows (``dim`` values), ``mode='concat'``
+    flattens them (``rows * dim`` values, order kept)."""
+    m = F.col(matrix) if isinstance(matrix, str) else matrix
+    if mode == "concat":
+        return F.flatten(m)
+    if mode != "mean":
+        raise ValueError("mode must be 'mean' or 'concat'")
+    n = F.greatest(F.size(m), F.lit(1)).cast("double")
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                       lambda i: F.aggregate(m, F.lit(0.0).cast("double"),
+                                             lambda a, v: a + F.get(v, i)) / n)
+
+
 def length_profile(df: DataFrame, tokens: str) -> DataFrame:
     """Mean, max, min and exact median of the token count per title.
 

@@ -119,6 +119,52 @@ def title_validation(spark, sf):
     return MD.evaluate(model, val.select("Id", "Title", "Genre"), 50, key="Id", label="Genre", digits=6)
 
 
+def _document_vectors(spark, sf, docs):
+    """Mean token vector per title: basic tokens, first 15 kept, vectors
+    from the vocabulary ranked by frequency paired with ``embeddings``
+    rows (the stand-in for pretrained token vectors)."""
+    from titleflow.functions.text import tokenize_basic
+    from titleflow.operators import text as X
+    toks = docs.select("Id", tokenize_basic("Title").alias("tokens"))
+    vocab = X.build_vocab(toks, "tokens", 1000, n_specials=0).select(
+        "token", F.col("id").cast("long").alias("rank"))
+    vectors = X.token_vectors_from_vocab(vocab, read_table(spark, sf, "embeddings"))
+    emb = X.embed_tokens(toks, "tokens", vectors, 64, key="Id", length=15, vectors_rows=1000)
+    return emb.select("Id", X.matrix_features("embedded", 64, "mean").alias("vec"))
+
+
+def _title_vector_split(spark, sf):
+    from titleflow.operators.joins import align_labels
+    d, y = _doc_titles(spark, sf)
+    vecs = _document_vectors(spark, sf, d)
+    labelled = align_labels(vecs, y, on="Id", how="inner", check="unique")
+    data = S.split_exact(labelled, "Id", 0.9, SEED)
+    return (data.where(F.col("split") == "train").drop("split"),
+            data.where(F.col("split") == "validation").drop("split"))
+
+
+def score_title_vectors_model(spark, sf):
+    """Token vectors -> mean title vector -> MLP (the recurrent title
+    model's data path), scored on the validation titles."""
+    train, val = _title_vector_split(spark, sf)
+    model = MD.fit_vectors(train, "vec", [64, 32, 4], label="Genre", max_iter=50, seed=SEED)
+    return MD.score(model, val, features="vec", keep=["Id", "Genre"]).select("Id", "Genre", "pred")
+
+
+def ensemble_title_models(spark, sf):
+    """Two title models - TF-IDF logistic regression and the token-vector
+    MLP - scored on the same validation titles, combined by the product of
+    their raw outputs, per-class accuracy (the two-model ensemble flow)."""
+    from titleflow.operators.metrics import per_class_accuracy, with_truth
+    model_a, val_a, _, y = _fit_documents(spark, sf)
+    a = MD.score(model_a, val_a.select("Id", "Title"), keep=["Id"])
+    train_b, val_b = _title_vector_split(spark, sf)
+    model_b = MD.fit_vectors(train_b, "vec", [64, 32, 4], label="Genre", max_iter=50, seed=SEED)
+    b = MD.score(model_b, val_b, features="vec", keep=["Id"])
+    ens = MD.ensemble(a, b, on="Id", mode="raw")
+    return per_class_accuracy(with_truth(ens.select("Id", "pred"), y), 4, digits=6)
+
+
 def registry():
     return {
         "score_title_model": score_title_model,
@@ -128,4 +174,6 @@ def registry():
         "best_search_run": best_search_run,
         "title_submission": title_submission,
         "title_validation": title_validation,
+        "score_title_vectors_model": score_title_vectors_model,
+        "ensemble_title_models": ensemble_title_models,
     }
