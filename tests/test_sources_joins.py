@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from titleflow.operators.joins import KeyCheckError, align_labels
 from titleflow.sources import (read_features, read_labelled, read_labels, read_token_vectors,

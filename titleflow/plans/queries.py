@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.functions.arrays import argmax, cross_entropy, fit_length, multiply
+from titleflow.functions.arrays import argmax, cross_entropy, fit_length
 from titleflow.functions.text import tokenize_basic, tokenize_words
 from titleflow.operators import metrics as M
 from titleflow.operators import sampling as S
