@@ -72,28 +72,56 @@ def table_rows_at_most(table: DataFrame, bound: int) -> bool:
     return table.limit(bound + 1).count() <= bound
 
 
+def hot_keys(df: DataFrame, key: str, *, sample_fraction: float = 0.01,
+             hot_share: float = 0.001, seed: int = 7) -> DataFrame:
+    """Keys that hold at least ``hot_share`` of the rows of a Bernoulli
+    sample of ``df`` - at most ``1 / hot_share`` keys, so the result has a
+    proven size bound and can be broadcast."""
+    sample = df.select(key).where(F.col(key).isNotNull())
+    if sample_fraction < 1.0:
+        sample = sample.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+    n = sample.count()
+    threshold = max(2, int(hot_share * n))
+    return (sample.groupBy(key).agg(F.count(F.lit(1)).alias("__tf_c"))
+            .where(F.col("__tf_c") >= threshold).select(key))
+
+
 def lookup_join(df: DataFrame, table: DataFrame, key: str, *, how: str = "left",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 salt_buckets: int = 32, salt_by: list[str] | None = None,
-                known_rows: int | None = None) -> DataFrame:
+                known_rows: int | None = None, sample_fraction: float = 0.01,
+                hot_share: float = 0.001) -> DataFrame:
     """Join a (possibly skewed) stream ``df`` to a lookup ``table`` that has
     one row per ``key``.
 
     * ``known_rows`` (a proven bound, e.g. a top-k vocabulary) or a counted
       size under ``max_broadcast_rows`` -> broadcast hash join, no shuffle
       of ``df``;
-    * otherwise both sides shuffle on ``(key, salt)``: ``df`` rows get a
-      deterministic salt (hash of ``salt_by`` columns, so a retried task
-      reproduces it) and each table row is copied ``salt_buckets`` times.
-      A key holding a third of all rows is cut into ``salt_buckets`` tasks.
+    * otherwise a shuffle join on ``(key, salt)`` that splits only the hot
+      keys: keys holding at least ``hot_share`` of a sample of ``df`` (at
+      most ``1 / hot_share`` of them, broadcast) get a deterministic salt
+      in ``[0, salt_buckets)`` from a hash of ``salt_by`` (so a retried
+      task reproduces it) and their table rows are copied
+      ``salt_buckets`` times; every other key keeps salt 0 and a single
+      table row. A key holding a third of all rows is cut into
+      ``salt_buckets`` tasks, and the table grows only by the hot keys'
+      copies.
     """
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
     small = known_rows is not None and known_rows <= max_broadcast_rows
     if small or table_rows_at_most(table, max_broadcast_rows):
         return df.join(F.broadcast(table), on=key, how=how)
-    salt_cols = salt_by or [c for c in df.columns]
+    hot = F.broadcast(hot_keys(df, key, sample_fraction=sample_fraction, hot_share=hot_share)
+                      .withColumn("__tf_hot", F.lit(True)))
+    salt_cols = salt_by or list(df.columns)
     salt = "__tf_salt"
-    salted = df.withColumn(salt, F.pmod(F.xxhash64(*salt_cols), F.lit(salt_buckets)))
-    copies = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted.join(copies, on=[key, salt], how=how).drop(salt)
+    stream = df.join(hot, on=key, how="left")
+    stream = stream.withColumn(salt, F.when(F.col("__tf_hot").isNotNull(),
+                                            F.pmod(F.xxhash64(*salt_cols), F.lit(salt_buckets)))
+                               .otherwise(F.lit(0).cast("long"))).drop("__tf_hot")
+    copies = table.join(hot, on=key, how="left").withColumn(
+        salt, F.explode(F.when(F.col("__tf_hot").isNotNull(),
+                               F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long")))
+                        .otherwise(F.array(F.lit(0).cast("long"))))).drop("__tf_hot")
+    return stream.join(copies, on=[key, salt], how=how).drop(salt)
