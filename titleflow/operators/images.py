@@ -34,9 +34,16 @@ def attach_images(df: DataFrame, images: DataFrame, *, cover: str = "Cover",
     cheaper order at scale: the join then shuffles a few kilobytes of
     features per image instead of the raw pixel bytes.
     """
-    imgs = images.withColumn("__tf_file", _basename(F.col(f"{image}.origin")))
-    out = df.join(imgs, df[cover] == imgs["__tf_file"], "left")
-    return out.withColumn("has_image", F.col("__tf_file").isNotNull()).drop("__tf_file")
+    from titleflow.operators.joins import lookup_join
+    imgs = (images.withColumn("__tf_file", _basename(F.col(f"{image}.origin")))
+            .withColumn("__tf_has", F.lit(True)))
+    # Many titles can share one cover file (a placeholder image): the
+    # titles side may be skewed on the file name, so the join splits hot
+    # file names instead of sending them to one task.
+    out = lookup_join(df.withColumn("__tf_file", F.col(cover)), imgs, "__tf_file", how="left",
+                      allow_broadcast=False, salt_by=[c for c in df.columns])
+    return (out.withColumn("has_image", F.col("__tf_has").isNotNull())
+            .drop("__tf_file", "__tf_has"))
 
 
 def check_shape(df: DataFrame, h: int = 224, w: int = 224, c: int = 3, *,

@@ -90,7 +90,7 @@ def lookup_join(df: DataFrame, table: DataFrame, key: str, *, how: str = "left",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 salt_buckets: int = 32, salt_by: list[str] | None = None,
                 known_rows: int | None = None, sample_fraction: float = 0.01,
-                hot_share: float = 0.001) -> DataFrame:
+                hot_share: float = 0.001, allow_broadcast: bool = True) -> DataFrame:
     """Join a (possibly skewed) stream ``df`` to a lookup ``table`` that has
     one row per ``key``.
 
@@ -106,12 +106,17 @@ def lookup_join(df: DataFrame, table: DataFrame, key: str, *, how: str = "left",
       table row. A key holding a third of all rows is cut into
       ``salt_buckets`` tasks, and the table grows only by the hot keys'
       copies.
+
+    ``allow_broadcast=False`` skips the size check for tables that are
+    large by nature (decoded images), where counting would mean reading
+    them an extra time.
     """
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
-    small = known_rows is not None and known_rows <= max_broadcast_rows
-    if small or table_rows_at_most(table, max_broadcast_rows):
-        return df.join(F.broadcast(table), on=key, how=how)
+    if allow_broadcast:
+        small = known_rows is not None and known_rows <= max_broadcast_rows
+        if small or table_rows_at_most(table, max_broadcast_rows):
+            return df.join(F.broadcast(table), on=key, how=how)
     hot = F.broadcast(hot_keys(df, key, sample_fraction=sample_fraction, hot_share=hot_share)
                       .withColumn("__tf_hot", F.lit(True)))
     salt_cols = salt_by or list(df.columns)
