@@ -202,6 +202,21 @@ WITH {DOCS_TOKENS},
   k AS (SELECT Id, list_filter(toks, lambda t: lower(t) NOT IN ({BLOCK})) AS kept FROM d)
 SELECT Id, array_to_string(kept, ' ') AS kept, CAST(len(kept) AS INTEGER) AS n_kept FROM k""",
 
+    "split_hash": f"""
+SELECT doc_id AS Id,
+       CASE WHEN CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '#{Q.SEED}'), 1, 8)) AS BIGINT)
+                 / CAST(4294967296 AS DOUBLE) < 0.9 THEN 'train' ELSE 'validation' END AS split
+FROM documents""",
+
+    "lemma_table": f"""
+WITH d AS (SELECT doc_id AS Id, regexp_extract_all(text, {_lit(WORD_PATTERN)}) AS words FROM documents),
+  t AS (SELECT unnest(words) AS tok FROM d),
+  dict AS (SELECT DISTINCT lower(tok) AS lemma FROM t),
+  surf AS (SELECT DISTINCT tok AS token FROM t),
+  cand AS ({_lemma_cands()})
+SELECT token, first(lemma ORDER BY length(lemma), lemma) AS lemma
+FROM cand WHERE lemma IN (SELECT lemma FROM dict) GROUP BY token""",
+
     "clean_text": f"""
 WITH d AS (SELECT doc_id AS Id, regexp_extract_all(text, {_lit(WORD_PATTERN)}) AS words FROM documents),
   t AS (SELECT Id, unnest(words) AS tok, generate_subscripts(words, 1) AS pos FROM d),
@@ -270,5 +285,8 @@ ORDER BY val_accuracy DESC, run_id ASC LIMIT 1""",
 }
 
 
+ORACLE["remove_tokens_join"] = ORACLE["remove_tokens"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

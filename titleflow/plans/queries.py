@@ -214,6 +214,22 @@ def remove_tokens(spark, sf):
     return t.select("Id", F.array_join("kept", " ").alias("kept"), F.size("kept").alias("n_kept"))
 
 
+def remove_tokens_join(spark, sf):
+    """Same result as ``remove_tokens`` through the table strategy: explode,
+    anti-join the block table, regroup."""
+    t = X.remove_tokens(_basic_tokens(spark, sf), "tokens", X.token_blocklist(), out="kept",
+                        strategy="join")
+    return t.select("Id", F.array_join("kept", " ").alias("kept"), F.size("kept").alias("n_kept"))
+
+
+def split_hash(spark, sf):
+    return S.split_hash(_titles(spark, sf).select("Id"), "Id", 0.9, SEED).select("Id", "split")
+
+
+def lemma_table(spark, sf):
+    return _word_lemmas(spark, sf).select("token", "lemma")
+
+
 def _word_lemmas(spark, sf) -> DataFrame:
     """Lemma table derived from the corpus itself: the dictionary is every
     lower-cased word token of ``documents``; surface forms are the kept
@@ -318,6 +334,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "title_length_profile": title_length_profile,
         "fit_length": fit_length_q,
         "remove_tokens": remove_tokens,
+        "remove_tokens_join": remove_tokens_join,
+        "split_hash": split_hash,
+        "lemma_table": lemma_table,
         "clean_text": clean_text,
         "build_vocab": build_vocab,
         "encode_titles": encode_titles,
