@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from titleflow.functions.arrays import argmax, cross_entropy, multiply, softmax
 from titleflow.functions.text import tokenize_basic
+from titleflow.operators.partitioning import right_size
 from titleflow.session import cut_lineage
 
 
@@ -68,7 +69,7 @@ def fit_title(df: DataFrame, *, text: str = "Title", label: str = "Genre",
     est = title_estimator(tokens=tokens, label=label, **params)
     data = df.select(text, F.col(label).cast("double").alias(label))
     if materialize:
-        data = cut_lineage(data)
+        data = right_size(cut_lineage(data))
     return TitleClassifier(est.fit(data.withColumn(tokens, tokenize_basic(text))), text, tokens)
 
 
@@ -95,7 +96,7 @@ def fit_vectors(df: DataFrame, features: str, layers: list[int], *, label: str =
     as in :func:`fit_title`."""
     data = df.select(features, F.col(label).cast("double").alias(label))
     if materialize:
-        data = cut_lineage(data)
+        data = right_size(cut_lineage(data))
     return vector_estimator(layers, label=label, **params).fit(vector_features(data, features))
 
 

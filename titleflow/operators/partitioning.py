@@ -19,3 +19,21 @@ def spread(df: DataFrame, key: str | None = None, *, min_partitions: int | None
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
+
+
+def right_size(df: DataFrame, rows_per_partition: int = 500_000) -> DataFrame:
+    """Merge partitions (no shuffle) of a materialised table that is split
+    finer than its size needs: at least one partition per core, otherwise
+    about ``rows_per_partition`` rows each.
+
+    Iterative training runs one job per solver iteration over its input;
+    hundreds of near-empty partitions would make every iteration pay for
+    hundreds of tasks. Meant for checkpointed tables, where the count is
+    cheap; a large table keeps its partitions.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
+    if current <= cores:
+        return df
+    target = max(cores, -(-df.count() // rows_per_partition))
+    return df.coalesce(target) if target < current else df

@@ -12,6 +12,7 @@ from titleflow.operators import models as MD
 from titleflow.operators import sampling as S
 from titleflow.operators import tuning as TU
 from titleflow.operators.partitioning import spread
+from titleflow.session import cut_lineage
 from titleflow.sources.tables import read_table
 
 SEED = 42
@@ -119,26 +120,32 @@ def title_validation(spark, sf):
     return MD.evaluate(model, val.select("Id", "Title", "Genre"), 50, key="Id", label="Genre", digits=6)
 
 
-def _document_vectors(spark, sf, docs):
-    """Mean token vector per title: basic tokens, first 15 kept, vectors
-    from the vocabulary ranked by frequency paired with ``embeddings``
-    rows (the stand-in for pretrained token vectors)."""
+def _document_vectors(spark, sf, docs, corpus):
+    """Mean token vector per title of ``docs``: basic tokens, first 15
+    kept, vectors from the ``corpus`` vocabulary ranked by frequency paired
+    with ``embeddings`` rows (the stand-in for pretrained token vectors)."""
     from titleflow.functions.text import tokenize_basic
     from titleflow.operators import text as X
-    toks = docs.select("Id", tokenize_basic("Title").alias("tokens"))
-    vocab = X.build_vocab(toks, "tokens", 1000, n_specials=0).select(
+    corpus_toks = corpus.select("Id", tokenize_basic("Title").alias("tokens"))
+    vocab = X.build_vocab(corpus_toks, "tokens", 1000, n_specials=0).select(
         "token", F.col("id").cast("long").alias("rank"))
     vectors = X.token_vectors_from_vocab(vocab, read_table(spark, sf, "embeddings"))
+    toks = docs.select("Id", tokenize_basic("Title").alias("tokens"))
     emb = X.embed_tokens(toks, "tokens", vectors, 64, key="Id", length=15, vectors_rows=1000)
     return emb.select("Id", X.matrix_features("embedded", 64, "mean").alias("vec"))
 
 
 def _title_vector_split(spark, sf):
+    """Labelled titles as mean vectors, split 90/10. The vectors (64
+    floats per title) are written once to the checkpoint folder: the key
+    checks, the split's passes, the fit and the scoring then read that
+    compact table instead of re-running vocabulary and lookups."""
     from titleflow.operators.joins import align_labels
     d, y = _doc_titles(spark, sf)
-    vecs = _document_vectors(spark, sf, d)
-    labelled = align_labels(vecs, y, on="Id", how="inner", check="unique")
-    data = S.split_exact(labelled, "Id", 0.9, SEED)
+    labelled = align_labels(d, y, on="Id", how="inner", check="unique")
+    vecs = _document_vectors(spark, sf, labelled.select("Id", "Title"), d)
+    table = cut_lineage(vecs.join(labelled.select("Id", "Genre"), "Id"))
+    data = S.split_exact(table, "Id", 0.9, SEED)
     return (data.where(F.col("split") == "train").drop("split"),
             data.where(F.col("split") == "validation").drop("split"))
 
