@@ -71,3 +71,13 @@ def test_token_vectors_and_vocab(spark, tmpdir_path):
     words = ["[PAD]", "[CLS]", "[SEP]", "[UNK]", "a", "test"]
     voc = read_vocab(spark, _write(tmpdir_path, "vocab.txt", "\n".join(words) + "\n"))
     assert {r.token: r.id for r in voc.collect()} == {w: i for i, w in enumerate(words)}
+
+
+def test_feature_columns_by_position(spark, tmpdir_path):
+    p = _write(tmpdir_path, "x2.csv", X_CSV.replace("Id,Cover,Title", "Id,Image,Title"))
+    with pytest.raises(Exception):
+        read_features(spark, p).collect()
+    a = read_features(spark, p, columns=["Id", "Image", "Title"])
+    assert a.columns == ["Id", "Image", "Title"] and a.count() == 4
+    b = read_features(spark, p, check_header=False)
+    assert b.columns == ["Id", "Cover", "Title"] and sorted(r.Cover for r in b.collect())[0] == "a.bmp"

@@ -34,22 +34,39 @@ METRIC_LOG_SCHEMA = T.StructType([
 ])
 
 
-def _csv(spark: SparkSession, schema: T.StructType, multiline: bool):
+def _csv(spark: SparkSession, schema: T.StructType, multiline: bool, check_header: bool = True):
     return (spark.read.schema(schema)
             .option("header", True)
             .option("escape", '"')
             .option("multiLine", multiline)
-            .option("enforceSchema", False)
+            .option("enforceSchema", not check_header)
             .option("mode", "FAILFAST"))
 
 
+def features_schema(columns) -> T.StructType:
+    """Schema for a feature file whose header is ``columns``: the first
+    column is the long ``Id``, the rest are strings (the image file name
+    sits at ordinal 1 whatever its header calls it)."""
+    columns = list(columns)
+    return T.StructType([T.StructField(columns[0], T.LongType(), False)]
+                        + [T.StructField(c, T.StringType(), True) for c in columns[1:]])
+
+
 def read_features(spark: SparkSession, path: str, schema: T.StructType = FEATURES_SCHEMA,
-                  *, multiline: bool = True) -> DataFrame:
+                  *, columns=None, multiline: bool = True, check_header: bool = True) -> DataFrame:
     """Feature table ``Id, Cover, Title``. A title read as NULL (empty
     field) becomes ``''``; texts such as ``NA`` stay text. ``multiLine``
     (a quoted title may hold a line break) reads each file in one task,
-    so big inputs should come as many files or be converted to Parquet."""
-    df = _csv(spark, schema, multiline).csv(path)
+    so big inputs should come as many files or be converted to Parquet.
+
+    ``columns`` gives the header names when they differ from ours (the
+    reference reads the cover file name by position); with
+    ``check_header=False`` columns are taken by position and the header
+    names are ignored.
+    """
+    if columns is not None:
+        schema = features_schema(columns)
+    df = _csv(spark, schema, multiline, check_header).csv(path)
     if "Title" in df.columns:
         df = df.withColumn("Title", F.coalesce(F.col("Title"), F.lit("")))
     return df
