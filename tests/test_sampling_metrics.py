@@ -138,3 +138,18 @@ def test_with_truth_join(spark):
     j = M.with_truth(pred, truth)
     assert j.count() == 5 and j.agg(F.sum("correct")).first()[0] == 3
     assert M.accuracy(j).first().accuracy == 60.0
+
+
+def test_partitioning_helpers(spark):
+    from titleflow.operators.joins import hot_keys
+    from titleflow.operators.partitioning import right_size, spread
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one, "id").rdd.getNumPartitions() >= cores
+    many = spark.range(100).repartition(cores * 3)
+    assert spread(many, "id").rdd.getNumPartitions() == cores * 3  # already spread: untouched
+    assert right_size(many).rdd.getNumPartitions() == cores
+    # a key with a third of the rows is hot; at most 1/hot_share keys can be
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    hot = [r.k for r in hot_keys(df, "k", sample_fraction=1.0, hot_share=0.01).collect()]
+    assert hot == [-1]
