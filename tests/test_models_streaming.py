@@ -35,6 +35,8 @@ def test_title_model_and_search(spark):
     m = MD.fit_title(parts, num_features=1 << 10, max_iter=5)
     out = MD.score(m, parts, keep=["Id"])
     assert out.count() == parts.count()
+    hist = MD.training_history(m.pipeline)
+    assert 1 <= len(hist) <= 6 and all(h > 0 for h in hist)
     data = S.split_exact(_emb(spark), "Id", 0.8, 1)
     train = MD.vector_features(data.where("split = 'train'"), "embedding").withColumn(
         "Genre", F.col("Genre").cast("double"))
