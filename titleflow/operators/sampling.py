@@ -8,8 +8,8 @@ buckets instead:
 1. every row gets a bucket that is monotone in the order key: the leading
    hex digits of an md5 key (uniform for unique keys), or, for a natural
    key, the interval between quantiles of a bounded key sample (at most
-   ``MAX_BOUND_SAMPLE`` keys reach the driver, as in Spark's own range
-   partitioner);
+   ``MAX_BOUND_SAMPLE`` keys, cut by ``ntile`` inside Spark; only the
+   bucket bounds reach the driver);
 2. ``groupBy(bucket).count()`` gives a table with at most ``buckets`` rows
    per group; a running sum over that small table gives each bucket's
    offset;
@@ -17,7 +17,9 @@ buckets instead:
    count) and ``row_number()`` over ``partitionBy(bucket)`` plus the offset
    is the global position.
 
-One shuffle of the data (the window exchange) plus one tiny aggregate. A
+One shuffle of the data (the window exchange) plus one tiny aggregate;
+:func:`split_exact` and :func:`take_positions` shuffle only the rows of
+the buckets they need. A
 hot group (a third of all rows under one ``partition_by`` value) is spread
 over all of its buckets, so no task receives the whole group. Positions are
 deterministic: md5 and the bounds are fixed, and keys are unique inside a
@@ -36,7 +38,6 @@ from pyspark.sql import functions as F
 
 _BUCKET = "__tf_bucket"
 _ORDER = "__tf_order"
-_RN = "__tf_rn"
 
 
 def _cols(x) -> list[str]:
