@@ -166,7 +166,7 @@ def joined_text(tokens: Column | str) -> Column:
 def clean(df: DataFrame, title: str = "Title", *, blocklist: Sequence[str] | None = None,
           lemmas: DataFrame | None = None, key: str = "Id",
           out_text: str = "clean_text", out_tokens: str = "clean_tokens") -> DataFrame:
-    """``clean_txt``: word-tokenise, drop blocked tokens (compared in lower
+    """Title cleaning: word-tokenise, drop blocked tokens (compared in lower
     case, output keeps case), lemmatise, and return both the token list and
     the space-joined text with its trailing space."""
     from titleflow.functions.text import tokenize_words
