@@ -81,3 +81,10 @@ def test_feature_columns_by_position(spark, tmpdir_path):
     assert a.columns == ["Id", "Image", "Title"] and a.count() == 4
     b = read_features(spark, p, check_header=False)
     assert b.columns == ["Id", "Cover", "Title"] and sorted(r.Cover for r in b.collect())[0] == "a.bmp"
+
+
+def test_null_key_rejected(spark):
+    x = spark.createDataFrame([(1, "a"), (None, "b")], "Id long, Title string")
+    y = spark.createDataFrame([(1, 0)], "Id long, Genre int")
+    with pytest.raises(KeyCheckError, match="NULL"):
+        align_labels(x, y, check="unique")

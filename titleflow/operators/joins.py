@@ -23,8 +23,14 @@ class KeyCheckError(ValueError):
     pass
 
 
-def _duplicate_keys(df: DataFrame, on: str) -> int:
-    return (df.groupBy(on).count().where(F.col("count") > 1).limit(1).count())
+def _bad_key(df: DataFrame, on: str):
+    """One aggregate over the key column: a NULL key or a repeated key (the
+    first one found), else None."""
+    bad = (df.groupBy(on).agg(F.count(F.lit(1)).alias("__tf_n"))
+           .where(F.col(on).isNull() | (F.col("__tf_n") > 1)).limit(1).collect())
+    if not bad:
+        return None
+    return "NULL" if bad[0][on] is None else "duplicate"
 
 
 def check_keys(x: DataFrame, y: DataFrame, on: str = "Id", *, equal: bool = True) -> None:
@@ -35,10 +41,9 @@ def check_keys(x: DataFrame, y: DataFrame, on: str = "Id", *, equal: bool = True
     count reaches the driver.
     """
     for name, d in (("features", x), ("labels", y)):
-        if d.where(F.col(on).isNull()).limit(1).count():
-            raise KeyCheckError(f"{name}: NULL {on}")
-        if _duplicate_keys(d, on):
-            raise KeyCheckError(f"{name}: duplicate {on}")
+        kind = _bad_key(d, on)
+        if kind:
+            raise KeyCheckError(f"{name}: {kind} {on}")
     if equal:
         kx, ky = x.select(on), y.select(on)
         if kx.join(ky, on, "left_anti").limit(1).count():
