@@ -58,9 +58,13 @@ def test_clean_example(spark):
 
 
 def test_suffix_lemmas(spark):
-    toks = spark.createDataFrame([("jumps",), ("boxes",), ("women",), ("flies",), ("Cats",), ("glass",)], "t string")
-    dic = spark.createDataFrame([("jump",), ("box",), ("woman",), ("fly",), ("cat",), ("glas",)], "w string")
+    toks = spark.createDataFrame([("jumps",), ("boxes",), ("women",), ("flies",), ("Cats",), ("glass",),
+                                  ("firemen",)], "t string")
+    dic = spark.createDataFrame([("jump",), ("box",), ("woman",), ("fly",), ("cat",), ("glas",),
+                                 ("fireman",), ("firemen",), ("jumps",)], "w string")
     got = {r.token: r.lemma for r in X.suffix_lemmas(toks, dic).collect()}
+    # "firemen" is listed itself and ties with "fireman": it stays; "jumps"
+    # is listed but "jump" is shorter
     assert got == {"jumps": "jump", "boxes": "box", "women": "woman", "flies": "fly", "glass": "glas"}
 
 

@@ -122,8 +122,10 @@ def suffix_lemmas(tokens: DataFrame, dictionary: DataFrame, *,
     """Lemma table ``(token, lemma)`` from suffix rules checked against a
     dictionary, the way WordNet's noun lemmatiser works: every rule whose
     suffix ends the token proposes ``stem + replacement``; proposals found
-    in ``dictionary`` are kept and the shortest wins (then alphabetical).
-    Tokens without a kept proposal are left out (they map to themselves).
+    in ``dictionary`` are kept and the shortest wins (then alphabetical);
+    a token that is itself in the dictionary beats proposals of its own
+    length. Tokens without a winning proposal are left out (they map to
+    themselves).
 
     ``tokens`` and ``dictionary`` are one-column tables; both are reduced
     to distinct values first (partial aggregation absorbs hot tokens).
@@ -141,6 +143,12 @@ def suffix_lemmas(tokens: DataFrame, dictionary: DataFrame, *,
     found = cand.join(dic, on="lemma", how="left_semi")
     best = found.groupBy("token").agg(
         F.min(F.struct(F.length("lemma").alias("n"), F.col("lemma").alias("l"))).alias("b"))
+    # a token that is itself a dictionary word is one of the candidates and
+    # comes first among equally short ones ("women" stays when it is listed)
+    listed = toks.join(dic.select(F.col("lemma").alias("token")), on="token", how="left_semi") \
+        .withColumn("__tf_listed", F.lit(True))
+    best = best.join(listed, on="token", how="left").where(
+        F.col("__tf_listed").isNull() | (F.col("b.n") < F.length("token")))
     return best.select("token", F.col("b.l").alias("lemma"))
 
 

@@ -213,9 +213,11 @@ WITH d AS (SELECT doc_id AS Id, regexp_extract_all(text, {_lit(WORD_PATTERN)}) A
   t AS (SELECT unnest(words) AS tok FROM d),
   dict AS (SELECT DISTINCT lower(tok) AS lemma FROM t),
   surf AS (SELECT DISTINCT tok AS token FROM t),
-  cand AS ({_lemma_cands()})
-SELECT token, first(lemma ORDER BY length(lemma), lemma) AS lemma
-FROM cand WHERE lemma IN (SELECT lemma FROM dict) GROUP BY token""",
+  cand AS ({_lemma_cands()}),
+  best0 AS (SELECT token, first(lemma ORDER BY length(lemma), lemma) AS lemma
+            FROM cand WHERE lemma IN (SELECT lemma FROM dict) GROUP BY token)
+SELECT token, lemma FROM best0
+WHERE token NOT IN (SELECT lemma FROM dict) OR length(lemma) < length(token)""",
 
     "clean_text": f"""
 WITH d AS (SELECT doc_id AS Id, regexp_extract_all(text, {_lit(WORD_PATTERN)}) AS words FROM documents),
@@ -223,8 +225,10 @@ WITH d AS (SELECT doc_id AS Id, regexp_extract_all(text, {_lit(WORD_PATTERN)}) A
   dict AS (SELECT DISTINCT lower(tok) AS lemma FROM t),
   surf AS (SELECT DISTINCT tok AS token FROM t),
   cand AS ({_lemma_cands()}),
-  best AS (SELECT token, first(lemma ORDER BY length(lemma), lemma) AS lemma
-           FROM cand WHERE lemma IN (SELECT lemma FROM dict) GROUP BY token),
+  best0 AS (SELECT token, first(lemma ORDER BY length(lemma), lemma) AS lemma
+            FROM cand WHERE lemma IN (SELECT lemma FROM dict) GROUP BY token),
+  best AS (SELECT token, lemma FROM best0
+           WHERE token NOT IN (SELECT lemma FROM dict) OR length(lemma) < length(token)),
   k AS (SELECT Id, tok, pos FROM t WHERE lower(tok) NOT IN ({BLOCK})),
   lem AS (SELECT k.Id, k.pos, coalesce(b.lemma, k.tok) AS w FROM k LEFT JOIN best b ON b.token = k.tok),
   agg AS (SELECT Id, list(w ORDER BY pos) AS ws FROM lem GROUP BY Id)
