@@ -153,3 +153,16 @@ def test_partitioning_helpers(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
     hot = [r.k for r in hot_keys(df, "k", sample_fraction=1.0, hot_share=0.01).collect()]
     assert hot == [-1]
+
+
+def test_natural_order_buckets_stay_balanced_under_clustered_keys(spark):
+    # a third of the keys sit in a narrow range, the rest are spread thinly
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.col("id") * 1_000_003).alias("k"))
+    keyed, offsets = S._bucketed(df, "k", [], None, (), 64)
+    sizes = [r["__tf_n"] for r in offsets.collect()]
+    assert sum(sizes) == n and len(sizes) > 1
+    assert max(sizes) < 0.25 * n  # no bucket holds the clustered third
+    pos = S.with_position(df, "k", buckets=64).collect()
+    assert [r.k for r in sorted(pos, key=lambda r: r.pos)] == sorted(r.k for r in pos)

@@ -63,7 +63,7 @@ def evaluate_vector_model(spark, sf):
 
 def random_search(spark, sf):
     """Seeded random search over a 4 x 3 x 4 = 48-point grid of the MLP on
-    token-free vectors: step size (learning rate of the gradient-descent
+    the ``embeddings`` vectors: step size (learning rate of the gradient-descent
     solver) x hidden width x iterations, defaults 1e-3 / 32 / 30; three
     sampled settings are fitted and scored on the fixed validation split."""
     train, val = _vector_split(spark, sf)
