@@ -166,3 +166,11 @@ def test_natural_order_buckets_stay_balanced_under_clustered_keys(spark):
     assert max(sizes) < 0.25 * n  # no bucket holds the clustered third
     pos = S.with_position(df, "k", buckets=64).collect()
     assert [r.k for r in sorted(pos, key=lambda r: r.pos)] == sorted(r.k for r in pos)
+
+
+def test_summarise_formats_digits(spark):
+    df = spark.createDataFrame([(0.7586236756795133, 60.0)], "loss double, acc double")
+    r = M.summarise(df, ["loss", "acc"], digits=2).first()
+    assert (r.loss, r.acc) == ("0.76", "60.00")
+    r9 = M.summarise(df, ["loss"], digits=9).first()
+    assert r9.loss == "0.758623676"
