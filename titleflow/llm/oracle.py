@@ -40,5 +40,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_lines, n_letter_words, n_capital_runs, failed_bits FROM ledger"""
 
 
+#: The base32 digits of a SHA-1 in hex: 5 hex digits hold 4 base32 digits.
+OP7 = r"""
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, url, octet_length(b) AS payload_bytes, sha1(b) AS h FROM p),
+g AS (SELECT h, max(page_id) AS keeper FROM d GROUP BY h HAVING count(*) > 1)
+SELECT page_id, url, payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + (((('0x' || substr(h, 1 + 5 * (i // 4)::INT, 5))::BIGINT) >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN keeper IS NULL OR page_id IS NOT DISTINCT FROM keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM keeper THEN NULL ELSE keeper END AS refers_to
+FROM d LEFT JOIN g USING (h)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5}
+    return {"op5_quality_rules": OP5, "op7_warc": OP7}

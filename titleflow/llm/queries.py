@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import quality
+from titleflow.llm import licenses, quality, warc
 from titleflow.llm.common import table
 
 
@@ -19,5 +19,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "base_failed", "kept", "n_lines", "n_letter_words", "n_capital_runs", "failed_bits")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written into archives and read back, payloads verified."""
+    back = warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and expressions of every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality_rules,)}
+    return {f.__name__: f for f in (op5_quality_rules, op7_warc, op10_license_scan)}
