@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import licenses, quality, warc
+from titleflow.llm import licenses, quality, simhash, warc
 from titleflow.llm.common import table
 
 
@@ -25,10 +25,15 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices and expressions of every document."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality_rules, op7_warc, op10_license_scan)}
+    return {f.__name__: f for f in (op5_quality_rules, op7_warc, op8_simhash_near_dedup, op10_license_scan)}
