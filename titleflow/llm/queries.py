@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import licenses, quality, simhash, warc
+from titleflow.llm import licenses, lines, quality, simhash, warc
 from titleflow.llm.common import table
 
 
@@ -19,6 +19,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "base_failed", "kept", "n_lines", "n_letter_words", "n_capital_runs", "failed_bits")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with a word of every document: the first line of its
+    component (document and line number) and whether it is that line."""
+    found = lines.line_components(table(spark, sf_dir, "documents"), similarity=0.8)
+    return found.select(F.col("doc").alias("doc_id"), F.col("pos").alias("line_no"),
+                        F.col("first.doc").alias("first_doc_id"), F.col("first.pos").alias("first_line_no"), "kept")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written into archives and read back, payloads verified."""
     back = warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
@@ -36,4 +44,4 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality_rules, op7_warc, op8_simhash_near_dedup, op10_license_scan)}
+    return {f.__name__: f for f in (op5_quality_rules, op6_line_dedup, op7_warc, op8_simhash_near_dedup, op10_license_scan)}
