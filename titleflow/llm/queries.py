@@ -5,13 +5,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import licenses, lines, quality, simhash, warc
+from titleflow.llm import bpe, chat, decontaminate, html_text, licenses, lines, quality, simhash, warc
 from titleflow.llm.common import table
 
 
+#: Rank file and pattern of the byte-level tokenizer (parameters of the operator).
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_documents(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents leak, with the best window of each."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality ledger of every document, judged by policy v1."""
     rows = quality.judge(quality.ledger(table(spark, sf_dir, "documents")))
@@ -38,10 +59,17 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered turns of the conversations that no longer log extends."""
+    return chat.format_turns(table(spark, sf_dir, "conversations"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices and expressions of every document."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality_rules, op6_line_dedup, op7_warc, op8_simhash_near_dedup, op10_license_scan)}
+    return {f.__name__: f for f in (
+        op2_html_extraction, op3_byte_bpe, op4_decontamination, op5_quality_rules, op6_line_dedup, op7_warc,
+        op8_simhash_near_dedup, op9_chat_format, op10_license_scan)}
