@@ -114,10 +114,10 @@ class Encoder:
     def _learn(self, block: list[tuple[str, bytes]]) -> None:
         self.db.register("pieces", pa.table({"w": pa.array(range(len(block)), pa.int64()),
                                              "bytes": pa.array([b for _, b in block], pa.binary())}))
-        run = self.db.execute
+        run = lambda sql: self.db.execute(sql).fetchall()
         run(f"CREATE OR REPLACE TEMP TABLE state AS {_START}")
         run("CREATE OR REPLACE TEMP TABLE done (w BIGINT, p BIGINT, tok BIGINT)")
-        while rows := run("SELECT count(*) FROM state").fetchone()[0]:
+        while rows := run("SELECT count(*) FROM state")[0][0]:
             # a query keeps the rows of all its steps: fewer steps for more rows
             steps = max(4, STEP_ROWS // rows)
             run(f"CREATE OR REPLACE TEMP TABLE reached AS {_CONTRACT.replace('$steps', str(steps))}")
