@@ -8,8 +8,8 @@ each piece's leftmost pair of minimum rank until no pair is left. The ids
 come back by an ordered aggregation, and so do the bytes of the decoded ids.
 
 A document's ids are those of its pieces one after the other. Memory is one
-batch, one block of pieces and a bounded cache of encoded pieces (emptied
-when full, which costs time only). A piece of n bytes takes up to n steps of
+batch, one block of pieces and a bounded cache of encoded pieces (the
+older generation goes when it is full, which costs time only). A piece of n bytes takes up to n steps of
 n rows: its time grows with the square of its length, its memory does not.
 Rank files are read once on the driver (a vocabulary has a fixed size) and
 broadcast, so executors need no file.
@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -32,54 +33,47 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 200_000
 #: Rows that a recursive query may pile up over its steps.
 STEP_ROWS = 5_000_000
-#: Encoded pieces that a Python worker remembers.
-CACHE_PIECES = 500_000
+#: Encoded pieces in one of the two generations that a Python worker remembers.
+CACHE_PIECES = 400_000
 
 _TABLES = """
-CREATE TABLE vocab AS SELECT bytes, id FROM ranks;
+CREATE TABLE vocab AS SELECT bytes, hex(bytes) AS digits, id::INT AS id FROM ranks;
 CREATE TABLE merges AS
-SELECT a.id AS l, b.id AS r, v.id AS m
+SELECT (a.id::BIGINT << 32) | b.id AS pair, v.id AS m
 FROM (SELECT id, bytes, unnest(range(1, octet_length(bytes))) AS cut FROM vocab) v
 JOIN vocab a ON a.bytes = from_hex(left(hex(v.bytes), 2 * v.cut::INT))
 JOIN vocab b ON b.bytes = from_hex(substr(hex(v.bytes), 2 * v.cut::INT + 1));
-CREATE TABLE singles AS SELECT hex(bytes) AS h, id FROM vocab WHERE octet_length(bytes) = 1;
 """
 
-#: Token-position rows of pieces(w, bytes): a token's place, the place of
-#: the next one and the next token. A piece that is a token starts as it.
+#: Token-position rows: a token's place, the place of the next one and the
+#: next token. A piece that is a token itself starts as it.
 _START = """
-WITH cut AS (SELECT w, hex(bytes) AS h, octet_length(bytes) AS len, unnest(range(octet_length(bytes))) AS p
-             FROM pieces WHERE bytes NOT IN (SELECT bytes FROM vocab))
-SELECT cut.w, cut.p, s.id AS tok, CASE WHEN p + 1 < len THEN p + 1 END AS np, n.id AS nt
-FROM cut JOIN singles s ON s.h = substr(cut.h, 2 * cut.p::INT + 1, 2)
-LEFT JOIN singles n ON n.h = substr(cut.h, 2 * cut.p::INT + 3, 2)
-UNION ALL SELECT p.w, 0, v.id, NULL, NULL FROM pieces p JOIN vocab v ON v.bytes = p.bytes
+SELECT w, p, tok, np, nt FROM bytes ANTI JOIN (SELECT w FROM pieces JOIN vocab USING (bytes)) whole USING (w)
+UNION ALL SELECT w, 0, id, NULL, NULL FROM pieces JOIN vocab USING (bytes)
 """
 
-#: One step of a piece contracts its leftmost pair of minimum rank (rank and
-#: place are one number): the pair's row takes the merged token, its right
-#: neighbour's row goes, its left neighbour's next token changes. Rows of a
-#: piece without a pair are passed on once more as not live.
+#: One step of a piece contracts its leftmost pair of minimum rank. Rank and
+#: both places of a pair are one number, whose minimum is that pair: the left
+#: row goes, the right row takes the merged token, and the row before them
+#: gets a new neighbour. Rows of a piece without a pair are passed on once
+#: more as not live.
 _CONTRACT = """
 WITH RECURSIVE t(w, p, tok, np, nt, step, live) AS (
     SELECT w, p, tok, np, nt, 0, true FROM state
   UNION ALL
     (WITH pair AS MATERIALIZED (
-        SELECT t.*, m.m FROM t LEFT JOIN merges m ON m.l = t.tok AND m.r = t.nt WHERE t.live AND t.step < $steps),
-     best AS MATERIALIZED (SELECT w, min(m * 4294967296 + p) AS b FROM pair GROUP BY w),
-     hit AS MATERIALIZED (
-        SELECT a.w, a.p, a.m, a.np AS gone, c.np, c.nt FROM best
-        JOIN pair a ON a.w = best.w AND a.p = b % 4294967296
-        JOIN pair c ON c.w = a.w AND c.p = a.np)
-     SELECT x.w, x.p, CASE WHEN x.p = h.p THEN h.m ELSE x.tok END, CASE WHEN x.p = h.p THEN h.np ELSE x.np END,
-            CASE WHEN x.p = h.p THEN h.nt WHEN x.np = h.p THEN h.m ELSE x.nt END, x.step + 1, h.w IS NOT NULL
-     FROM pair x LEFT JOIN hit h ON h.w = x.w WHERE h.w IS NULL OR x.p <> h.gone)
+        SELECT t.*, (m.m::$number << $two) | (t.p::$number << $one) | t.np AS k
+        FROM t LEFT JOIN merges m ON m.pair = (t.tok::BIGINT << 32) | t.nt WHERE t.live AND t.step < $steps),
+     best AS (SELECT w, min(k) AS k, (min(k) >> $two)::INT AS m, ((min(k) >> $one) & $mask)::INT AS p,
+                     (min(k) & $mask)::INT AS np FROM pair GROUP BY w)
+     SELECT x.w, x.p, CASE WHEN x.p = b.np THEN b.m ELSE x.tok END, CASE WHEN x.np = b.p THEN b.np ELSE x.np END,
+            CASE WHEN x.np = b.p THEN b.m ELSE x.nt END, x.step + 1, b.k IS NOT NULL
+     FROM pair x JOIN best b ON b.w = x.w WHERE b.k IS NULL OR x.p <> b.p)
 ) SELECT * FROM t WHERE NOT live OR step = $steps
 """
 
 _DECODE = """
-SELECT w, string_agg(tok, ',' ORDER BY p) AS ids, count(*) AS n,
-       unhex(string_agg(hex(v.bytes), '' ORDER BY p)) AS decoded
+SELECT w, string_agg(tok, ',' ORDER BY p) AS ids, string_agg(v.digits, '' ORDER BY p) AS decoded
 FROM done JOIN vocab v ON v.id = tok GROUP BY w
 """
 
@@ -95,8 +89,13 @@ class Encoder:
         self.db.register("ranks", table)
         self.db.execute(_TABLES)
         self.db.unregister("ranks")
+        single = {a[0]: i for a, i in zip(table["bytes"].to_pylist(), table["id"].to_pylist(), strict=True) if len(a) == 1}
+        if len(single) < 256:
+            raise ValueError("the vocabulary lacks a token for some byte")
+        self.single = np.array([single[b] for b in range(256)], np.int32)
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.known: dict[str, tuple[str, bytes]] = {}
+        self.older: dict[str, tuple[str, bytes]] = {}
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode and decode pieces in blocks of bounded size."""
@@ -112,38 +111,55 @@ class Encoder:
             self._learn(block)
 
     def _learn(self, block: list[tuple[str, bytes]]) -> None:
-        self.db.register("pieces", pa.table({"w": pa.array(range(len(block)), pa.int64()),
-                                             "bytes": pa.array([b for _, b in block], pa.binary())}))
+        raw = [b for _, b in block]
+        self.db.register("pieces", pa.table({"w": pa.array(np.arange(len(raw), dtype=np.int32)),
+                                             "bytes": pa.array(raw, pa.binary())}))
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(sizes)
+        tok = self.single[np.frombuffer(b"".join(raw), np.uint8)]
+        p = np.arange(len(tok)) - np.repeat(ends - sizes, sizes)
+        last = np.zeros(len(tok), bool)
+        last[ends - 1] = True
+        self.db.register("bytes", pa.table({
+            "w": pa.array(np.repeat(np.arange(len(raw), dtype=np.int32), sizes)), "p": pa.array(p.astype(np.int32)),
+            "tok": pa.array(tok), "np": pa.array((p + 1).astype(np.int32), mask=last),
+            "nt": pa.array(np.roll(tok, -1), mask=last)}))
         run = lambda sql: self.db.execute(sql).fetchall()
+        # places of 22 bits fit into 64 with the rank; longer pieces take 128
+        short = max(len(b) for _, b in block) < 1 << 22
+        bits = 22 if short else 40
+        shape = {"$number": "BIGINT" if short else "HUGEINT", "$two": str(2 * bits), "$one": str(bits),
+                 "$mask": str((1 << bits) - 1)}
         run(f"CREATE OR REPLACE TEMP TABLE state AS {_START}")
-        run("CREATE OR REPLACE TEMP TABLE done (w BIGINT, p BIGINT, tok BIGINT)")
+        run("CREATE OR REPLACE TEMP TABLE done (w INT, p INT, tok INT)")
         while rows := run("SELECT count(*) FROM state")[0][0]:
             # a query keeps the rows of all its steps: fewer steps for more rows
-            steps = max(4, STEP_ROWS // rows)
-            run(f"CREATE OR REPLACE TEMP TABLE reached AS {_CONTRACT.replace('$steps', str(steps))}")
+            query = _CONTRACT.replace("$steps", str(max(4, STEP_ROWS // rows)))
+            for name, value in shape.items():
+                query = query.replace(name, value)
+            run(f"CREATE OR REPLACE TEMP TABLE reached AS {query}")
             run("INSERT INTO done SELECT w, p, tok FROM reached WHERE NOT live")
             run("CREATE OR REPLACE TEMP TABLE state AS SELECT w, p, tok, np, nt FROM reached WHERE live")
         got = self.db.sql(_DECODE).to_arrow_table()
         self.db.unregister("pieces")
-        places, ids, ns, decoded = (c.to_pylist() for c in got.columns)
-        if len(places) != len(block):
-            raise ValueError("the vocabulary lacks a token for some byte")
-        for w, i, n, d in zip(places, ids, ns, decoded, strict=True):
-            self.known[block[w][0]] = (i, n, d)
+        self.db.unregister("bytes")
+        places, ids, decoded = (c.to_pylist() for c in got.columns)
+        for w, i, d in zip(places, ids, decoded, strict=True):
+            self.known[block[w][0]] = (i, bytes.fromhex(d))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, int, bytes]]:
         """(ids joined by commas, their number, decoded bytes) of each text."""
         cut = list(map(self.find, texts))
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        self.learn({p for pieces in cut for p in set(pieces)} - self.known.keys())
-        known = self.known
+        if len(self.known) > CACHE_PIECES:  # what is used again moves on to the new generation
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = set().union(*cut) - known.keys()
+        known.update((p, older[p]) for p in new & older.keys())
+        self.learn(new - older.keys())
         for pieces in cut:
-            if pieces:
-                ids, ns, decoded = zip(*[known[p] for p in pieces], strict=True)
-                yield ",".join(ids), sum(ns), b"".join(decoded)
-            else:
-                yield "", 0, b""
+            found = [known[p] for p in pieces]
+            ids = ",".join([f[0] for f in found])
+            yield ids, ids.count(",") + bool(ids), b"".join([f[1] for f in found])
 
 
 @lru_cache(maxsize=2)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import bpe, chat, decontaminate, html_text, licenses, lines, quality, simhash, warc
+from titleflow.llm import bpe, chat, decontaminate, html_text, licenses, lines, quality, simhash, toxicity, warc
 from titleflow.llm.common import table
 
 
@@ -17,6 +17,12 @@ from titleflow.llm.common import table
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a factorization machine fitted on the
+    labelled rows outside the held-out fold."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
@@ -71,5 +77,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_html_extraction, op3_byte_bpe, op4_decontamination, op5_quality_rules, op6_line_dedup, op7_warc,
+        op1_toxicity, op2_html_extraction, op3_byte_bpe, op4_decontamination, op5_quality_rules, op6_line_dedup, op7_warc,
         op8_simhash_near_dedup, op9_chat_format, op10_license_scan)}
