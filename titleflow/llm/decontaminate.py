@@ -39,6 +39,8 @@ from titleflow.llm.licenses import _FOLD
 #: differ in about 10 of 64 bits, with a standard deviation of about 3.
 RADIUS = 22
 _MAP_BITS = 20
+#: Starts of windows that share one table of bit sums.
+_REGION = 1 << 10
 
 
 def fold_words(raw: bytes) -> list[bytes]:
@@ -69,20 +71,15 @@ def _bits(h: np.ndarray) -> np.ndarray:
     return np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
 
 
-def window_hashes(h: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
-    """SimHash of the ``m`` shingles from each of the ascending starts."""
-    out = np.empty(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):  # bounded memory: windows that begin within 2^14 shingles
-        to = int(np.searchsorted(starts, starts[at] + (1 << 14)))
-        lo = int(starts[at])
-        part = _bits(h[lo:int(starts[to - 1]) + m])
-        sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(part, axis=0, dtype=np.int32)])
-        own = starts[at:to] - lo
-        over = 2 * (sums[own + m] - sums[own]) > m
-        out[at:to] = np.packbits(over, axis=1, bitorder="little").view("<u8").ravel()
-        at = to
-    return out
+def bit_sums(h: np.ndarray) -> np.ndarray:
+    """Row i: how often each bit is set in the first i hashes."""
+    return np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(_bits(h), axis=0, dtype=np.int32)])
+
+
+def window_hashes(sums: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
+    """SimHash of the ``m`` shingles from each of the starts."""
+    over = 2 * (sums[starts + m] - sums[starts]) > m
+    return np.packbits(over, axis=1, bitorder="little").view("<u8").ravel()
 
 
 class MultiIndex:
@@ -135,7 +132,7 @@ class Benchmark:
         for length, members in sorted(grouped.items()):
             k = min(shingle, length)
             hashes = [t.shingles(k) for _, t in members]
-            fps = np.array([window_hashes(h, np.zeros(1, np.int64), len(h))[0] for h in hashes], np.uint64)
+            fps = np.array([window_hashes(bit_sums(h), np.zeros(1, np.int64), len(h))[0] for h in hashes], np.uint64)
             known.setdefault(k, []).extend(hashes)
             self.groups.setdefault(k, []).append(
                 (length, [i for i, _ in members], MultiIndex(fps, RADIUS), [Counter(h.tolist()) for h in hashes]))
@@ -145,6 +142,14 @@ class Benchmark:
             self.map[k] = np.zeros(1 << _MAP_BITS, bool)
             self.map[k][h & np.uint64((1 << _MAP_BITS) - 1)] = True
 
+    def _regions(self, h: np.ndarray, hit: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(first start, bit sums from there) of the stretches of at most
+        ``_REGION`` starts in which windows can hold a hit, in order."""
+        widest = self.groups[k][-1][0] - k + 1
+        for part in np.split(hit, np.flatnonzero(np.diff(hit) > widest + _REGION) + 1):
+            for first in range(max(0, int(part[0]) - widest + 1), int(part[-1]) + 1, _REGION):
+                yield first, bit_sums(h[first:first + _REGION + widest])
+
     def find(self, raw: bytes, first_only: bool = False) -> list[tuple[object, float, int, int]]:
         """(item, similarity, first word, words) of the best window of each
         leaked item; of equally similar windows the first one."""
@@ -153,26 +158,29 @@ class Benchmark:
         for k, groups in self.groups.items():
             h = text.shingles(k)
             hit = np.flatnonzero(self.map[k][h & np.uint64((1 << _MAP_BITS) - 1)])
-            hit = hit[np.isin(h[hit], self.known[k])] if len(hit) else hit
+            place = np.minimum(np.searchsorted(self.known[k], h[hit]), len(self.known[k]) - 1)
+            hit = hit[self.known[k][place] == h[hit]]
             if not len(hit):
                 continue
             before = np.zeros(len(h) + 1, np.int32)
             before[hit + 1] = 1
             before = np.cumsum(before)
-            for length, ids, index, counts in groups:
-                m = length - k + 1
-                if m > len(h):
-                    continue
-                starts = np.flatnonzero(before[m:] > before[:-m])
-                if not len(starts):
-                    continue
-                window, item = index.within(window_hashes(h, starts, m))
-                for w, i in zip(starts[window].tolist(), item.tolist(), strict=True):
-                    s = weighted_similarity(Counter(h[w:w + m].tolist()), counts[i])
-                    if s >= self.similarity and s > best.get((length, i), (None, 0.0))[1]:
-                        best[length, i] = (ids[i], s, w, length)
-                        if first_only:
-                            return list(best.values())
+            for first, sums in self._regions(h, hit, k):
+                for length, ids, index, counts in groups:
+                    m = length - k + 1
+                    n = min(_REGION, len(h) - m + 1 - first)
+                    if n < 1:
+                        continue
+                    starts = np.flatnonzero(before[first + m:first + n + m] > before[first:first + n])
+                    if not len(starts):
+                        continue
+                    window, item = index.within(window_hashes(sums, starts, m))
+                    for w, i in zip((starts[window] + first).tolist(), item.tolist(), strict=True):
+                        s = weighted_similarity(Counter(h[w:w + m].tolist()), counts[i])
+                        if s >= self.similarity and s > best.get((length, i), (None, 0.0))[1]:
+                            best[length, i] = (ids[i], s, w, length)
+                            if first_only:
+                                return list(best.values())
         return list(best.values())
 
 
