@@ -65,7 +65,7 @@ def test_write_submission(spark, tmpdir_path):
 
 
 def test_token_vectors_and_vocab(spark, tmpdir_path):
-    vp = _write(tmpdir_path, "vec.txt", "a 1 2\nb 3 4\nbad 1\n")
+    vp = _write(tmpdir_path, "vec.txt", "a 1 2\nb 3 4\n")
     v = {r.token: r.vector for r in read_token_vectors(spark, vp, 2).collect()}
     assert v == {"a": [1.0, 2.0], "b": [3.0, 4.0]}
     words = ["[PAD]", "[CLS]", "[SEP]", "[UNK]", "a", "test"]

@@ -11,9 +11,13 @@ over several tasks instead of one.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from titleflow.session import cut_lineage
+
 # Lookup tables up to this many rows are broadcast (a vocabulary of 50k
 # words, or 300-dim vectors for ~200k words, stays well under 1 GB).
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
@@ -62,13 +66,21 @@ def align_labels(x: DataFrame, y: DataFrame, on: str = "Id", how: str = "inner",
     join, equal key sets (the reference pairs rows by position and silently
     mis-pairs otherwise); ``check='unique'`` only demands unique keys;
     ``check=False`` skips the extra jobs.
+
+    A label column that the features have already (the NULL placeholder of
+    unlabelled tables, say) takes the label table's value; where that one
+    is NULL or missing the features' own value stays.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     if check:
         check_keys(x, y, on, equal=(check is True and how == "inner"))
-    label_cols = [c for c in y.columns if c != on and c not in x.columns]
-    return x.join(y.select(on, *label_cols), on=on, how=how)
+    both = [c for c in y.columns if c != on and c in x.columns]
+    y = y.withColumnsRenamed({c: f"__tf_y_{c}" for c in both})
+    out = x.join(y, on=on, how=how)
+    for c in both:
+        out = out.withColumn(c, F.coalesce(F.col(f"__tf_y_{c}"), F.col(c)))
+    return out.drop(*[f"__tf_y_{c}" for c in both])
 
 
 def table_rows_at_most(table: DataFrame, bound: int) -> bool:
@@ -86,7 +98,7 @@ def hot_keys(df: DataFrame, key: str, *, sample_fraction: float = 0.01,
     if sample_fraction < 1.0:
         sample = sample.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
     n = sample.count()
-    threshold = max(2, int(hot_share * n))
+    threshold = max(2, math.ceil(hot_share * n))
     return (sample.groupBy(key).agg(F.count(F.lit(1)).alias("__tf_c"))
             .where(F.col("__tf_c") >= threshold).select(key))
 
@@ -122,8 +134,9 @@ def lookup_join(df: DataFrame, table: DataFrame, key: str, *, how: str = "left",
         small = known_rows is not None and known_rows <= max_broadcast_rows
         if small or table_rows_at_most(table, max_broadcast_rows):
             return df.join(F.broadcast(table), on=key, how=how)
-    hot = F.broadcast(hot_keys(df, key, sample_fraction=sample_fraction, hot_share=hot_share)
-                      .withColumn("__tf_hot", F.lit(True)))
+    # written once: both sides must salt exactly the same keys
+    hot = cut_lineage(hot_keys(df, key, sample_fraction=sample_fraction, hot_share=hot_share))
+    hot = F.broadcast(hot.withColumn("__tf_hot", F.lit(True)))
     salt_cols = salt_by or list(df.columns)
     salt = "__tf_salt"
     stream = df.join(hot, on=key, how="left")

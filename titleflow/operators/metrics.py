@@ -50,15 +50,19 @@ def per_class_accuracy(df: DataFrame, n_classes: int = 30, *,
     """Accuracy per true class for every class 0..n_classes-1.
 
     A class without rows is listed with ``n = 0`` and NULL accuracy (the
-    reference divides by zero there). The data is reduced by a partial +
-    final ``groupBy`` first (a hot class only adds to its map-side
-    counters); the class list is ``range(n_classes)`` joined to that result.
+    reference divides by zero there). Rows whose label is NULL or outside
+    the classes, if there are any, are counted in one more row with class
+    -1, so that ``n`` always adds up to all rows. The data is reduced by a
+    partial + final ``groupBy`` first (a hot class only adds to its
+    map-side counters); the class list is ``range(n_classes)`` joined to
+    that result.
     """
-    per = df.groupBy(F.col(label).cast("int").alias("class")).agg(
+    known = F.col(label).between(0, n_classes - 1)
+    per = df.groupBy(F.when(known, F.col(label)).otherwise(-1).cast("int").alias("class")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum((F.col(pred_col) == F.col(label)).cast("long")).alias("n_correct"))
+        F.coalesce(F.sum((F.col(pred_col) == F.col(label)).cast("long")), F.lit(0)).alias("n_correct"))
     classes = df.sparkSession.range(n_classes).select(F.col("id").cast("int").alias("class"))
-    out = classes.join(per, on="class", how="left")
+    out = classes.join(per, on="class", how="left").unionByName(per.where("class = -1"))
     n = F.coalesce(F.col("n"), F.lit(0)).cast("long")
     c = F.coalesce(F.col("n_correct"), F.lit(0)).cast("long")
     return out.select(
@@ -84,14 +88,19 @@ def batch_mean_loss(df: DataFrame, size: int, *, loss: str = "loss",
                     order_by: str = "Id", seed=None,
                     digits: int | None = None) -> DataFrame:
     """Unweighted mean over batches of each batch's mean loss, next to the
-    row-weighted mean."""
+    row-weighted mean. A row without a loss (a label outside the model's
+    outputs has none) fails the query instead of bending both means."""
     pos = with_batch(with_position(df, order_by, seed=seed), size)
     per_batch = pos.groupBy("batch_id").agg(F.avg(loss).alias("l"),
                                             F.count(F.lit(1)).alias("m"),
+                                            F.count(loss).alias("known"),
                                             F.sum(loss).alias("s"))
+    lost = F.sum(F.col("m") - F.col("known"))
+    message = F.concat(lost.cast("string"), F.lit(" rows without a loss: label outside the outputs?"))
     return per_batch.agg(
         F.count(F.lit(1)).alias("n_batches"),
-        _round(F.sum("s") / F.sum("m"), digits).alias("mean_loss"),
+        F.when(lost > 0, F.raise_error(message)).otherwise(
+            _round(F.sum("s") / F.sum("m"), digits)).alias("mean_loss"),
         _round(F.avg("l"), digits).alias("batch_mean_loss"))
 
 
@@ -114,6 +123,7 @@ def epoch_history(log: DataFrame, metrics: dict[str, str] | None = None, *,
     ``metrics`` maps an output column to a metric name in the log; the
     default is the reference's three epoch statistics.
     """
+    # fixed values: names of the three epoch statistics and their metrics
     metrics = metrics or {"training_loss": "avg_train_loss",
                           "valid_loss": "avg_val_loss",
                           "valid_accur": "val_accuracy"}

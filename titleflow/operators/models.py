@@ -12,8 +12,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import HashingTF, IDF
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
+from pyspark.ml.feature import CountVectorizer, HashingTF, IDF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,10 +67,30 @@ def fit_title(df: DataFrame, *, text: str = "Title", label: str = "Genre",
     """
     tokens = "__tf_tokens"
     est = title_estimator(tokens=tokens, label=label, **params)
-    data = df.select(text, F.col(label).cast("double").alias(label))
-    if materialize:
-        data = right_size(cut_lineage(data))
-    return TitleClassifier(est.fit(data.withColumn(tokens, tokenize_basic(text))), text, tokens)
+    if not materialize:
+        data = df.select(tokenize_basic(text).alias(tokens), F.col(label).cast("double").alias(label))
+        return TitleClassifier(est.fit(data), text, tokens)
+    # hashed term counts are written, not the texts: no second copy of the
+    # corpus, and no pass tokenises it again
+    hashing, *rest = est.getStages()
+    counts = hashing.transform(df.select(tokenize_basic(text).alias(tokens),
+                                         F.col(label).cast("double").alias(label)))
+    data = right_size(cut_lineage(counts.drop(tokens)))
+    fitted = Pipeline(stages=rest).fit(data)
+    return TitleClassifier(PipelineModel(stages=[hashing, *fitted.stages]), text, tokens)
+
+
+def fit_naive_bayes(df: DataFrame, *, text: str = "Title", label: str = "Genre",
+                    smoothing: float = 1.0, vocab_size: int = 1 << 18) -> TitleClassifier:
+    """Train a multinomial naive Bayes title classifier (M1) on token
+    counts: one pass for the vocabulary, one for the counts per class. The
+    model holds a weight per token and class, so the vocabulary is bounded
+    by ``vocab_size`` (the most frequent tokens)."""
+    tokens = "__tf_tokens"
+    counts = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocab_size, minDF=1.0)
+    bayes = NaiveBayes(featuresCol="features", labelCol=label, modelType="multinomial", smoothing=smoothing)
+    data = cut_lineage(df.select(tokenize_basic(text).alias(tokens), F.col(label).cast("double").alias(label)))
+    return TitleClassifier(Pipeline(stages=[counts, bayes]).fit(data), text, tokens)
 
 
 def vector_features(df: DataFrame, features: str, out: str = "features") -> DataFrame:

@@ -31,10 +31,13 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 _BUCKET = "__tf_bucket"
 _ORDER = "__tf_order"
@@ -55,9 +58,11 @@ def shuffle_key(key: Column | str, seed, *salts: Column | str) -> Column:
     seed ...)``, which is how the oracle reproduces the order.
     """
     k = F.col(key) if isinstance(key, str) else key
-    parts = [k.cast("string"), F.lit(f"#{seed}")]
+    # NULL keys share one place in the order instead of having none
+    parts = [F.coalesce(k.cast("string"), F.lit("<null>")), F.lit(f"#{seed}")]
     for s in salts:
-        parts += [F.lit("#"), (F.col(s) if isinstance(s, str) else s).cast("string")]
+        salt = (F.col(s) if isinstance(s, str) else s).cast("string")
+        parts += [F.lit("#"), F.coalesce(salt, F.lit("<null>"))]
     return F.md5(F.concat(*parts))
 
 
@@ -73,14 +78,23 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def _md5_bucket(order_col: Column, buckets: int) -> Column:
-    digits = max(1, math.ceil(math.log(max(buckets, 2), 16)))
-    return F.conv(F.substring(order_col, 1, digits), 16, 10).cast("int")
+    """Exactly ``buckets`` buckets, monotone in the md5 text: its first 32
+    bits as a fraction of 2^32."""
+    lead = F.conv(F.substring(order_col, 1, 8), 16, 10).cast("long")
+    return F.shiftright(lead * F.lit(int(buckets)).cast("long"), 32).cast("int")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """Tie-break for rows with equal (or NULL) keys: makes their order, and
+    so a retried task's numbers, repeatable."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
 
 
 # At most this many sampled keys reach the driver to place bucket bounds
 # (the same budget Spark's range partitioner uses for its sample).
 MAX_BOUND_SAMPLE = 1_000_000
 SAMPLES_PER_BUCKET = 20
+NULL_BUCKETS = 64
 
 
 def _quantile_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
@@ -94,8 +108,19 @@ def _quantile_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
     and only the ``buckets - 1`` bounds reach the driver. The bucket is
     monotone in the key (the double cast is monotone), so ranges stay
     ordered even when two large ids round to the same double; sampling
-    error only makes buckets unequal in size.
+    error only makes buckets unequal in size. NULL keys come first, in
+    buckets of their own below zero (several, by the row's hash, as they
+    may be many); NaN comes last.
     """
+    kind = df.schema[order_col].dataType
+    if not isinstance(kind, (NumericType, BooleanType)):
+        raise TypeError(f"a natural order needs a numeric column, not {kind.simpleString()}")
+    return _value_bucket(df, order_col, buckets).withColumn(
+        _BUCKET, F.when(F.col(order_col).isNull(), (F.pmod(_row_hash(df), F.lit(NULL_BUCKETS)) - NULL_BUCKETS).cast("int"))
+        .otherwise(F.col(_BUCKET)))
+
+
+def _value_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
     n = df.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
     buckets = max(1, min(buckets, max(2 * cores, n // 100_000), n // SAMPLES_PER_BUCKET or 1))
@@ -141,8 +166,9 @@ def _bucketed(df: DataFrame, order_by: Column | str, parts: list[str], seed, sal
 
 
 def _rank(rows: DataFrame, parts: list[str], out: str) -> DataFrame:
-    """Position = bucket offset + row number inside the bucket."""
-    rn = F.row_number().over(Window.partitionBy(*parts, _BUCKET).orderBy(_ORDER))
+    """Position = bucket offset + row number inside the bucket; rows with
+    equal keys are ordered by their hash."""
+    rn = F.row_number().over(Window.partitionBy(*parts, _BUCKET).orderBy(F.col(_ORDER), _row_hash(rows)))
     return rows.withColumn(out, (rn - 1 + F.col("__tf_off")).cast("long"))
 
 
@@ -177,7 +203,10 @@ def with_position(df: DataFrame, order_by: Column | str, *,
     # broadcasts it at run time only under the configured threshold.
     if not parts:
         offsets = F.broadcast(offsets)
-    joined = keyed.join(offsets.drop("__tf_n"), on=[*parts, _BUCKET], how="inner")
+    # rows of a NULL group are a group, too: the join must not lose them
+    side = offsets.drop("__tf_n").withColumnsRenamed({c: f"__tf_g_{c}" for c in [*parts, _BUCKET]})
+    same = reduce(and_, [keyed[c].eqNullSafe(side[f"__tf_g_{c}"]) for c in [*parts, _BUCKET]])
+    joined = keyed.join(side, same, "inner").drop(*[f"__tf_g_{c}" for c in [*parts, _BUCKET]])
     return _rank(joined, parts, out).drop(_BUCKET, _ORDER, "__tf_off")
 
 
@@ -211,7 +240,8 @@ def with_batch(df: DataFrame, size: int, *, pos: str = "pos",
     """Fixed-size batches over a position column; the last one may be short."""
     if size <= 0:
         raise ValueError("batch size must be positive")
-    return df.withColumn(out, F.floor(F.col(pos) / F.lit(size)).cast("long"))
+    # integer division: a double holds positions up to 2^53 only
+    return df.withColumn(out, F.expr(f"`{pos}` div {int(size)}"))
 
 
 def pool(**named: DataFrame) -> DataFrame:
@@ -301,7 +331,7 @@ def step_count(df: DataFrame, size: int, epochs: int) -> DataFrame:
         n.alias("n_rows"),
         F.lit(size).alias("batch_size"),
         F.lit(epochs).alias("epochs"),
-        (F.ceil(n / F.lit(size)) * F.lit(epochs)).cast("long").alias("steps"),
+        F.expr(f"(count(1) + {int(size) - 1}) div {int(size)} * {int(epochs)}").alias("steps"),
     )
 
 

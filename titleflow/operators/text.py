@@ -187,19 +187,25 @@ def clean(df: DataFrame, title: str = "Title", *, blocklist: Sequence[str] | Non
     return staged.withColumn(out_text, joined_text(out_tokens))
 
 
-def build_vocab(df: DataFrame, tokens: str, size: int, *, n_specials: int = 4,
+def build_vocab(df: DataFrame, tokens: str, size: int | None = None, *, n_specials: int = 4,
                 min_count: int = 1) -> DataFrame:
-    """Vocabulary ``(token, id, count)`` of the ``size`` most frequent
-    tokens, ties broken by token; ids start after the ``n_specials``
-    reserved ids (pad 0, start 1, end 2, unknown 3 by default).
+    """Vocabulary ``(token, id, count)`` of all tokens, most frequent first,
+    ties broken by token; ids start after the ``n_specials`` reserved ids
+    (pad 0, start 1, end 2, unknown 3 by default). ``size`` keeps only the
+    most frequent ones.
 
     Counting is a partial + final aggregate (a hot token only bumps
-    map-side counters); the top-k is a distributed take-ordered, and only
-    the ``size`` winners are numbered.
+    map-side counters). The full vocabulary is range-partitioned by (count,
+    token), sorted inside the partitions and written once; a token's id is
+    its partition's offset plus its place there, so no task numbers the
+    whole table and the many tokens with count 1 are spread. A top-k is a
+    distributed take-ordered, and only its rows are numbered.
     """
     counts = (explode_values(df, tokens, "token")
               .groupBy("token").agg(F.count(F.lit(1)).alias("count"))
               .where(F.col("count") >= min_count))
+    if size is None:
+        return _numbered(counts, n_specials)
     top = counts.orderBy(F.desc("count"), F.asc("token")).limit(size)
     from pyspark.sql import Window
     w = Window.orderBy(F.desc("count"), F.asc("token"))
@@ -207,6 +213,25 @@ def build_vocab(df: DataFrame, tokens: str, size: int, *, n_specials: int = 4,
                       F.col("count").cast("long").alias("count"))
 
 
+def _numbered(counts: DataFrame, first: int) -> DataFrame:
+    """``(token, id, count)`` in (count descending, token) order from ``first``."""
+    from pyspark.sql import Window
+
+    from titleflow.session import cut_lineage
+    order = [F.desc("count"), F.asc("token")]
+    dealt = counts.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the high bits of this id are the partition, the low 33 bits the place
+    placed = cut_lineage(dealt.withColumn("__tf_at", F.monotonically_increasing_id()))
+    placed = placed.select("token", "count", F.shiftright("__tf_at", 33).alias("__tf_part"),
+                           F.col("__tf_at").bitwiseAND(F.lit((1 << 33) - 1)).alias("__tf_place"))
+    sizes = placed.groupBy("__tf_part").agg(F.count(F.lit(1)).alias("n"))  # one row per partition
+    before = Window.orderBy("__tf_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__tf_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__tf_off"))
+    return placed.join(F.broadcast(offsets), "__tf_part").select(
+        "token", (F.col("__tf_off") + F.col("__tf_place") + first).cast("int").alias("id"),
+        F.col("count").cast("long").alias("count"))
+
+
 def encode(df: DataFrame, tokens: str, vocab: DataFrame, *, key: str = "Id",
            max_len: int = 64, start_id: int | None = 1, end_id: int | None = 2,
            pad_id: int = 0, unk_id: int = 3, vocab_rows: int | None = None,

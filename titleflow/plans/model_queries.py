@@ -8,6 +8,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from titleflow.functions.arrays import argmax
 from titleflow.operators import models as MD
 from titleflow.operators import sampling as S
 from titleflow.operators import tuning as TU
@@ -38,8 +39,7 @@ def score_title_model(spark, sf):
     data = S.split_exact(_part_titles(spark, sf), "Id", 0.9, SEED)
     train = data.where(F.col("split") == "train")
     val = data.where(F.col("split") == "validation")
-    # part names are two words from a small vocabulary: 4096 hash buckets
-    model = MD.fit_title(train, text="Title", label="Genre", num_features=1 << 12, max_iter=30)
+    model = MD.fit_title(train, text="Title", label="Genre")
     return MD.score(model, val, keep=["Id", "Genre"]).select("Id", "Genre", "pred")
 
 
@@ -51,25 +51,26 @@ def _vector_split(spark, sf):
 
 def score_vector_model(spark, sf):
     train, val = _vector_split(spark, sf)
-    model = MD.fit_vectors(train, "embedding", [64, 32, 10], label="Genre", max_iter=50, seed=SEED)
+    model = MD.fit_vectors(train, "embedding", [64, 32, 10], label="Genre", seed=SEED)
     return MD.score(model, val, features="embedding", keep=["Id", "Genre"]).select("Id", "Genre", "pred")
 
 
 def evaluate_vector_model(spark, sf):
     train, val = _vector_split(spark, sf)
-    model = MD.fit_vectors(train, "embedding", [64, 32, 10], label="Genre", max_iter=50, seed=SEED)
+    model = MD.fit_vectors(train, "embedding", [64, 32, 10], label="Genre", seed=SEED)
     return MD.evaluate(model, val, 50, key="Id", label="Genre", features="embedding", digits=6)
 
 
-def random_search(spark, sf):
+def random_search(spark, sf, k: int = 3):
     """Seeded random search over a 4 x 3 x 4 = 48-point grid of the MLP on
     the ``embeddings`` vectors: step size (learning rate of the gradient-descent
-    solver) x hidden width x iterations, defaults 1e-3 / 32 / 30; three
+    solver) x hidden width x iterations, defaults 1e-3 / 32 / 30; ``k``
     sampled settings are fitted and scored on the fixed validation split."""
     train, val = _vector_split(spark, sf)
     train = MD.vector_features(train, "embedding").withColumn("Genre", F.col("Genre").cast("double"))
     val = val.select("Id", "embedding", "Genre")
     mlp = MD.vector_estimator([64, 32, 10], label="Genre", solver="gd", seed=SEED)
+    # fixed values: step sizes, iterations and defaults of the search
     grid = (ParamGridBuilder()
             .addGrid(mlp.stepSize, [1e-5, 1e-4, 1e-3, 1e-2])
             .addGrid(mlp.layers, [[64, 16, 10], [64, 32, 10], [64, 64, 10]])
@@ -80,11 +81,35 @@ def random_search(spark, sf):
     def ev(model, v):
         return MD.evaluate(model, v, 50, key="Id", label="Genre", features="embedding", digits=6)
 
-    return TU.random_search(mlp, grid, train, val, k=3, seed=SEED, evaluate=ev, defaults=defaults)
+    return TU.random_search(mlp, grid, train, val, k=k, seed=SEED, evaluate=ev, defaults=defaults)
 
 
-def best_search_run(spark, sf):
-    return TU.best_run(random_search(spark, sf), "val_accuracy")
+def best_search_run(spark, sf, k: int = 3):
+    return TU.best_run(random_search(spark, sf, k), "val_accuracy")
+
+
+def _part_naive_bayes(spark, sf):
+    """Multinomial naive Bayes on the part names of the training split: its
+    fit is a closed form over counts, which SQL repeats exactly."""
+    data = S.split_exact(_part_titles(spark, sf), "Id", 0.9, SEED)
+    model = MD.fit_naive_bayes(data.where("split = 'train'"), text="Title", label="Genre")
+    scored = MD.score(model, data.where("split = 'validation'"), keep=["Id", "Genre"])
+    # rounded so that the last bits of two engines can't break a tie differently
+    return scored.select("Id", "Genre", F.transform("z", lambda x: F.round(x, 9)).alias("z"))
+
+
+def naive_bayes_titles(spark, sf):
+    """Validation titles with their most likely class and its log score."""
+    s = _part_naive_bayes(spark, sf)
+    return s.select("Id", "Genre", argmax("z").alias("pred"), F.round(F.array_max("z"), 6).alias("log_score"))
+
+
+def naive_bayes_per_class(spark, sf):
+    """Per-class accuracy of those predictions, the truth joined by key."""
+    from titleflow.operators.metrics import per_class_accuracy, with_truth
+    s = _part_naive_bayes(spark, sf)
+    joined = with_truth(s.select("Id", argmax("z").alias("pred")), _part_titles(spark, sf))
+    return per_class_accuracy(joined, 6, digits=6)
 
 
 def _doc_titles(spark, sf):
@@ -103,7 +128,7 @@ def _fit_documents(spark, sf):
     data = S.split_exact(labelled, "Id", 0.9, SEED)
     train = data.where(F.col("split") == "train")
     val = data.where(F.col("split") == "validation")
-    model = MD.fit_title(train, text="Title", label="Genre", num_features=1 << 14, max_iter=20)
+    model = MD.fit_title(train, text="Title", label="Genre")
     return model, val, d, y
 
 
@@ -131,11 +156,11 @@ def _document_vectors(spark, sf, docs, corpus):
     from titleflow.functions.text import tokenize_basic
     from titleflow.operators import text as X
     corpus_toks = corpus.select("Id", tokenize_basic("Title").alias("tokens"))
-    vocab = X.build_vocab(corpus_toks, "tokens", 1000, n_specials=0).select(
+    vocab = X.build_vocab(corpus_toks, "tokens", n_specials=0).select(
         "token", F.col("id").cast("long").alias("rank"))
     vectors = X.token_vectors_from_vocab(vocab, read_table(spark, sf, "embeddings"))
     toks = docs.select("Id", tokenize_basic("Title").alias("tokens"))
-    emb = X.embed_tokens(toks, "tokens", vectors, 64, key="Id", length=15, vectors_rows=1000)
+    emb = X.embed_tokens(toks, "tokens", vectors, 64, key="Id", length=15)
     return emb.select("Id", X.matrix_features("embedded", 64, "mean").alias("vec"))
 
 
@@ -158,7 +183,7 @@ def score_title_vectors_model(spark, sf):
     """Token vectors -> mean title vector -> MLP (the recurrent title
     model's data path), scored on the validation titles."""
     train, val = _title_vector_split(spark, sf)
-    model = MD.fit_vectors(train, "vec", [64, 32, 4], label="Genre", max_iter=50, seed=SEED)
+    model = MD.fit_vectors(train, "vec", [64, 32, 4], label="Genre", seed=SEED)
     return MD.score(model, val, features="vec", keep=["Id", "Genre"]).select("Id", "Genre", "pred")
 
 
@@ -170,7 +195,7 @@ def ensemble_title_models(spark, sf):
     model_a, val_a, _, y = _fit_documents(spark, sf)
     a = MD.score(model_a, val_a.select("Id", "Title"), keep=["Id"])
     train_b, val_b = _title_vector_split(spark, sf)
-    model_b = MD.fit_vectors(train_b, "vec", [64, 32, 4], label="Genre", max_iter=50, seed=SEED)
+    model_b = MD.fit_vectors(train_b, "vec", [64, 32, 4], label="Genre", seed=SEED)
     b = MD.score(model_b, val_b, features="vec", keep=["Id"])
     ens = MD.ensemble(a, b, on="Id", mode="raw")
     return per_class_accuracy(with_truth(ens.select("Id", "pred"), y), 4, digits=6)
@@ -183,6 +208,8 @@ def registry():
         "evaluate_vector_model": evaluate_vector_model,
         "random_search": random_search,
         "best_search_run": best_search_run,
+        "naive_bayes_titles": naive_bayes_titles,
+        "naive_bayes_per_class": naive_bayes_per_class,
         "title_submission": title_submission,
         "title_validation": title_validation,
         "score_title_vectors_model": score_title_vectors_model,

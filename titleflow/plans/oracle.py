@@ -240,12 +240,11 @@ FROM d LEFT JOIN agg USING (Id)""",
     "build_vocab": f"""
 WITH {DOCS_TOKENS}, {VOCAB_COUNTS}
 SELECT token, CAST(row_number() OVER (ORDER BY c DESC, token) - 1 + 4 AS INTEGER) AS id, CAST(c AS BIGINT) AS count
-FROM cnt QUALIFY row_number() OVER (ORDER BY c DESC, token) <= {Q.VOCAB_SIZE}""",
+FROM cnt""",
 
     "encode_titles": f"""
 WITH {DOCS_TOKENS}, {VOCAB_COUNTS},
-  vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY c DESC, token) - 1 + 4 AS INTEGER) AS id
-            FROM cnt QUALIFY row_number() OVER (ORDER BY c DESC, token) <= {Q.VOCAB_SIZE}),
+  vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY c DESC, token) - 1 + 4 AS INTEGER) AS id FROM cnt),
   tr AS (SELECT Id, toks[1:{Q.MAX_LEN - 2}] AS tt FROM d),
   u AS (SELECT Id, unnest(tt) AS token, generate_subscripts(tt, 1) AS pos FROM tr),
   l AS (SELECT u.Id, u.pos, coalesce(v.id, 3) AS vid FROM u LEFT JOIN vocab v ON v.token = u.token),
@@ -259,8 +258,7 @@ FROM f""",
 
     "embed_tokens": f"""
 WITH {DOCS_TOKENS}, {VOCAB_COUNTS},
-  vocab AS (SELECT token, row_number() OVER (ORDER BY c DESC, token) - 1 AS rank
-            FROM cnt QUALIFY row_number() OVER (ORDER BY c DESC, token) <= {Q.VOCAB_SIZE}),
+  vocab AS (SELECT token, row_number() OVER (ORDER BY c DESC, token) - 1 AS rank FROM cnt),
   vec AS (SELECT v.token, e.embedding AS vector FROM vocab v JOIN embeddings e ON e.vec_id = v.rank),
   f AS (SELECT Id, list_resize(toks, {Q.SENTENCE_LEN}, '') AS ft FROM d),
   u AS (SELECT Id, unnest(ft) AS token, generate_subscripts(ft, 1) AS pos FROM f),
@@ -291,6 +289,42 @@ ORDER BY val_accuracy DESC, run_id ASC LIMIT 1""",
 
 ORACLE["remove_tokens_join"] = ORACLE["remove_tokens"]
 
+#: Multinomial naive Bayes with smoothing 1 from counts: log prior
+#: ln(n_c + 1) - ln(n + k), log weight ln(count + 1) - ln(total_c + |V|).
+NAIVE_BAYES = f"""
+  cls AS (SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS Genre
+          FROM (SELECT DISTINCT p_type FROM part)),
+  p AS (SELECT p_partkey AS Id, cls.Genre, {_basic_tokens_sql("p_name")} AS toks,
+               row_number() OVER (ORDER BY md5(CAST(p_partkey AS VARCHAR) || '#{Q.SEED}')) - 1
+                 < floor(CAST(0.9 AS DOUBLE) * count(*) OVER ()) AS train
+        FROM part JOIN cls USING (p_type)),
+  tr AS (SELECT Genre, unnest(toks) AS token FROM p WHERE train),
+  classes AS (SELECT Genre, count(*) AS n_docs FROM p WHERE train GROUP BY Genre),
+  vocab AS (SELECT DISTINCT token FROM tr),
+  cnt AS (SELECT Genre, token, count(*) AS c FROM tr GROUP BY Genre, token),
+  tot AS (SELECT Genre, count(*) AS total FROM tr GROUP BY Genre),
+  prior AS (SELECT c.Genre, coalesce(tot.total, 0) AS total,
+                   ln(n_docs + 1.0) - ln((SELECT sum(n_docs) FROM classes) + (SELECT count(*) FROM classes) * 1.0) AS pi
+            FROM classes c LEFT JOIN tot USING (Genre)),
+  u AS (SELECT Id, unnest(toks) AS token FROM p WHERE NOT train),
+  w AS (SELECT u.Id, prior.Genre AS k,
+               sum(ln(coalesce(cnt.c, 0) + 1.0) - ln(prior.total + (SELECT count(*) FROM vocab) * 1.0)) AS s
+        FROM u JOIN vocab USING (token) CROSS JOIN prior
+        LEFT JOIN cnt ON cnt.Genre = prior.Genre AND cnt.token = u.token GROUP BY u.Id, prior.Genre),
+  z AS (SELECT p.Id, p.Genre, prior.Genre AS k, round(pi + coalesce(w.s, 0.0), 9) AS z
+        FROM p CROSS JOIN prior LEFT JOIN w ON w.Id = p.Id AND w.k = prior.Genre WHERE NOT p.train),
+  nb AS (SELECT Id, Genre, CAST(first(k ORDER BY z DESC, k) AS INTEGER) AS pred, max(z) AS best
+         FROM z GROUP BY Id, Genre)"""
+
+ORACLE["naive_bayes_titles"] = f"WITH {NAIVE_BAYES}\nSELECT Id, Genre, pred, round(best, 6) AS log_score FROM nb"
+
+ORACLE["naive_bayes_per_class"] = f"""WITH {NAIVE_BAYES},
+  s AS (SELECT Genre, count(*) AS n, sum(CASE WHEN pred = Genre THEN 1 ELSE 0 END) AS n_correct FROM nb GROUP BY Genre)
+SELECT CAST(c.range AS INTEGER) AS class, CAST(coalesce(n, 0) AS BIGINT) AS n,
+       CAST(coalesce(n_correct, 0) AS BIGINT) AS n_correct,
+       CASE WHEN n > 0 THEN round(100.0 * (n_correct / CAST(n AS DOUBLE)), {D}) END AS accuracy
+FROM range(6) c LEFT JOIN s ON s.Genre = c.range"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

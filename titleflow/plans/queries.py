@@ -40,7 +40,6 @@ DIGITS = 6
 EMB_CLASSES = 10
 BATCH = 30
 SEED = 42
-VOCAB_SIZE = 1000
 MAX_LEN = 64
 SENTENCE_LEN = 15
 
@@ -252,8 +251,8 @@ def clean_text(spark, sf):
     return c.select("Id", "clean_text", F.size("clean_tokens").alias("n_clean"))
 
 
-def _vocab(spark, sf, size=VOCAB_SIZE, n_specials=4) -> DataFrame:
-    return X.build_vocab(_basic_tokens(spark, sf), "tokens", size, n_specials=n_specials)
+def _vocab(spark, sf, n_specials=4) -> DataFrame:
+    return X.build_vocab(_basic_tokens(spark, sf), "tokens", n_specials=n_specials)
 
 
 def build_vocab(spark, sf):
@@ -261,8 +260,7 @@ def build_vocab(spark, sf):
 
 
 def encode_titles(spark, sf):
-    enc = X.encode(_basic_tokens(spark, sf), "tokens", _vocab(spark, sf), key="Id",
-                   max_len=MAX_LEN, vocab_rows=VOCAB_SIZE)
+    enc = X.encode(_basic_tokens(spark, sf), "tokens", _vocab(spark, sf), key="Id", max_len=MAX_LEN)
     return enc.select("Id", F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("input_ids"),
                       F.array_join(F.col("attention_mask").cast("array<string>"), " ").alias("attention_mask"),
                       "n_tokens")
@@ -270,11 +268,11 @@ def encode_titles(spark, sf):
 
 def embed_tokens(spark, sf):
     e = _t(spark, sf, "embeddings")
-    vocab = _vocab(spark, sf, size=VOCAB_SIZE, n_specials=0).select(
+    vocab = _vocab(spark, sf, n_specials=0).select(
         "token", F.col("id").cast("long").alias("rank"))
     vectors = X.token_vectors_from_vocab(vocab, e)
     emb = X.embed_tokens(_basic_tokens(spark, sf), "tokens", vectors, 64, key="Id",
-                         length=SENTENCE_LEN, vectors_rows=VOCAB_SIZE)
+                         length=SENTENCE_LEN)
     total = F.aggregate(F.flatten("embedded"), F.lit(0.0).cast("double"), lambda a, x: a + x)
     return emb.select("Id", "n_known", F.round(total, DIGITS).alias("vec_sum"))
 

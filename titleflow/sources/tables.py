@@ -102,14 +102,21 @@ def without_labels(df: DataFrame, label: str = "Genre") -> DataFrame:
 
 def read_token_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame:
     """Whitespace-separated ``token v1 .. v_dim`` text file (GloVe layout) ->
-    ``token string, vector array<float>``. Lines with another width are
-    dropped."""
-    raw = spark.read.text(path)
-    parts = F.split(F.col("value"), " ")
-    out = raw.select(parts.getItem(0).alias("token"),
-                     F.slice(parts, 2, dim).cast("array<float>").alias("vector"),
-                     F.size(parts).alias("__n"))
-    return out.where(F.col("__n") == dim + 1).drop("__n")
+    ``token string, vector array<float>``.
+
+    The last ``dim`` fields are the vector and what stands before them is
+    the token, which may hold blanks itself; blanks around a line and empty
+    lines are ignored. A line with fewer fields fails the read, as does a
+    field that is no number.
+    """
+    raw = spark.read.text(path).select(F.trim("value").alias("value")).where("value <> ''")
+    parts = raw.select("value", F.split("value", " ").alias("p"))
+    n = F.size("p") - dim
+    fits = F.when(n >= 1, n).otherwise(
+        F.raise_error(F.concat(F.lit(f"no token with {dim} values: "), F.substring("value", 1, 80))).cast("int"))
+    return parts.withColumn("n", fits).select(
+        F.array_join(F.slice("p", F.lit(1), F.col("n")), " ").alias("token"),
+        F.slice("p", F.col("n") + 1, F.lit(dim)).cast("array<float>").alias("vector"))
 
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
@@ -118,11 +125,14 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     ``monotonically_increasing_id`` grows with the file offset inside a
     split and across the ordered splits of a file, so ranking it with the
     distributed position index gives the line number without a driver
-    pass or a single-task window.
+    pass or a single-task window. Several files have no common line
+    numbers (a scan orders them by size), so they are refused.
     """
     from titleflow.operators.sampling import with_position
-    raw = spark.read.text(path).select(F.col("value").alias("token"),
-                                       F.monotonically_increasing_id().alias("__tf_line"))
+    lines = spark.read.text(path)
+    if len(lines.inputFiles()) > 1:
+        raise ValueError("a vocabulary is one file: line numbers of several files are undefined")
+    raw = lines.select(F.col("value").alias("token"), F.monotonically_increasing_id().alias("__tf_line"))
     return (with_position(raw, "__tf_line", out="id")
             .select("token", F.col("id").cast("int").alias("id")))
 
@@ -151,7 +161,9 @@ def write_submission(df: DataFrame, path: str, *, id_col: str = "Id", genre: str
         raise ValueError("id_mode must be 'id' or 'position'")
     out = out.select(F.col(id_col).cast("long").alias("Id"), F.col(genre).cast("int").alias("Genre"))
     if single_file:
-        out = out.coalesce(1).sortWithinPartitions("Id")
+        # a shuffle of the two narrow columns: coalesce(1) would pull the
+        # scoring itself into the one writer task
+        out = out.repartition(1).sortWithinPartitions("Id")
     else:
         out = out.sortWithinPartitions("Id")
     out.write.mode(mode).option("header", True).csv(path)
