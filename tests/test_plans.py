@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = "part orders events documents embeddings benchmark labels".split()
+TABLES = "part orders events documents embeddings pages benchmark labels conversations".split()
 
 
 def _plan(df):
