@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from titleflow.operators import metrics as M
@@ -174,3 +175,26 @@ def test_summarise_formats_digits(spark):
     assert (r.loss, r.acc) == ("0.76", "60.00")
     r9 = M.summarise(df, ["loss"], digits=9).first()
     assert r9.loss == "0.758623676"
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.5, 1.0])
+@pytest.mark.parametrize("seed", [None, 3])
+def test_split_exact_with_repeated_keys_at_the_cut(spark, seed, fraction):
+    # 40 rows of NULL, 100 of key 7 and 60 others: every cut meets equal keys
+    df = spark.range(200).select(
+        F.when(F.col("id") < 40, F.lit(None)).when(F.col("id") < 140, 7).otherwise(F.col("id")).cast("long").alias("Id"),
+        F.col("id").alias("v"))
+    got = S.split_exact(df, "Id", fraction, seed)
+    rows = got.collect()
+    assert got.columns == ["Id", "v", "split"] and sorted(r.v for r in rows) == list(range(200))
+    assert sum(r.split == "train" for r in rows) == int(fraction * 200)
+    again = S.split_exact(df.repartition(5), "Id", fraction, seed, buckets=16).collect()
+    assert {r.v: r.split for r in rows} == {r.v: r.split for r in again}
+    assert S.split_exact(df.limit(0), "Id", fraction, seed).count() == 0
+
+
+def test_split_exact_is_one_pass(spark):
+    df = S.split_exact(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id"), "doc_id", 0.9)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan

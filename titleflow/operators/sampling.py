@@ -18,9 +18,8 @@ buckets instead:
    is the global position.
 
 One shuffle of the data (the window exchange) plus one tiny aggregate;
-:func:`split_exact` and :func:`take_positions` shuffle only the rows of
-the buckets they need. A
-hot group (a third of all rows under one ``partition_by`` value) is spread
+:func:`take_positions` shuffles only the rows of the buckets it needs, and
+:func:`split_exact` none but rows with equal keys at the cut. A hot group (a third of all rows under one ``partition_by`` value) is spread
 over all of its buckets, so no task receives the whole group. Positions are
 deterministic: md5 and the bounds are fixed, and keys are unique inside a
 group, so a retried task computes the same numbers.
@@ -266,26 +265,37 @@ def split_exact(df: DataFrame, key: str, fraction: float = 0.9, seed=42, *,
     Same rows for any partitioning of the input and for every rerun.
     ``floor`` is taken in double arithmetic (``int(0.9 * n)``).
 
-    Only one bucket of the md5 order can straddle the cut: rows of buckets
-    wholly before or after it get their side from a broadcast of the small
-    bucket table, and only the straddling bucket's rows are shuffled and
-    ranked - the split needs no shuffle of the whole table.
+    Two jobs over the key column find the order value at the cut (bucket
+    counts, then the values of the one bucket that holds it); one row
+    reaches the driver. The split itself compares every row with that
+    value: one pass without a join or a shuffle. Only where rows with equal
+    keys lie on both sides of the cut are those rows ranked by their hash.
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be within [0, 1]")
     keyed, offsets = _bucketed(df, key, [], seed, (), buckets, total="__tf_total")
     cut = F.floor(F.lit(float(fraction)) * F.col("__tf_total").cast("double"))
-    side = (F.when(F.col("__tf_off") + F.col("__tf_n") <= cut, F.lit(train))
-            .when(F.col("__tf_off") >= cut, F.lit(validation)))
-    table = F.broadcast(offsets.select(_BUCKET, "__tf_off", cut.alias("__tf_cut"),
-                                       side.alias("__tf_side")))
-    joined = keyed.join(table, on=_BUCKET, how="inner")
-    settled = joined.where(F.col("__tf_side").isNotNull()).withColumn(out, F.col("__tf_side"))
-    straddle = _rank(joined.where(F.col("__tf_side").isNull()), [], "__tf_pos")
-    straddle = straddle.withColumn(out, F.when(F.col("__tf_pos") < F.col("__tf_cut"), F.lit(train))
-                                   .otherwise(F.lit(validation))).drop("__tf_pos")
-    drop = [_BUCKET, _ORDER, "__tf_off", "__tf_cut", "__tf_side"]
-    return settled.drop(*drop).unionByName(straddle.drop(*drop))
+    at = offsets.where((F.col("__tf_off") < cut) & (cut <= F.col("__tf_off") + F.col("__tf_n"))).select(
+        _BUCKET, "__tf_off", cut.alias("__tf_cut")).first()
+    if at is None:  # no rows, or all of them behind the cut
+        return df.withColumn(out, F.lit(validation))
+    inside = keyed.where(F.col(_BUCKET) == at[_BUCKET]).groupBy(_ORDER).agg(F.count(F.lit(1)).alias("__tf_n"))
+    upto = F.lit(at["__tf_off"]) + F.sum("__tf_n").over(
+        Window.orderBy(_ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = inside.withColumn("__tf_upto", upto).where(F.col("__tf_upto") >= at["__tf_cut"]).orderBy("__tf_upto").first()
+    value, order = last[_ORDER], F.col(_ORDER)
+    # NULL order values (natural orders only) come first, in several buckets
+    before = F.lit(False) if value is None else F.coalesce(order < F.lit(value), F.lit(True))
+    tied = order.isNull() if value is None else order.eqNullSafe(F.lit(value))
+    side = F.when(before | tied, F.lit(train)).otherwise(F.lit(validation))
+    if value is not None and last["__tf_upto"] == at["__tf_cut"]:
+        return keyed.withColumn(out, side).drop(_BUCKET, _ORDER)
+    first = 0 if value is None else last["__tf_upto"] - last["__tf_n"]
+    ties = keyed.where(tied).drop(_BUCKET, _ORDER)
+    ties = with_position(ties, _row_hash(ties), out="__tf_pos", buckets=buckets)
+    ties = ties.withColumn(out, F.when(F.col("__tf_pos") < at["__tf_cut"] - first, F.lit(train))
+                           .otherwise(F.lit(validation))).drop("__tf_pos")
+    return keyed.where(~tied).withColumn(out, side).drop(_BUCKET, _ORDER).unionByName(ties)
 
 
 def split_hash(df: DataFrame, key: str, fraction: float = 0.9, seed=42, *,
