@@ -1,5 +1,6 @@
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from titleflow.functions import tokenize_basic
@@ -101,3 +102,26 @@ def test_matrix_features(spark):
     df = spark.createDataFrame([([[1.0, 2.0], [3.0, 4.0], [0.0, 0.0]],)], "m array<array<float>>")
     r = df.select(X.matrix_features("m", 2, "mean").alias("a"), X.matrix_features("m", 2, "concat").alias("b")).first()
     assert [round(v, 6) for v in r.a] == [round(4 / 3, 6), 2.0] and r.b == [1.0, 2.0, 3.0, 4.0, 0.0, 0.0]
+
+
+@pytest.mark.parametrize("rows", [200_000, 0])
+def test_lookups_keep_repeated_and_null_keys(spark, monkeypatch, rows):
+    """The batch lookup and the shuffled one (no small tables) give the same."""
+    monkeypatch.setattr(X, "LOOKUP_ROWS", rows)
+    df = spark.createDataFrame([(1, ["a", "The", None]), (1, ["b"]), (None, ["b", "x"]), (None, []), (2, None),
+                                (3, ["a", "a"]), (3, ["a", "a"])], "Id long, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int")
+    enc = sorted(tuple(r.input_ids) for r in X.encode(df, "tokens", vocab, max_len=5).collect())
+    assert enc == sorted([(1, 4, 3, 3, 2), (1, 5, 2, 0, 0), (1, 5, 3, 2, 0), (1, 2, 0, 0, 0), (1, 2, 0, 0, 0),
+                          (1, 4, 4, 2, 0), (1, 4, 4, 2, 0)])
+    vec = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "token string, vector array<float>")
+    emb = sorted(([v[0] for v in r.embedded], r.n_known) for r in X.embed_tokens(df, "tokens", vec, 1, length=2).collect())
+    assert len(emb) == 7 and emb.count(([1.0, 1.0], 2)) == 2 and ([2.0, 0.0], 1) in emb
+    kept = X.remove_tokens(df, "tokens", ["the", "b"], out="k", strategy="join").select("Id", "k").collect()
+    assert sorted(kept, key=str) == sorted([(1, ["a", None]), (1, []), (None, ["x"]), (None, []), (2, []),
+                                            (3, ["a", "a"]), (3, ["a", "a"])], key=str)
+    lem = X.lemmatize(df, "tokens", spark.createDataFrame([("a", "z")], "token string, lemma string"), out="l")
+    assert sorted(str(r.l) for r in lem.collect()) == sorted(map(str, [
+        ["z", "The", None], ["b"], ["b", "x"], [], [], ["z", "z"], ["z", "z"]]))
+    empty = X.encode(df, "tokens", vocab.limit(0), max_len=4).collect()
+    assert len(empty) == 7 and X.encode(df.limit(0), "tokens", vocab).count() == 0

@@ -1,21 +1,26 @@
 """Title text operators.
 
 Per-row work is done with native array expressions. Where a title's tokens
-must meet a lookup table (vocabulary ids, token vectors, lemmas) the
-tokens are exploded with their position, joined through
-:func:`~titleflow.operators.joins.lookup_join` (broadcast under a checked
-size, salted shuffle above it) and regrouped per title in position order.
-The regroup shuffles token rows by title key; a group is one title, whose
-length is already bounded by the stage that truncates it (encode, embed)
-or by the row itself (clean).
+must meet a lookup table (vocabulary ids, token vectors, lemmas, blocked
+tokens), a table whose rows and bytes are checked to be small travels to
+the executors whole and answers one Arrow batch of token lists at a time
+(:func:`_looked_up`): no explode, no shuffle. Above the bound the tokens
+are exploded with their position, joined through
+:func:`~titleflow.operators.joins.lookup_join` (salted shuffle) and
+regrouped per title in position order. The regroup shuffles token rows by
+title; a group is one title, whose length is already bounded by the stage
+that truncates it (encode, embed) or by the row itself (clean).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from titleflow.functions.arrays import fit_length
 from titleflow.operators.joins import lookup_join
@@ -24,6 +29,11 @@ from titleflow.operators.wordlists import (ENGLISH_STOP_WORDS, NOUN_SUFFIX_RULES
 
 _POS = "__tf_pos"
 _TOK = "__tf_tok"
+_ROW = "__tf_row"
+
+#: A lookup table of at most this many rows and bytes is sent to the executors whole.
+LOOKUP_ROWS = 200_000
+LOOKUP_BYTES = 64 << 20
 
 
 def token_blocklist(stop: Sequence[str] | None = None,
@@ -52,41 +62,88 @@ def explode_values(df: DataFrame, array_col: str, out: str, *,
             .where(F.col(out).isNotNull()))
 
 
+def _small_table(table: DataFrame, key: str, value: str) -> pa.Table | None:
+    """``(key, value)`` as Arrow data, or None above :data:`LOOKUP_ROWS` or
+    :data:`LOOKUP_BYTES`, which one job checks before anything is fetched."""
+    rows = table.select(F.col(key).alias("key"), F.col(value).alias("value")).where(F.col("key").isNotNull())
+    kind = rows.schema["value"].dataType
+    width = F.lit(8) if not isinstance(kind, ArrayType) else 8 * F.size("value")
+    if kind.simpleString() == "string":
+        width = F.octet_length("value")
+    n, size = rows.limit(LOOKUP_ROWS + 1).agg(
+        F.count(F.lit(1)), F.sum(F.octet_length("key") + F.coalesce(width, F.lit(0)))).first()
+    return rows.toArrow() if n <= LOOKUP_ROWS and (size or 0) <= LOOKUP_BYTES else None
+
+
+def _looked_up(df: DataFrame, tokens: Column, table: DataFrame, key: str, value: str) -> Column | None:
+    """Array of the table's values for a token array (NULL where the token
+    is not in the table), or None for a table that is too large."""
+    small = _small_table(table, key, value)
+    if small is None:
+        return None
+    shared = df.sparkSession.sparkContext.broadcast(small.combine_chunks())
+
+    @F.arrow_udf(ArrayType(table.schema[value].dataType))
+    def look(lists: pa.Array) -> pa.Array:
+        known = shared.value
+        at = pc.index_in(lists.flatten(), value_set=known["key"])
+        found = known["value"].take(at).combine_chunks()
+        if isinstance(found, pa.ChunkedArray):
+            found = pa.concat_arrays(found.chunks) if found.num_chunks else pa.array([], found.type)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0)
+        ends = pc.cumulative_sum(sizes).cast(pa.int32())
+        starts = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        return pa.ListArray.from_arrays(starts, found)
+
+    return look(F.coalesce(tokens, F.array().cast("array<string>")))
+
+
+def _with_row(df: DataFrame) -> DataFrame:
+    """Adds a hash over the whole row, which tells rows with equal or NULL
+    keys apart when their tokens are regrouped."""
+    return df.withColumn(_ROW, F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
+                                            if "map<" not in f.dataType.simpleString()]))
+
+
 def _explode_tokens(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """(key, pos, token) rows; a title without tokens keeps one row with
-    NULL pos so that it survives the regroup."""
-    return df.select(key, F.posexplode_outer(tokens).alias(_POS, _TOK))
+    """(key, row hash if present, pos, token) rows; a title without tokens
+    keeps one row with NULL pos so that it survives the regroup."""
+    row = [_ROW] if _ROW in df.columns else []
+    return df.select(key, *row, F.posexplode_outer(tokens).alias(_POS, _TOK))
 
 
 def _regroup(exploded: DataFrame, key: str, value: Column, out: str,
              carry: DataFrame | None = None) -> DataFrame:
-    """Collect ``value`` per key in position order.
-
-    ``carry`` (the input table) brings every title back, also one whose
-    tokens were all dropped, together with its other columns. It joins the
-    regroup as one extra row per title (a UNION ALL into the same
+    """Collect ``value`` per input row in position order.
+
+    Rows are told apart by key and row hash (:func:`_with_row`), so NULL
+    and repeated keys keep their rows and spread; wholly equal rows, whose
+    items are equal too, are collected once and repeated as often as they
+    came in. ``carry`` (the input table) brings every title back, also one
+    whose tokens were all dropped, together with its other columns. It
+    joins the regroup as one extra row per title (a UNION ALL into the same
     aggregation), so the other columns travel once per title - never once
     per token, and without a join back to the input.
     """
     item = F.when(F.col(_POS).isNotNull(), F.struct(F.col(_POS).alias("p"), value.alias("v")))
-    items = exploded.select(key, item.alias("__tf_item"))
-    extra = [c for c in (carry.columns if carry is not None else []) if c != key]
+    first = F.lit(0) if carry is not None else (F.coalesce(F.col(_POS), F.lit(0)) == 0).cast("int")
+    items = exploded.select(key, _ROW, item.alias("__tf_item"), first.alias("__tf_copy"))
+    extra = [c for c in (carry.columns if carry is not None else []) if c not in (key, _ROW)]
     if carry is not None:
         item_type = items.schema["__tf_item"].dataType
+        packed = carry.select(key, _ROW, F.lit(None).cast(item_type).alias("__tf_item"), F.lit(1).alias("__tf_copy"),
+                              *([F.struct(*extra).alias("__tf_carry")] if extra else []))
         if extra:
-            packed = carry.select(key, F.struct(*extra).alias("__tf_carry"))
-            carry_type = packed.schema["__tf_carry"].dataType
-            items = items.withColumn("__tf_carry", F.lit(None).cast(carry_type))
-            packed = packed.select(key, F.lit(None).cast(item_type).alias("__tf_item"), "__tf_carry")
-        else:
-            packed = carry.select(key, F.lit(None).cast(item_type).alias("__tf_item"))
+            items = items.withColumn("__tf_carry", F.lit(None).cast(packed.schema["__tf_carry"].dataType))
         items = items.unionByName(packed)
-    aggs = [F.array_sort(F.collect_list("__tf_item")).alias("__tf_items")]
+    aggs = [F.array_sort(F.array_distinct(F.collect_list("__tf_item"))).alias("__tf_items"),
+            F.sum("__tf_copy").cast("int").alias("__tf_copies")]
     if extra:
         aggs.append(F.first("__tf_carry", ignorenulls=True).alias("__tf_carry"))
-    agg = items.groupBy(key).agg(*aggs)
+    agg = items.groupBy(key, _ROW).agg(*aggs)
     cols = [key] + [F.col(f"__tf_carry.`{c}`").alias(c) for c in extra]
-    return agg.select(*cols, F.transform("__tf_items", lambda s: s["v"]).alias(out))
+    one = agg.select(*cols, F.transform("__tf_items", lambda s: s["v"]).alias(out), "__tf_copies")
+    return one.withColumn("__tf_copies", F.explode(F.sequence(F.lit(1), "__tf_copies"))).drop("__tf_copies")
 
 
 def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFrame | None = None,
@@ -96,8 +153,8 @@ def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFra
 
     ``strategy='array'``: a per-row ``filter`` with an ``IN`` list that
     Catalyst turns into a hash set (no shuffle); for word lists.
-    ``strategy='join'``: explode, anti-join the block table, regroup; for
-    block tables too large for a literal.
+    ``strategy='join'``: for block tables too large for a literal; looked
+    up per batch when small, otherwise explode, anti-join, regroup.
     """
     out = out or tokens
     block = token_blocklist() if blocklist is None else blocklist
@@ -112,6 +169,12 @@ def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFra
     table = (block if isinstance(block, DataFrame)
              else df.sparkSession.createDataFrame([(w,) for w in sorted(set(block))], "token string"))
     table = table.select(F.col(table.columns[0]).alias("__tf_low")).distinct()
+    found = _looked_up(df, F.transform(F.col(tokens), F.lower), table, "__tf_low", "__tf_low")
+    if found is not None:
+        hits = df.withColumn("__tf_hits", found)
+        return hits.withColumn(out, F.filter(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
+                                             lambda t, i: F.get("__tf_hits", i).isNull())).drop("__tf_hits")
+    df = _with_row(df)
     ex = _explode_tokens(df, key, F.col(tokens)).withColumn("__tf_low", F.lower(_TOK))
     kept = lookup_join(ex, table, "__tf_low", how="left_anti", salt_by=[key, _POS])
     return _regroup(kept, key, F.col(_TOK), out, carry=df.drop(out))
@@ -157,6 +220,12 @@ def lemmatize(df: DataFrame, tokens: str, lemmas: DataFrame, *, out: str | None
     """Replace each token by its lemma from the ``(token, lemma)`` table;
     tokens missing from the table stay as they are."""
     out = out or tokens
+    found = _looked_up(df, F.col(tokens), lemmas, "token", "lemma")
+    if found is not None:
+        listed = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+        return df.withColumn("__tf_lemmas", found).withColumn(
+            out, F.zip_with("__tf_lemmas", listed, lambda m, t: F.coalesce(m, t))).drop("__tf_lemmas")
+    df = _with_row(df)
     ex = _explode_tokens(df, key, F.col(tokens))
     lt = lemmas.select(F.col("token").alias(_TOK), F.col("lemma").alias("__tf_lemma"))
     joined = lookup_join(ex, lt, _TOK, how="left", salt_by=[key, _POS])
@@ -249,10 +318,15 @@ def encode(df: DataFrame, tokens: str, vocab: DataFrame, *, key: str = "Id",
         raise ValueError("max_len too small for the special ids")
     trunc = df.select(key, F.slice(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
                                    1, max_len - n_spec).alias(_TOK + "s"))
-    ex = _explode_tokens(trunc, key, F.col(_TOK + "s"))
     v = vocab.select(F.col("token").alias(_TOK), F.col("id").cast("int").alias("__tf_id"))
-    joined = lookup_join(ex, v, _TOK, how="left", known_rows=vocab_rows, salt_by=[key, _POS])
-    reg = _regroup(joined, key, F.coalesce(F.col("__tf_id"), F.lit(unk_id)), "__tf_ids")
+    found = _looked_up(trunc, F.col(_TOK + "s"), v, _TOK, "__tf_id")
+    if found is not None:
+        reg = trunc.select(key, found.alias("__tf_ids")).withColumn(
+            "__tf_ids", F.transform("__tf_ids", lambda i: F.coalesce(i, F.lit(unk_id))))
+    else:
+        ex = _explode_tokens(_with_row(trunc), key, F.col(_TOK + "s"))
+        joined = lookup_join(ex, v, _TOK, how="left", known_rows=vocab_rows, salt_by=[key, _POS])
+        reg = _regroup(joined, key, F.coalesce(F.col("__tf_id"), F.lit(unk_id)), "__tf_ids")
     body = F.col("__tf_ids")
     if start_id is not None:
         body = F.concat(F.array(F.lit(start_id)), body)
@@ -285,9 +359,15 @@ def embed_tokens(df: DataFrame, tokens: str, vectors: DataFrame, dim: int, *,
     ``n_known`` (tokens that had a vector).
     """
     fitted = df.select(key, fit_length(F.col(tokens), length, "").alias(_TOK + "s"))
-    ex = _explode_tokens(fitted, key, F.col(_TOK + "s"))
     vt = vectors.select(F.col("token").alias(_TOK),
                         F.col("vector").cast("array<float>").alias("__tf_vec")).where(F.col(_TOK) != "")
+    found = _looked_up(fitted, F.col(_TOK + "s"), vt, _TOK, "__tf_vec")
+    if found is not None:
+        zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
+        return fitted.select(key, found.alias("__tf_m")).select(
+            key, F.transform("__tf_m", lambda x: F.coalesce(x, zeros)).alias(out),
+            F.size(F.filter("__tf_m", lambda x: x.isNotNull())).alias("n_known"))
+    ex = _explode_tokens(_with_row(fitted), key, F.col(_TOK + "s"))
     joined = lookup_join(ex, vt, _TOK, how="left", known_rows=vectors_rows, salt_by=[key, _POS])
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     known = F.col("__tf_vec").isNotNull().cast("int")
