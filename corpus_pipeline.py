@@ -25,7 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand elsewhere before; documents
     of which no line is left are copies and go. ``n_chars`` follows."""
-    return lines.dedup_lines(docs, similarity=0.8, chars="n_chars" if "n_chars" in docs.columns else None)
+    return lines.dedup_lines(docs, similarity=0.8, chars="n_chars" if "n_chars" in docs.columns else None,
+                             width=lines.WIDTH)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,7 +49,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line with a word of every document: the first line of its
     component (document and line number) and whether it is that line."""
-    found = lines.line_components(table(spark, sf_dir, "documents"), similarity=0.8)
+    found = lines.line_components(table(spark, sf_dir, "documents"), similarity=0.8, width=lines.WIDTH)
     return found.select(F.col("doc").alias("doc_id"), F.col("pos").alias("line_no"),
                         F.col("first.doc").alias("first_doc_id"), F.col("first.pos").alias("first_line_no"), "kept")
 
