@@ -82,3 +82,13 @@ def test_pages_table(spark):
     assert got == sorted([(1, "u", PROSE, len(PROSE)), (2, None, "", 0), (3, "w", "", 0), (3, "w", "", 0),
                           (None, "z", "é€", 2)], key=str)
     assert H.extract_pages(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("lengths", [(250, 250), (250, 240), (240, 250), (250, 250, 250)])
+def test_all_sections_of_an_article_without_article_or_main(lengths):
+    texts = [[f"{i}{j}" + "abcd " * (n // 4) for j in range(5)] for i, n in enumerate(lengths)]
+    sections = "".join(f"<div>{''.join(f'<p>{t}</p>' for t in own)}</div>" for own in texts)
+    want = "\n\n".join(t.strip() for own in texts for t in own)
+    assert H.extract(page(f'<div class="content">{sections}</div>')) == want
+    if len(set(lengths)) == 1:  # under the body itself a section must reach the body's density
+        assert H.extract(page(sections)) == want

@@ -11,9 +11,9 @@ its characters, tags, link characters and link tags; its composite density
 is the characters per tag, adjusted downwards by how much of them is links.
 A node's density sum adds the densities of its children. The threshold is
 the smallest density on the path from the body to the node with the
-greatest density sum; below the body, the subtree of the greatest sum among
-the nodes at or above the threshold is the article. Its blocks are joined
-in page order.
+greatest density sum. From the body down, as long as nodes reach the
+threshold, the subtree of the greatest sum inside each of them belongs to
+the article. The blocks of all these subtrees are joined in page order.
 
 Pages are independent: Spark deals them out, a task holds one Arrow batch.
 """
@@ -64,7 +64,8 @@ _EDGE = "\x00"
 
 
 class Node:
-    __slots__ = ("tag", "children", "parent", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "children", "parent", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "sum",
+                 "top", "home")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
         self.tag, self.parent, self.dropped = tag, parent, dropped
@@ -185,21 +186,38 @@ def measure(nodes: list[Node]) -> None:
             n.parent.sum += n.density
 
 
-def article_of(root: Node) -> Node:
-    """The subtree of the greatest density sum under the body's threshold."""
+def article_of(root: Node) -> list[Node]:
+    """The subtrees of the greatest density sums under the body's threshold,
+    in page order, none inside another."""
     body = next((n for n in _preorder(root) if n.tag == "body"), root)
     body.parent = None
     nodes = _preorder(body)
     measure(nodes)
     best = max(nodes, key=lambda n: n.sum)
     threshold = min(n.density for n in _path(best))
-    dense = [n for n in nodes if n.density >= threshold and n.tag in BLOCK]
-    top = max(dense, key=lambda n: n.sum, default=best)
-    # paragraphs cut up by a wrapper of their own belong to the same article
-    for n in _path(top):
-        if n.tag in ("article", "main"):
-            return n
-    return top
+    for n in nodes:
+        # paragraphs cut up by a wrapper of their own belong to the same article
+        n.home = n if n.tag in ("article", "main") else n.parent and n.parent.home
+        n.top = n if n.tag in BLOCK else None
+    for n in reversed(nodes):  # the first block of the greatest sum in the node's subtree
+        p = n.parent
+        if p is not None and n.top is not None and (p.top is None or (n.top.sum, p.top is not p) > (p.top.sum, False)):
+            p.top = n.top
+    marked, stack = set(), [body]
+    while stack:
+        node = stack.pop()
+        if node.density >= threshold:
+            if node.chars and node.top is not None:
+                marked.add(node.top.home or node.top)
+            stack.extend(c for c in node.children if isinstance(c, Node) and not c.dropped)
+    out, stack = [], [body]
+    while stack:
+        node = stack.pop()
+        if node in marked:
+            out.append(node)
+        else:
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped)
+    return out
 
 
 def _clean(text: str) -> str:
@@ -230,7 +248,7 @@ def extract(page: str | None) -> str:
     """The article of a page; null, empty and textless pages: empty."""
     if not page:
         return ""
-    return "\n\n".join(blocks(article_of(parse(page.replace(_EDGE, "�")))))
+    return "\n\n".join(b for n in article_of(parse(page.replace(_EDGE, "�"))) for b in blocks(n))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
