@@ -92,3 +92,16 @@ def test_all_sections_of_an_article_without_article_or_main(lengths):
     assert H.extract(page(f'<div class="content">{sections}</div>')) == want
     if len(set(lengths)) == 1:  # under the body itself a section must reach the body's density
         assert H.extract(page(sections)) == want
+
+
+@pytest.mark.parametrize("names", ["content has-sidebar", "layout with-sidebar", "post no-comments", "entry has-header",
+                                   "sidebar-layout", "page-header-wrap"])
+def test_layout_classes_keep_the_article(names):
+    junk = '<div class="sidebar"><p>Other things that stand beside.</p></div>'
+    article = f"<div class='{names}'><h1>Head</h1><p>{PROSE}</p>{junk}<p>{PROSE}</p></div>"
+    assert H.extract(page(article, after=junk)) == "\n\n".join(["Head", PROSE, PROSE])
+
+
+def test_long_comments_beside_an_article_are_left_out():
+    comments = f"<div id='comments'>{f'<p>{PROSE}</p>' * 5}</div>"
+    assert H.extract(page(f"<article><p>{PROSE}</p></article>", after=comments)) == PROSE

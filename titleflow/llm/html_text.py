@@ -2,7 +2,8 @@
 
 A page becomes a tree of element nodes. Text that no reader sees as the
 article's (scripts, menus, forms, notices, comments, told by tag, role and
-by the words of class and id) is cut off first. Every remaining node has
+by the words of class and id) is cut off first, but by its name alone no
+node that holds most of the page's paragraphs. Every remaining node has
 its characters, tags, link characters and link tags; its composite density
 
     (C / T) * log_b(C / LC * T / LT),
@@ -54,6 +55,8 @@ _MARKED = re.compile(
     r"comment\w*|disqus|replies|reply|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|"
     r"signup|login|search|cookies?|consent|gdpr|notices?|popup|modal|overlay|pagination|pager|tags|copyright|"
     r"complementary|contentinfo|dialog|alert)(?:$|[\s_\-])", re.I)
+#: Names that tell of a layout with or without such a part, not of the part.
+_LAYOUT = re.compile(r"(?<!\S)(?:has|with|without|no|not|hide|show)[_\-]\S*", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
                     re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
@@ -64,11 +67,11 @@ _EDGE = "\x00"
 
 
 class Node:
-    __slots__ = ("tag", "children", "parent", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "sum",
+    __slots__ = ("tag", "children", "parent", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum",
                  "top", "home")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, False
         self.children: list[Node | str] = []
 
 
@@ -79,8 +82,6 @@ def _is_dropped(tag: str, attributes: str) -> bool:
         return False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         low = name.lower()
-        if low in ("class", "id", "role") and _MARKED.search(a or b or c):
-            return True
         if low == "aria-hidden" and (a or b or c).lower() == "true":
             return True
         if low == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a or b or c, re.I):
@@ -88,6 +89,36 @@ def _is_dropped(tag: str, attributes: str) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:$|\s)", re.sub(r"""=\s*("[^"]*"|'[^']*'|\S+)""", "=", attributes), re.I))
 
 
+def _is_named(tag: str, attributes: str) -> bool:
+    """Whether class, id or role call the element something else than the article."""
+    return bool(attributes) and tag not in ("html", "body", "main", "article") and any(
+        name.lower() in ("class", "id", "role") and _MARKED.search(_LAYOUT.sub(" ", a or b or c))
+        for name, a, b, c in _ATTRIBUTE.findall(attributes))
+
+
+def _drop_named(root: Node) -> None:
+    """Drop the named nodes, but none with most of the page's text in blocks
+    outside links, unless an article stands beside it: there the density decides."""
+    nodes = _preorder(root)
+    if not any(n.named for n in nodes):
+        return
+    for n in nodes:
+        n.link_chars = n.tag == "a" or n.parent is not None and n.parent.link_chars
+        n.chars = 0 if n.link_chars else sum(len("".join(c.split())) for c in n.children if isinstance(c, str))
+        n.tags = 0  # characters in blocks below the node
+        n.link_tags = int(n.tag == "article")  # articles in the subtree
+    for n in reversed(nodes):
+        if n.parent is not None:
+            block = n.tag in BLOCK
+            n.parent.tags += n.tags + n.chars if block else n.tags
+            n.parent.chars += 0 if block else n.chars
+            n.parent.link_tags += n.link_tags
+    for n in nodes:
+        beside = n.named and root.link_tags > n.link_tags and (
+            root.link_tags > n.link_tags + sum(a.tag == "article" for a in _path(n)))
+        n.dropped = n.named and (beside or 2 * n.tags <= root.tags + root.chars)
+
+
 def parse(page: str) -> Node:
     """The page's tree; ends that are missing or misplaced are repaired."""
     root = Node("html", None)
@@ -115,12 +146,14 @@ def parse(page: str) -> Node:
             continue
         here = _closed_before(here, tag)
         node = Node(tag, here, _is_dropped(tag, m[3]))
+        node.named = not node.dropped and _is_named(tag, m[3])
         here.children.append(node)
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             at = close.end() if close else end
         elif tag not in VOID and not m[3].endswith("/"):
             here = node
+    _drop_named(root)
     return root
 
 
