@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import bpe, chat, decontaminate, html_text, licenses, lines, quality, simhash, toxicity, warc
+from titleflow.llm import (bpe, chat, decontaminate, html_text, licenses, lines, periodic, quality, simhash, toxicity,
+                           warc)
 from titleflow.llm.common import table
 
 
@@ -75,7 +76,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and the text without their repeats."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic.run_digest(periodic.periodic_runs(docs))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_html_extraction, op3_byte_bpe, op4_decontamination, op5_quality_rules, op6_line_dedup, op7_warc,
-        op8_simhash_near_dedup, op9_chat_format, op10_license_scan)}
+        op8_simhash_near_dedup, op9_chat_format, op10_license_scan, op13_periodic_runs)}
