@@ -3,6 +3,8 @@ Spark code (own patterns, own rule conditions)."""
 
 from __future__ import annotations
 
+from titleflow.llm import collocations
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 #: Ledger rows of a table ``{docs}`` (rid, doc_id, text).
@@ -55,4 +57,4 @@ FROM d LEFT JOIN g USING (h)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5, "op7_warc": OP7}
+    return {"op5_quality_rules": OP5, "op7_warc": OP7, "op12_collocations": collocations.SQL}
