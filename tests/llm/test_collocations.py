@@ -86,7 +86,7 @@ def test_empty_tables_and_texts(spark):
 def test_a_crowded_sieve_changes_nothing(spark):
     rows = made(9)
     docs = spark.createDataFrame(rows, "lang string, text string")
-    full = np.full((1 << C.SLOT_BITS) // 8 + (1 << 12), 255, np.uint8)
+    full = np.full((1 << C.SLOT_BITS) // 8, 255, np.uint8)
     rows = docs.selectExpr("coalesce(lang, 'und') AS lang", "coalesce(text, '') AS text")
     count = lambda bitmap: {(r.lang, r.gram): r.n for r in C.flow(C.edges(rows, bitmap, 5), 5).collect()}
     everything, sieved = count(full), count(C.sieve(rows, 7))

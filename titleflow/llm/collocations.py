@@ -40,6 +40,8 @@ from titleflow.llm.common import stored
 
 #: Slots of the sieve; its bitmap has a fixed size of 2^SLOT_BITS / 8 bytes.
 SLOT_BITS = 26
+#: Slots that are summed together.
+BUCKET = 1 << 15
 #: Bytes of text that are cut into words together (a longer piece stays whole); slots and grams merged in a task.
 BLOCK_BYTES, MERGE_SLOTS, MERGE_GRAMS = 1 << 20, 1 << 22, 1 << 20
 #: Languages up to this number are broadcast with their word counts.
@@ -141,11 +143,22 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
         yield Words(texts, langs)
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    slots, order = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return slots, np.bincount(order, np.concatenate([p[1] for p in parts])).astype(np.int64)
+
+
 def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slot, n) of the words and pairs of a task; a slot may come more than once."""
-    def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        slots, order = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return slots, np.bincount(order, np.concatenate([p[1] for p in parts])).astype(np.int64)
+    """(bucket, slots, counts) of the words and pairs of a task: the slots of a
+    bucket of ``BUCKET`` and their counts as packed integers; a bucket may come more than once."""
+    def packed(parts: list) -> pa.RecordBatch:
+        slots, n = _merged(parts)
+        ends = np.searchsorted(slots, np.arange(1, (1 << SLOT_BITS) // BUCKET + 1) * BUCKET)
+        some = np.flatnonzero(np.diff(ends, prepend=0))
+        small, cuts = (slots % BUCKET).astype(np.uint16), [(ends[b - 1] if b else 0, ends[b]) for b in some]
+        return pa.RecordBatch.from_arrays([
+            pa.array(some.astype(np.int32)), pa.array([small[x:y].tobytes() for x, y in cuts], pa.binary()),
+            pa.array([n[x:y].tobytes() for x, y in cuts], pa.binary())], ["bucket", "slots", "counts"])
 
     waiting, size = [], 0
     for w in _blocks(batches):
@@ -154,31 +167,42 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting.append((slots, n))
         size += len(slots)
         if size >= MERGE_SLOTS:
-            slots, n = merged(waiting)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(n)], ["slot", "n"])
+            yield packed(waiting)
             waiting, size = [], 0
     if waiting:
-        slots, n = merged(waiting)
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(n)], ["slot", "n"])
+        yield packed(waiting)
 
 
 def sieve(rows: DataFrame, least: int) -> np.ndarray:
     """Bitmap of the slots that count at least ``least``; ``2^SLOT_BITS / 8`` bytes."""
-    counts = rows.mapInArrow(_slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    some = counts.where(F.col("n") >= least)
-    maps = some.groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    out = np.zeros((1 << SLOT_BITS) // 8 + (1 << 12), np.uint8)  # buckets begin at slot 1 and at every 2^15th after it
-    for b, bits in maps.collect():
-        at = int(b) * 4096
-        out[at:at + 4096] = np.frombuffer(bytes(bits), np.uint8)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(BUCKET, np.int64)
+        for batch in batches:
+            for bucket, slots, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now is not None and bucket != now:
+                    yield bits(now, total)
+                    total[:] = 0
+                now = bucket
+                total[np.frombuffer(slots, np.uint16)] += np.frombuffer(counts, np.int64)  # slots of a row differ
+        if now is not None:
+            yield bits(now, total)
+
+    def bits(bucket: int, total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array([bucket], pa.int32()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())],
+            ["bucket", "bits"])
+
+    counts = rows.mapInArrow(_slot_counts, "bucket int, slots binary, counts binary")
+    maps = counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket int, bits binary")
+    out = np.zeros((1 << SLOT_BITS) // 8, np.uint8)
+    for bucket, flags in maps.collect():
+        out[bucket * BUCKET // 8:(bucket + 1) * BUCKET // 8] = np.frombuffer(flags, np.uint8)
     return out
 
 
 def _bit(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """Whether a slot's bit is set; buckets as Spark numbers them: slot s > 0 at 1 + (s - 1) / 2^15, slot 0 in bucket 0."""
-    place = np.where(slots > 0, (1 + (slots - 1) // 32768) * 32768 + (slots - 1) % 32768, 0)
-    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+    """Whether a slot's bit is set."""
+    return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
 def edges(rows: DataFrame, bitmap: np.ndarray, longest: int) -> DataFrame:

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import (bpe, chat, collocations, decontaminate, html_text, licenses, lines, periodic, quality, simhash,
-                           toxicity, warc)
+from titleflow.llm import (bpe, chat, collocations, decontaminate, html_text, licenses, lines, neighbours, periodic, quality,
+                           simhash, toxicity, warc)
 from titleflow.llm.common import table
 
 
@@ -76,6 +76,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strongest phrases of every language of the documents."""
     return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
@@ -91,5 +96,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_html_extraction, op3_byte_bpe, op4_decontamination, op5_quality_rules, op6_line_dedup, op7_warc,
-        op8_simhash_near_dedup, op9_chat_format, op10_license_scan, op12_collocations,
-        op13_periodic_runs)}
+        op8_simhash_near_dedup, op9_chat_format, op10_license_scan,
+        op11_nearest_neighbours, op12_collocations, op13_periodic_runs)}
