@@ -88,8 +88,10 @@ def test_a_crowded_sieve_changes_nothing(spark):
     docs = spark.createDataFrame(rows, "lang string, text string")
     full = np.full((1 << C.SLOT_BITS) // 8, 255, np.uint8)
     rows = docs.selectExpr("coalesce(lang, 'und') AS lang", "coalesce(text, '') AS text")
-    count = lambda bitmap: {(r.lang, r.gram): r.n for r in C.flow(C.edges(rows, bitmap, 5), 5).collect()}
-    everything, sieved = count(full), count(C.sieve(rows, 7))
+    count = lambda *bitmaps: {(r.lang, r.gram): r.n for r in C.flow(C.edges(rows, [*bitmaps], 5), 5).collect()}
+    pairs = C.sieve(rows, 7, [])
+    everything, sieved = count(full, full), count(pairs, C.sieve(rows, 7, [pairs]))
+    assert len(sieved) < len(everything)
     assert {k for k, n in everything.items() if n >= 7} == {k for k, n in sieved.items() if n >= 7}
     assert all(everything[k] == n for k, n in sieved.items() if n >= 7)
 

@@ -5,17 +5,18 @@ a gram's first words to its last ones, weighted by their number. Only the
 edges are counted in the texts; all shorter counts follow from them:
 
 1. Sieve. Every word and every pair of neighbouring words of a piece counts
-   for one of ``2^SLOT_BITS`` slots of its language, chosen by a hash. A
-   phrase that occurs ``least`` times has no word and no pair of a slot that
-   stays below; so a piece may be cut at such words and pairs without losing
-   an occurrence. The slots that reach ``least`` form a bitmap of 8 MB,
-   however large the corpus; words that share a slot only let more through.
+   for one of ``2^SLOT_BITS`` slots of its language, chosen by a hash; in a
+   second pass every three words whose pairs passed. A phrase that occurs
+   ``least`` times has no word, pair or triple of a slot that stays below;
+   so a piece may be cut there without losing an occurrence. The slots that
+   reach ``least`` form two bitmaps of 8 MB, however large the corpus; words
+   that share a slot only let more through.
 2. Edges. From every word of what is left of a piece goes one gram: the next
-   ``longest`` words, or fewer where the piece ends. Equal grams are counted
+   ``longest`` words, or fewer up to the next cut. Equal grams are counted
    as texts, not as hashes.
 3. Flow. A sequence of k words occurs as often as the sequences of k+1 words
-   that begin with it (the flow out of its node) and the pieces that end
-   with it (the shorter grams) together. Level by level this gives all
+   that begin with it (the flow out of its node) and the grams that end
+   with it (corrections where a piece ends or is cut) together. Level by level this gives all
    counts down to words.
 4. Unary paths. A phrase is dropped if it lies in a longer candidate that
    occurs as often. Counts can only fall as a phrase grows, so then the step
@@ -43,7 +44,7 @@ SLOT_BITS = 26
 #: Slots that are summed together.
 BUCKET = 1 << 15
 #: Bytes of text that are cut into words together (a longer piece stays whole); slots and grams merged in a task.
-BLOCK_BYTES, MERGE_SLOTS, MERGE_GRAMS = 1 << 20, 1 << 22, 1 << 20
+BLOCK_BYTES, MERGE_SLOTS, MERGE_GRAMS = 1 << 20, 1 << 21, 1 << 19
 #: Languages up to this number are broadcast with their word counts.
 FEW_LANGS = 10_000
 
@@ -90,18 +91,32 @@ class Words:
         doc = np.searchsorted(ends, kept[self.start], side="right")
         self.lang = np.array([code[x] for x in langs], np.int32)[doc]
 
-    def slots(self) -> tuple[np.ndarray, np.ndarray]:
-        """The slot of every word, and of every word with the next one."""
+    def slots(self) -> list[np.ndarray]:
+        """The slots of every word, of every word with the next one, and with the next two."""
         power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(self.text), _FACTORS[3])]))
         total = np.concatenate([[np.uint64(0)], np.cumsum((self.text.astype(np.uint64) + np.uint64(1)) * power[:-1])])
         # divided by the power of the place: the same word has the same number everywhere
         back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(self.text), np.uint64(pow(int(_FACTORS[3]), -1, 1 << 64)))]))
         word = _mix((total[self.end] - total[self.start]) * back[self.start])
         salt = np.array([zlib.crc32(n.encode()) for n in self.names] or [0], np.uint64)[self.lang] * _FACTORS[0]
-        pair = np.zeros(len(word), np.uint64)
-        pair[:-1] = word[:-1] * _FACTORS[2] + word[1:] * _FACTORS[1]
-        shift = np.uint64(64 - SLOT_BITS)
-        return (_mix(word + salt) >> shift).astype(np.int64), (_mix(pair ^ salt) >> shift).astype(np.int64)
+        out, so_far = [_mix(word + salt)], word
+        for k in (1, 2):
+            so_far = so_far * _FACTORS[2]
+            so_far[:-k] += word[k:] * _FACTORS[1]
+            out.append(_mix(so_far ^ salt))
+        return [(h >> np.uint64(64 - SLOT_BITS)).astype(np.int64) for h in out]
+
+    def links(self, slots: list[np.ndarray], bitmaps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which words pass, which go on to the next one, and which to the next two."""
+        good = _bit(bitmaps[0], slots[0])
+        pair = self.joined & good & _bit(bitmaps[0], slots[1])
+        pair[:-1] &= good[1:]
+        triple = pair.copy()
+        triple[:-1] &= pair[1:]
+        triple[-1:] = False
+        if len(bitmaps) > 1:
+            triple &= _bit(bitmaps[1], slots[2])
+        return good, pair, triple
 
     def grams(self, first: np.ndarray, last: np.ndarray) -> pa.Array:
         """The texts from word ``first`` to word ``last``."""
@@ -148,33 +163,40 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return slots, np.bincount(order, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
 
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, slots, counts) of the words and pairs of a task: the slots of a
-    bucket of ``BUCKET`` and their counts as packed integers; a bucket may come more than once."""
-    def packed(parts: list) -> pa.RecordBatch:
-        slots, n = _merged(parts)
-        ends = np.searchsorted(slots, np.arange(1, (1 << SLOT_BITS) // BUCKET + 1) * BUCKET)
-        some = np.flatnonzero(np.diff(ends, prepend=0))
-        small, cuts = (slots % BUCKET).astype(np.uint16), [(ends[b - 1] if b else 0, ends[b]) for b in some]
-        return pa.RecordBatch.from_arrays([
-            pa.array(some.astype(np.int32)), pa.array([small[x:y].tobytes() for x, y in cuts], pa.binary()),
-            pa.array([n[x:y].tobytes() for x, y in cuts], pa.binary())], ["bucket", "slots", "counts"])
-
-    waiting, size = [], 0
-    for w in _blocks(batches):
-        word, pair = w.slots()
-        slots, n = np.unique(np.concatenate([word, pair[w.joined]]), return_counts=True)
-        waiting.append((slots, n))
-        size += len(slots)
-        if size >= MERGE_SLOTS:
-            yield packed(waiting)
-            waiting, size = [], 0
-    if waiting:
-        yield packed(waiting)
-
-
-def sieve(rows: DataFrame, least: int) -> np.ndarray:
-    """Bitmap of the slots that count at least ``least``; ``2^SLOT_BITS / 8`` bytes."""
+def _packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """(bucket, slots, counts): the slots of each bucket of ``BUCKET`` and their counts as packed integers."""
+    slots, n = _merged(parts)
+    ends = np.searchsorted(slots, np.arange(1, (1 << SLOT_BITS) // BUCKET + 1) * BUCKET)
+    some = np.flatnonzero(np.diff(ends, prepend=0))
+    small, cuts = (slots % BUCKET).astype(np.uint16), [(ends[b - 1] if b else 0, ends[b]) for b in some]
+    return pa.RecordBatch.from_arrays([
+        pa.array(some.astype(np.int32)), pa.array([small[x:y].tobytes() for x, y in cuts], pa.binary()),
+        pa.array([n[x:y].tobytes() for x, y in cuts], pa.binary())], ["bucket", "slots", "counts"])
+
+
+def sieve(rows: DataFrame, least: int, before: list[np.ndarray]) -> np.ndarray:
+    """Bitmap of the slots that count at least ``least``, ``2^SLOT_BITS / 8``
+    bytes: of words and pairs, or, given that bitmap, of triples."""
+    shared = rows.sparkSession.sparkContext.broadcast(before)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for w in _blocks(batches):
+            if not len(w.start):
+                continue
+            slots = w.slots()
+            if shared.value:
+                found = slots[2][w.links(slots, shared.value)[2]]
+            else:
+                found = np.concatenate([slots[0], slots[1][w.joined]])
+            waiting.append(np.unique(found, return_counts=True))
+            size += len(waiting[-1][0])
+            if size >= MERGE_SLOTS:
+                yield _packed(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield _packed(waiting)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, np.zeros(BUCKET, np.int64)
         for batch in batches:
@@ -192,7 +214,7 @@ def sieve(rows: DataFrame, least: int) -> np.ndarray:
             pa.array([bucket], pa.int32()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())],
             ["bucket", "bits"])
 
-    counts = rows.mapInArrow(_slot_counts, "bucket int, slots binary, counts binary")
+    counts = rows.mapInArrow(count, "bucket int, slots binary, counts binary")
     maps = counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket int, bits binary")
     out = np.zeros((1 << SLOT_BITS) // 8, np.uint8)
     for bucket, flags in maps.collect():
@@ -205,10 +227,10 @@ def _bit(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
-def edges(rows: DataFrame, bitmap: np.ndarray, longest: int) -> DataFrame:
+def edges(rows: DataFrame, bitmaps: list[np.ndarray], longest: int) -> DataFrame:
     """(lang, gram, n): of every word of the sieved pieces the gram that begins
     there; the empty gram counts all words of the language."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.Table] = []
@@ -220,15 +242,11 @@ def edges(rows: DataFrame, bitmap: np.ndarray, longest: int) -> DataFrame:
         for w in _blocks(batches):
             if not len(w.start):
                 continue
-            word, pair = w.slots()
-            good = _bit(shared.value, word)
-            link = w.joined & good & _bit(shared.value, pair)
-            link[:-1] &= good[1:]
-            place, reach = np.arange(len(good)), np.zeros(len(good), np.int64)
-            on = link.copy()
-            for k in range(1, longest):
+            good, pair, triple = w.links(w.slots(), shared.value)
+            place, reach, on = np.arange(len(good)), pair.astype(np.int64), triple.copy()
+            for k in range(1, longest - 1):
                 reach += on
-                on[:-k] &= link[k:]
+                on[:-k] &= triple[k:]
                 on[-k:] = False
             first = np.flatnonzero(good)
             last = place[first] + reach[first]
@@ -282,7 +300,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     """
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    counts = stored(flow(edges(rows, sieve(rows, least), longest), longest).where(
+    pairs = sieve(rows, least, [])
+    counts = stored(flow(edges(rows, [pairs, sieve(rows, least, [pairs])], longest), longest).where(
         (F.col("k") == 0) | (F.col("n") >= least)))
     phrases = counts.where("k >= 2").select("lang", F.col("gram").alias("phrase"), "k", F.col("n").alias("a"))
 
