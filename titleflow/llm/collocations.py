@@ -6,9 +6,10 @@ edges are counted in the texts; all shorter counts follow from them:
 
 1. Sieve. Every word and every pair of neighbouring words of a piece counts
    for one of ``2^SLOT_BITS`` slots of its language, chosen by a hash; in a
-   second pass every three words whose pairs passed. A phrase that occurs
-   ``least`` times has no word, pair or triple of a slot that stays below;
-   so a piece may be cut there without losing an occurrence. The slots that
+   second pass every three words whose pairs passed, and every word that is
+   part of such a pair, without which its own count isn't needed. A phrase
+   that occurs ``least`` times has no word, pair or triple of a slot that
+   stays below; so a piece may be cut there without losing an occurrence. The slots that
    reach ``least`` form two bitmaps of 8 MB, however large the corpus; words
    that share a slot only let more through.
 2. Edges. From every word of what is left of a piece goes one gram: the next
@@ -45,6 +46,8 @@ SLOT_BITS = 26
 BUCKET = 1 << 15
 #: Bytes of text that are cut into words together (a longer piece stays whole); slots and grams merged in a task.
 BLOCK_BYTES, MERGE_SLOTS, MERGE_GRAMS = 1 << 20, 1 << 21, 1 << 19
+#: Parts of the edges that are merged together.
+EDGE_BUCKETS = 1024
 #: Languages up to this number are broadcast with their word counts.
 FEW_LANGS = 10_000
 
@@ -92,11 +95,13 @@ class Words:
         self.lang = np.array([code[x] for x in langs], np.int32)[doc]
 
     def slots(self) -> list[np.ndarray]:
-        """The slots of every word, of every word with the next one, and with the next two."""
+        """The slots of every word, of every word with the next one, with the
+        next two, and of every word as a part of pairs."""
         power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(self.text), _FACTORS[3])]))
         total = np.concatenate([[np.uint64(0)], np.cumsum((self.text.astype(np.uint64) + np.uint64(1)) * power[:-1])])
         # divided by the power of the place: the same word has the same number everywhere
         back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(self.text), np.uint64(pow(int(_FACTORS[3]), -1, 1 << 64)))]))
+        self.hashed = total, back
         word = _mix((total[self.end] - total[self.start]) * back[self.start])
         salt = np.array([zlib.crc32(n.encode()) for n in self.names] or [0], np.uint64)[self.lang] * _FACTORS[0]
         out, so_far = [_mix(word + salt)], word
@@ -104,11 +109,14 @@ class Words:
             so_far = so_far * _FACTORS[2]
             so_far[:-k] += word[k:] * _FACTORS[1]
             out.append(_mix(so_far ^ salt))
+        out.append(_mix(word * _FACTORS[2] - salt))
         return [(h >> np.uint64(64 - SLOT_BITS)).astype(np.int64) for h in out]
 
     def links(self, slots: list[np.ndarray], bitmaps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which words pass, which go on to the next one, and which to the next two."""
         good = _bit(bitmaps[0], slots[0])
+        if len(bitmaps) > 1:
+            good &= _bit(bitmaps[1], slots[3])
         pair = self.joined & good & _bit(bitmaps[0], slots[1])
         pair[:-1] &= good[1:]
         triple = pair.copy()
@@ -118,6 +126,12 @@ class Words:
             triple &= _bit(bitmaps[1], slots[2])
         return good, pair, triple
 
+    def buckets(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """A number below ``EDGE_BUCKETS`` that depends on the gram's text only (after :meth:`slots`)."""
+        total, back = self.hashed
+        begin = self.start[first]
+        return (_mix((total[self.end[last]] - total[begin]) * back[begin]) % np.uint64(EDGE_BUCKETS)).astype(np.int32)
+
     def grams(self, first: np.ndarray, last: np.ndarray) -> pa.Array:
         """The texts from word ``first`` to word ``last``."""
         begin, size = self.start[first], self.end[last] - self.start[first]
@@ -176,7 +190,7 @@ def _packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 def sieve(rows: DataFrame, least: int, before: list[np.ndarray]) -> np.ndarray:
     """Bitmap of the slots that count at least ``least``, ``2^SLOT_BITS / 8``
-    bytes: of words and pairs, or, given that bitmap, of triples."""
+    bytes: of words and pairs, or, given that bitmap, of triples and of words in pairs."""
     shared = rows.sparkSession.sparkContext.broadcast(before)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +200,10 @@ def sieve(rows: DataFrame, least: int, before: list[np.ndarray]) -> np.ndarray:
                 continue
             slots = w.slots()
             if shared.value:
-                found = slots[2][w.links(slots, shared.value)[2]]
+                _, pair, triple = w.links(slots, shared.value)
+                linked = pair.copy()
+                linked[1:] |= pair[:-1]
+                found = np.concatenate([slots[2][triple], slots[3][linked]])
             else:
                 found = np.concatenate([slots[0], slots[1][w.joined]])
             waiting.append(np.unique(found, return_counts=True))
@@ -227,18 +244,33 @@ def _bit(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
+def _counted(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by(["bucket", "lang", "gram"]).aggregate([("n", "sum")]).select(
+        ["bucket", "lang", "gram", "n_sum"]).rename_columns(["bucket", "lang", "gram", "n"])
+
+
 def edges(rows: DataFrame, bitmaps: list[np.ndarray], longest: int) -> DataFrame:
     """(lang, gram, n): of every word of the sieved pieces the gram that begins
-    there; the empty gram counts all words of the language."""
+    there; the empty gram counts all words of the language.
+
+    Grams travel to their bucket as one text (they hold no line feed) with
+    packed counts, so that a task ships a few rows and not one per gram.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(bitmaps)
 
+    def packed(table: pa.Table) -> pa.RecordBatch:
+        table = table.sort_by([("bucket", "ascending"), ("lang", "ascending")])
+        bucket, lang, gram = (table.column(c).to_pylist() for c in ("bucket", "lang", "gram"))
+        n = table.column("n").to_numpy()
+        cuts = [i for i in range(len(n)) if not i or bucket[i] != bucket[i - 1] or lang[i] != lang[i - 1]] + [len(n)]
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        return pa.RecordBatch.from_arrays([
+            pa.array([bucket[a] for a, _ in spans], pa.int32()), pa.array([lang[a] for a, _ in spans], pa.string()),
+            pa.array(["\n".join(gram[a:b]) for a, b in spans], pa.string()),
+            pa.array([n[a:b].tobytes() for a, b in spans], pa.binary())], ["bucket", "lang", "grams", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.Table] = []
-
-        def counted(tables: list[pa.Table]) -> pa.Table:
-            return pa.concat_tables(tables).group_by(["lang", "gram"]).aggregate([("n", "sum")]).select(
-                ["lang", "gram", "n_sum"]).rename_columns(["lang", "gram", "n"])
-
         for w in _blocks(batches):
             if not len(w.start):
                 continue
@@ -253,20 +285,36 @@ def edges(rows: DataFrame, bitmaps: list[np.ndarray], longest: int) -> DataFrame
             names = np.array(w.names, object)
             total = np.bincount(w.lang, minlength=len(names))
             some = np.flatnonzero(total)
-            block = pa.table({
+            waiting.append(_counted([pa.table({
+                "bucket": pa.array(np.concatenate([w.buckets(first, last), np.zeros(len(some), np.int32)])),
                 "lang": pa.concat_arrays([pa.array(names[w.lang[first]], pa.string()), pa.array(names[some], pa.string())]),
                 "gram": pa.concat_arrays([w.grams(first, last), pa.array([""] * len(some), pa.string())]),
-                "n": pa.array(np.concatenate([np.ones(len(first), np.int64), total[some]]))})
-            waiting.append(counted([block]))
+                "n": pa.array(np.concatenate([np.ones(len(first), np.int64), total[some]]))})]))
             if sum(t.num_rows for t in waiting) > MERGE_GRAMS:
-                waiting = [counted(waiting)]
+                waiting = [_counted(waiting)]
                 if waiting[0].num_rows > MERGE_GRAMS // 2:
-                    yield from waiting.pop().to_batches()
+                    yield packed(waiting.pop())
+        if waiting:
+            yield packed(_counted(waiting))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, waiting, size = None, [], 0
+        for batch in batches:
+            for bucket, lang, grams, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now and waiting:
+                    yield from _counted(waiting).drop_columns("bucket").to_batches()
+                    waiting, size = [], 0
+                now, n = bucket, np.frombuffer(counts, np.int64)
+                waiting.append(pa.table({"bucket": pa.array(np.full(len(n), bucket, np.int32)), "lang": pa.repeat(lang, len(n)),
+                                         "gram": pa.array(grams.split("\n"), pa.string()), "n": pa.array(n)}))
+                size += len(n)
+                if size > 4 * MERGE_GRAMS:  # what is left may be as large: then every merge doubles it at most
+                    waiting, size = [_counted(waiting)], 0
         if waiting:
-            yield from counted(waiting).to_batches()
+            yield from _counted(waiting).drop_columns("bucket").to_batches()
 
-    grams = rows.mapInArrow(run, "lang string, gram string, n long")
-    return grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    sent = rows.mapInArrow(run, "bucket int, lang string, grams string, counts binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "lang string, gram string, n long")
 
 
 def _size(gram: Column) -> Column:
