@@ -70,7 +70,18 @@ def align_labels(x: DataFrame, y: DataFrame, on: str = "Id", how: str = "inner",
     A label column that the features have already (the NULL placeholder of
     unlabelled tables, say) takes the label table's value; where that one
     is NULL or missing the features' own value stays.
+
+    ``on='position'`` pairs row i of one file table with row i of the other
+    (:func:`titleflow.operators.positional.pair_by_position`): tables as
+    their readers returned them, unequal lengths raise for ``'inner'``;
+    ``'left'`` leaves features beyond the last label without one.
     """
+    if on == "position":
+        from titleflow.operators.positional import pair_by_position
+        pairs = pair_by_position(x, y, lengths="equal" if how == "inner" else "longest")
+        if how == "left" and pairs.where(F.col("pos") >= x.count()).limit(1).count():
+            raise KeyCheckError("more labels than features")
+        return pairs
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     if check:

@@ -81,15 +81,19 @@ def fit_title(df: DataFrame, *, text: str = "Title", label: str = "Genre",
 
 
 def fit_naive_bayes(df: DataFrame, *, text: str = "Title", label: str = "Genre",
-                    smoothing: float = 1.0, vocab_size: int = 1 << 18) -> TitleClassifier:
+                    smoothing: float = 1.0, vocab_size: int | None = None) -> TitleClassifier:
     """Train a multinomial naive Bayes title classifier (M1) on token
-    counts: one pass for the vocabulary, one for the counts per class. The
-    model holds a weight per token and class, so the vocabulary is bounded
-    by ``vocab_size`` (the most frequent tokens)."""
+    counts: one pass counts the distinct tokens, one makes the vocabulary of
+    all of them, one the counts per class. The model holds a weight per
+    token and class. ``vocab_size`` is a limit that the caller may set: more
+    distinct tokens raise instead of falling out of the model."""
     tokens = "__tf_tokens"
-    counts = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocab_size, minDF=1.0)
-    bayes = NaiveBayes(featuresCol="features", labelCol=label, modelType="multinomial", smoothing=smoothing)
     data = cut_lineage(df.select(tokenize_basic(text).alias(tokens), F.col(label).cast("double").alias(label)))
+    found = data.select(F.explode(tokens).alias("t")).agg(F.count_distinct("t")).first()[0]
+    if vocab_size is not None and found > vocab_size:
+        raise ValueError(f"{found} distinct tokens, but vocab_size is {vocab_size}")
+    counts = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=max(1, found), minDF=1.0)
+    bayes = NaiveBayes(featuresCol="features", labelCol=label, modelType="multinomial", smoothing=smoothing)
     return TitleClassifier(Pipeline(stages=[counts, bayes]).fit(data), text, tokens)
 
 
@@ -190,6 +194,64 @@ def evaluate(model, df: DataFrame, size: int, *, key: str = "Id", label: str = "
                    r(F.sum("sc") / F.sum("m")).alias("accuracy"))
 
 
+def fit_epochs(train: DataFrame, validation: DataFrame, features: str, layers: list[int], *, epochs: int, size: int,
+               key: str = "Id", label: str = "Genre", iterations: int = 5, seed: int = 42,
+               run_id: str = "run") -> tuple[list, DataFrame]:
+    """Train in ``epochs`` rounds and evaluate after each (M6, A4, S12).
+
+    Every round goes on from the weights of the one before for
+    ``iterations`` solver steps. Returns the model of each round and the
+    metric log ``(run_id, epoch, step, metric, value)``, epochs from 1, with
+    ``avg_train_loss`` (mean over the epoch's own batches of the training
+    rows, in an order that is permuted anew each epoch), ``avg_val_loss``
+    and ``val_accuracy`` (batches in key order).
+
+    Both tables are written once with their row numbers. All models are
+    evaluated in a single scan of either table. Tables without rows have no
+    log rows of their metrics; rows whose label is outside the outputs fail.
+    """
+    from titleflow.operators.permutation import permuted
+    from titleflow.operators.sampling import with_position
+    if epochs <= 0 or size <= 0:
+        raise ValueError("epochs and batch size must be positive")
+    tables = []
+    for df in (train, validation):
+        rows = df.select(key, F.col(features).alias("__tf_x"), F.col(label).cast("double").alias(label))
+        tables.append(right_size(cut_lineage(vector_features(with_position(rows, key, out="__tf_pos", materialize=True), "__tf_x")
+                                             .select("__tf_pos", "features", label))))
+    models, weights = [], None
+    for _ in range(epochs):
+        est = vector_estimator(layers, label=label, max_iter=iterations, seed=seed)
+        model = (est if weights is None else est.setInitialWeights(weights)).fit(tables[0])
+        weights = model.weights
+        models.append(model)
+
+    def losses(rows: DataFrame, reorder: bool) -> DataFrame:
+        """(epoch, loss, right): means over the epoch's batches."""
+        n, out = rows.count(), rows
+        for e, model in enumerate(models):
+            out = model.copy().setRawPredictionCol(f"__tf_z{e}").setProbabilityCol("").setPredictionCol("").transform(out)
+        each = out.select("__tf_pos", label, F.posexplode(F.array(*[
+            vector_to_array(f"__tf_z{e}") for e in range(epochs)])).alias("__tf_e", "z"))
+        place = permuted("__tf_pos", n, seed, "__tf_e") if reorder else F.col("__tf_pos")
+        loss = cross_entropy("z", F.col(label).cast("int"))
+        each = each.select((F.col("__tf_e") + 1).alias("epoch"), F.floor(place / size).alias("batch"),
+                           F.coalesce(loss, F.raise_error(F.lit("label outside the outputs")).cast("double")).alias("loss"),
+                           (argmax("z") == F.col(label)).cast("double").alias("right"))
+        return each.groupBy("epoch", "batch").agg(F.avg("loss").alias("loss"), F.avg("right").alias("right")).groupBy(
+            "epoch").agg(F.avg("loss").alias("loss"), F.avg("right").alias("right"))
+
+    def named(rows: DataFrame, metric: str, value: str) -> DataFrame:
+        return rows.select(F.lit(run_id).alias("run_id"), F.col("epoch").cast("int").alias("epoch"),
+                           F.lit(None).cast("long").alias("step"), F.lit(metric).alias("metric"), F.col(value).alias("value"))
+
+    # fixed values: names of the three epoch statistics
+    val = cut_lineage(losses(tables[1], False))
+    log = named(losses(tables[0], True), "avg_train_loss", "loss").unionByName(
+        named(val, "avg_val_loss", "loss")).unionByName(named(val, "val_accuracy", "right"))
+    return models, cut_lineage(log)
+
+
 def training_history(model) -> list[float]:
     """Per-iteration objective of the last fit (driver-side: one number per
     solver iteration)."""

@@ -62,6 +62,12 @@ def explode_values(df: DataFrame, array_col: str, out: str, *,
             .where(F.col(out).isNotNull()))
 
 
+def _one_per_key(table: DataFrame, key: str, value: str) -> DataFrame:
+    """``(key, value)`` with one row per key, the smallest value of repeated
+    ones, so that a lookup answers alike whichever way it is made."""
+    return table.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+
+
 def _small_table(table: DataFrame, key: str, value: str) -> pa.Table | None:
     """``(key, value)`` as Arrow data, or None above :data:`LOOKUP_ROWS` or
     :data:`LOOKUP_BYTES`, which one job checks before anything is fetched."""
@@ -155,6 +161,7 @@ def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFra
     Catalyst turns into a hash set (no shuffle); for word lists.
     ``strategy='join'``: for block tables too large for a literal; looked
     up per batch when small, otherwise explode, anti-join, regroup.
+    NULL tokens go and a NULL list stays NULL, whichever way is taken.
     """
     out = out or tokens
     block = token_blocklist() if blocklist is None else blocklist
@@ -172,16 +179,18 @@ def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFra
     found = _looked_up(df, F.transform(F.col(tokens), F.lower), table, "__tf_low", "__tf_low")
     if found is not None:
         hits = df.withColumn("__tf_hits", found)
-        return hits.withColumn(out, F.filter(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
-                                             lambda t, i: F.get("__tf_hits", i).isNull())).drop("__tf_hits")
-    df = _with_row(df)
-    ex = _explode_tokens(df, key, F.col(tokens)).withColumn("__tf_low", F.lower(_TOK))
-    kept = lookup_join(ex, table, "__tf_low", how="left_anti", salt_by=[key, _POS])
-    return _regroup(kept, key, F.col(_TOK), out, carry=df.drop(out))
+        return hits.withColumn(out, F.filter(F.col(tokens), lambda t, i: t.isNotNull() & F.get(
+            "__tf_hits", i).isNull())).drop("__tf_hits")
+    df = _with_row(df).withColumn("__tf_none", F.isnull(tokens))
+    ex = _explode_tokens(df, key, F.col(tokens)).where(F.col(_TOK).isNotNull() | F.col(_POS).isNull())
+    kept = lookup_join(ex.withColumn("__tf_low", F.lower(_TOK)), table, "__tf_low", how="left_anti", salt_by=[key, _POS])
+    back = _regroup(kept, key, F.col(_TOK), out, carry=df.drop(out))
+    return back.withColumn(out, F.when(~F.col("__tf_none"), F.col(out))).drop("__tf_none")
 
 
 def suffix_lemmas(tokens: DataFrame, dictionary: DataFrame, *,
-                  rules: Sequence[tuple[str, str]] = NOUN_SUFFIX_RULES) -> DataFrame:
+                  rules: Sequence[tuple[str, str]] = NOUN_SUFFIX_RULES,
+                  exceptions: DataFrame | None = None) -> DataFrame:
     """Lemma table ``(token, lemma)`` from suffix rules checked against a
     dictionary, the way WordNet's noun lemmatiser works: every rule whose
     suffix ends the token proposes ``stem + replacement``; proposals found
@@ -190,11 +199,20 @@ def suffix_lemmas(tokens: DataFrame, dictionary: DataFrame, *,
     length. Tokens without a winning proposal are left out (they map to
     themselves).
 
+    ``exceptions`` is a table ``(token, lemma)`` of irregular forms, which
+    is asked first: a token that it lists takes its lemma from there
+    (repeated tokens: the smallest) and no rule is tried on it.
+
     ``tokens`` and ``dictionary`` are one-column tables; both are reduced
     to distinct values first (partial aggregation absorbs hot tokens).
     """
     toks = tokens.select(F.col(tokens.columns[0]).alias("token")).distinct()
     dic = dictionary.select(F.col(dictionary.columns[0]).alias("lemma")).distinct()
+    irregular = None
+    if exceptions is not None:
+        known = _one_per_key(exceptions.select("token", "lemma"), "token", "lemma")
+        irregular = toks.join(known, "token").select("token", "lemma")
+        toks = toks.join(known.select("token"), "token", "left_anti")
     # all rules in one projection: one pass over the distinct tokens
     proposals = [
         F.when(F.col("token").endswith(suffix) & (F.length("token") > len(suffix)),
@@ -212,14 +230,18 @@ def suffix_lemmas(tokens: DataFrame, dictionary: DataFrame, *,
         .withColumn("__tf_listed", F.lit(True))
     best = best.join(listed, on="token", how="left").where(
         F.col("__tf_listed").isNull() | (F.col("b.n") < F.length("token")))
-    return best.select("token", F.col("b.l").alias("lemma"))
+    best = best.select("token", F.col("b.l").alias("lemma"))
+    return best if irregular is None else best.unionByName(irregular)
 
 
 def lemmatize(df: DataFrame, tokens: str, lemmas: DataFrame, *, out: str | None = None,
               key: str = "Id") -> DataFrame:
     """Replace each token by its lemma from the ``(token, lemma)`` table;
-    tokens missing from the table stay as they are."""
+    tokens missing from the table stay as they are. Of a token that the
+    table repeats the smallest lemma counts; NULL tokens stay, a NULL list
+    becomes an empty one."""
     out = out or tokens
+    lemmas = _one_per_key(lemmas.select("token", "lemma"), "token", "lemma")
     found = _looked_up(df, F.col(tokens), lemmas, "token", "lemma")
     if found is not None:
         listed = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
@@ -318,7 +340,7 @@ def encode(df: DataFrame, tokens: str, vocab: DataFrame, *, key: str = "Id",
         raise ValueError("max_len too small for the special ids")
     trunc = df.select(key, F.slice(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
                                    1, max_len - n_spec).alias(_TOK + "s"))
-    v = vocab.select(F.col("token").alias(_TOK), F.col("id").cast("int").alias("__tf_id"))
+    v = _one_per_key(vocab.select(F.col("token").alias(_TOK), F.col("id").cast("int").alias("__tf_id")), _TOK, "__tf_id")
     found = _looked_up(trunc, F.col(_TOK + "s"), v, _TOK, "__tf_id")
     if found is not None:
         reg = trunc.select(key, found.alias("__tf_ids")).withColumn(
@@ -361,6 +383,7 @@ def embed_tokens(df: DataFrame, tokens: str, vectors: DataFrame, dim: int, *,
     fitted = df.select(key, fit_length(F.col(tokens), length, "").alias(_TOK + "s"))
     vt = vectors.select(F.col("token").alias(_TOK),
                         F.col("vector").cast("array<float>").alias("__tf_vec")).where(F.col(_TOK) != "")
+    vt = _one_per_key(vt, _TOK, "__tf_vec")
     found = _looked_up(fitted, F.col(_TOK + "s"), vt, _TOK, "__tf_vec")
     if found is not None:
         zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)

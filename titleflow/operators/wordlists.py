@@ -46,3 +46,10 @@ NOUN_SUFFIX_RULES = [
     ("men", "man"),
     ("ies", "y"),
 ]
+
+# Irregular noun plurals of English and their singulars.
+IRREGULAR_NOUNS = [
+    ("axes", "axis"), ("children", "child"), ("crises", "crisis"), ("feet", "foot"), ("geese", "goose"), ("gentlemen", "gentleman"),
+    ("indices", "index"), ("knives", "knife"), ("leaves", "leaf"), ("lives", "life"), ("matrices", "matrix"), ("men", "man"),
+    ("mice", "mouse"), ("oxen", "ox"), ("people", "person"), ("teeth", "tooth"), ("wives", "wife"), ("women", "woman"),
+]

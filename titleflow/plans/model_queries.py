@@ -61,6 +61,15 @@ def evaluate_vector_model(spark, sf):
     return MD.evaluate(model, val, 50, key="Id", label="Genre", features="embedding", digits=6)
 
 
+def epoch_training(spark, sf):
+    """Three rounds of training on the ``embeddings`` vectors, evaluated after
+    each: the metric log read back as one row per epoch."""
+    from titleflow.operators.metrics import epoch_history
+    train, val = _vector_split(spark, sf)
+    _, log = MD.fit_epochs(train, val, "embedding", [64, 32, 10], epochs=3, size=50, iterations=10, seed=SEED)
+    return epoch_history(log, digits=6)
+
+
 def random_search(spark, sf, k: int = 3):
     """Seeded random search over a 4 x 3 x 4 = 48-point grid of the MLP on
     the ``embeddings`` vectors: step size (learning rate of the gradient-descent
@@ -206,6 +215,7 @@ def registry():
         "score_title_model": score_title_model,
         "score_vector_model": score_vector_model,
         "evaluate_vector_model": evaluate_vector_model,
+        "epoch_training": epoch_training,
         "random_search": random_search,
         "best_search_run": best_search_run,
         "naive_bayes_titles": naive_bayes_titles,

@@ -12,8 +12,9 @@ DuckDB 2.0 lambdas are written ``lambda x: ...``; list indexes are
 from __future__ import annotations
 
 from titleflow.functions.text import BASIC_ENGLISH_RULES, WHITESPACE_CLASS, WORD_PATTERN
+from titleflow.operators.permutation import ROUNDS, epoch_key, round_hash
 from titleflow.operators.text import token_blocklist
-from titleflow.operators.wordlists import NOUN_SUFFIX_RULES
+from titleflow.operators.wordlists import IRREGULAR_NOUNS, NOUN_SUFFIX_RULES
 from titleflow.plans import queries as Q
 
 
@@ -326,5 +327,67 @@ SELECT CAST(c.range AS INTEGER) AS class, CAST(coalesce(n, 0) AS BIGINT) AS n,
 FROM range(6) c LEFT JOIN s ON s.Genre = c.range"""
 
 
+ORACLE["positional_pairs"] = """
+WITH x AS (SELECT row_number() OVER () - 1 AS pos, doc_id AS Id, lang FROM documents),
+  y AS (SELECT row_number() OVER () - 1 AS pos, vec_id, label AS Genre FROM embeddings)
+SELECT pos, Id, lang, vec_id, Genre FROM x JOIN y USING (pos)"""
+
+ORACLE["lemma_table_irregular"] = f"""
+WITH d AS (SELECT doc_id AS Id, regexp_extract_all(text, {_lit(WORD_PATTERN)}) AS words FROM documents),
+  dict AS (SELECT DISTINCT lower(tok) AS lemma FROM (SELECT unnest(words) AS tok FROM d)),
+  irregular(token, lemma) AS (VALUES {", ".join(f"({_lit(t)}, {_lit(m)})" for t, m in IRREGULAR_NOUNS)}),
+  surf AS (SELECT lemma AS token FROM dict WHERE lemma NOT IN (SELECT token FROM irregular)),
+  cand AS ({_lemma_cands()}),
+  best AS (SELECT token, first(lemma ORDER BY length(lemma), lemma) AS lemma
+           FROM cand WHERE lemma IN (SELECT lemma FROM dict) GROUP BY token)
+SELECT token, lemma FROM best WHERE length(lemma) < length(token)
+UNION ALL SELECT i.token, i.lemma FROM irregular i JOIN dict ON dict.lemma = i.token"""
+
+ORACLE["encode_pieces"] = f"""
+WITH RECURSIVE {DOCS_TOKENS},
+  held AS (SELECT DISTINCT unnest({T1}) AS token FROM benchmark),
+  names AS (SELECT token FROM held UNION SELECT '##' || token FROM held WHERE length(token) <= 4),
+  vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY md5(token || '#{Q.SEED}')) - 1 + 4 AS INTEGER) AS id FROM names),
+  tr AS (SELECT Id, toks[1:{Q.MAX_LEN - 2}] AS tt FROM d),
+  u AS (SELECT Id, unnest(tt) AS word, generate_subscripts(tt, 1) AS pos FROM tr),
+  walk AS (
+    SELECT word, 1 AS beg, CAST([] AS INTEGER[]) AS ids FROM (SELECT DISTINCT word FROM u WHERE length(word) <= 100)
+    UNION ALL
+    SELECT word, beg + n, list_append(ids, id) FROM (
+      SELECT w.word, w.beg, w.ids, s.n, v.id, row_number() OVER (PARTITION BY w.word ORDER BY s.n DESC) AS o
+      FROM walk w, (SELECT unnest(range(1, 101)) AS n) s, vocab v
+      WHERE w.beg <= length(w.word) AND s.n <= length(w.word) - w.beg + 1
+        AND v.token = CASE WHEN w.beg = 1 THEN '' ELSE '##' END || substr(w.word, w.beg, s.n)) WHERE o = 1),
+  done AS (SELECT word, ids FROM walk WHERE beg = length(word) + 1),
+  l AS (SELECT u.Id, u.pos, coalesce(done.ids, [3]) AS ids FROM u LEFT JOIN done USING (word)),
+  g AS (SELECT Id, flatten(list(ids ORDER BY pos))[1:{Q.MAX_LEN - 2}] AS ids FROM l GROUP BY Id),
+  f AS (SELECT tr.Id, list_concat(list_concat([1], coalesce(g.ids, CAST([] AS INTEGER[]))), [2]) AS body
+        FROM tr LEFT JOIN g USING (Id))
+SELECT Id, array_to_string(list_resize(body, {Q.MAX_LEN}, 0), ' ') AS input_ids,
+       array_to_string(list_resize(list_resize([1], len(body), 1), {Q.MAX_LEN}, 0), ' ') AS attention_mask,
+       CAST(len(body) AS INTEGER) AS n_tokens
+FROM f"""
+
+
+def _permuted(source: str) -> str:
+    """(Id, pos, epoch, v) with v permuted once: rounds of the keyed permutation as nested selects."""
+    key = epoch_key(Q.SEED, "CAST(epoch AS BIGINT)")
+    rows = f"(SELECT Id, pos, epoch, n, a, b, v // b AS l, v % b AS r FROM {source}, dim)"
+    for i in range(1, ROUNDS + 1):
+        rows = f"(SELECT Id, pos, epoch, n, a, b, (l + {round_hash('r', key, str(2 * i))}) % a AS l, r FROM {rows})"
+        rows = f"(SELECT Id, pos, epoch, n, a, b, l, (r + {round_hash('l', key, str(2 * i + 1))}) % b AS r FROM {rows})"
+    return f"SELECT Id, pos, epoch, CAST(l * b + r AS BIGINT) AS v FROM {rows}"
+
+
+ORACLE["permuted_epochs"] = f"""
+WITH RECURSIVE p AS (SELECT p_partkey AS Id, CAST(row_number() OVER () - 1 AS BIGINT) AS pos FROM part),
+  size AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM part),
+  dim AS (SELECT n, a, (n + a - 1) // a AS b FROM size),
+  each AS (SELECT Id, pos, epoch, pos AS v FROM p, (SELECT CAST(unnest(range({Q.EPOCHS})) AS INTEGER) AS epoch)),
+  walk AS ({_permuted('each')}
+           UNION ALL {_permuted('(SELECT walk.* FROM walk, size WHERE v >= n)')})
+SELECT epoch, Id, pos, v AS epoch_pos, v // {Q.EPOCH_BATCH} AS batch_id FROM walk, size WHERE v < n"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

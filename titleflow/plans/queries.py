@@ -169,6 +169,26 @@ def position_index(spark, sf):
     return S.with_position(o, "Id").select("Id", "pos", "o_totalprice")
 
 
+def positional_pairs(spark, sf):
+    """Row i of the title file next to row i of the output file, as far as both go."""
+    from titleflow.operators.positional import pair_by_position
+    pairs = pair_by_position(_t(spark, sf, "documents").select("doc_id", "lang"), _t(spark, sf, "embeddings").select("vec_id", "label"),
+                             lengths="shortest")
+    return pairs.select("pos", F.col("doc_id").alias("Id"), "lang", "vec_id", F.col("label").alias("Genre"))
+
+
+EPOCHS, EPOCH_BATCH = 3, 64
+
+
+def permuted_epochs(spark, sf):
+    """Three epochs of the parts, each in an order computed from the row numbers."""
+    from titleflow.operators.permutation import permuted_epochs as orders
+    from titleflow.operators.positional import with_file_position
+    parts = with_file_position(_t(spark, sf, "part")).select(F.col("p_partkey").alias("Id"), "pos")
+    each = orders(parts, parts.count(), EPOCHS, EPOCH_BATCH, SEED)
+    return each.select("epoch", "Id", "pos", "epoch_pos", "batch_id")
+
+
 TAKE = [0, 1, 2, 3, 100, 1000, 4999, 9999, 14999]
 
 
@@ -245,6 +265,32 @@ def _word_lemmas(spark, sf) -> DataFrame:
     return X.suffix_lemmas(surface, dictionary)
 
 
+def lemma_table_irregular(spark, sf):
+    """The lemma table with irregular forms looked up before any rule."""
+    from titleflow.operators.wordlists import IRREGULAR_NOUNS
+    words = X.explode_values(_spread_titles(spark, sf).select(tokenize_words("Title").alias("t")), "t", "w")
+    surface = cut_lineage(words.select(F.lower("w").alias("w")).distinct())
+    return X.suffix_lemmas(surface, surface, exceptions=spark.createDataFrame(IRREGULAR_NOUNS, "token string, lemma string"))
+
+
+def _pieces(spark, sf) -> DataFrame:
+    """Sub-word vocabulary (token, id) of the held-out titles: their words,
+    and those of up to four characters as pieces inside a word as well."""
+    words = _heldout(spark, sf).select(F.explode(tokenize_basic("Title")).alias("token")).distinct()
+    inner = words.where(F.char_length("token") <= 4).select(F.concat(F.lit("##"), F.col("token")).alias("token"))
+    # the position index numbers them; the order is that of a hash, so that any engine can repeat it
+    return S.with_position(words.unionByName(inner).distinct(), "token", seed=SEED).select(
+        "token", (F.col("pos") + 4).cast("int").alias("id"))
+
+
+def encode_pieces(spark, sf):
+    """Titles as sub-word ids by greedy longest match."""
+    from titleflow.operators.subword import encode_pieces as encode
+    enc = encode(_basic_tokens(spark, sf), "tokens", _pieces(spark, sf), key="Id", max_len=MAX_LEN)
+    return enc.select("Id", F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("input_ids"),
+                      F.array_join(F.col("attention_mask").cast("array<string>"), " ").alias("attention_mask"), "n_tokens")
+
+
 def clean_text(spark, sf):
     lemmas = _word_lemmas(spark, sf)
     c = X.clean(_spread_titles(spark, sf), "Title", lemmas=lemmas, key="Id")
@@ -325,6 +371,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_exact": split_exact,
         "split_by_source": split_by_source,
         "epoch_batches": epoch_batches,
+        "positional_pairs": positional_pairs,
+        "permuted_epochs": permuted_epochs,
+        "lemma_table_irregular": lemma_table_irregular,
+        "encode_pieces": encode_pieces,
         "step_count": step_count,
         "position_index": position_index,
         "take_positions": take_positions,

@@ -176,5 +176,17 @@ def append_metrics(df: DataFrame, path: str) -> None:
     df.select(*cols).write.mode("append").parquet(path)
 
 
+def replace_metrics(df: DataFrame, path: str) -> None:
+    """Write rows in the metric-log shape so that a repeated write changes
+    nothing: the log is partitioned by run and epoch, and the partitions
+    that ``df`` holds are replaced as a whole (dynamic overwrite). Others
+    stay. Write all metrics of a run's epoch together."""
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in METRIC_LOG_SCHEMA.fields]
+    df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "run_id", "epoch").parquet(path)
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRIC_LOG_SCHEMA).parquet(path)
+    """A log of :func:`append_metrics` or :func:`replace_metrics`."""
+    rows = spark.read.schema(METRIC_LOG_SCHEMA).parquet(path)
+    return rows.select(*METRIC_LOG_SCHEMA.names)
