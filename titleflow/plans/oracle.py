@@ -389,5 +389,45 @@ WITH RECURSIVE p AS (SELECT p_partkey AS Id, CAST(row_number() OVER () - 1 AS BI
 SELECT epoch, Id, pos, v AS epoch_pos, v // {Q.EPOCH_BATCH} AS batch_id FROM walk, size WHERE v < n"""
 
 
+ORACLE["feature_file"] = """
+SELECT doc_id AS Id, doc_id || '.png' AS Cover, md5(coalesce(text, '')) AS title_md5,
+       CAST(length(coalesce(text, '')) AS INTEGER) AS n_chars FROM documents"""
+
+ORACLE["feature_file_by_position"] = """
+SELECT doc_id AS Id, 'c' || (doc_id % 97) AS image, md5(coalesce(text, '')) AS title_md5 FROM documents"""
+
+ORACLE["labelled_files"] = """
+SELECT doc_id AS Id, CAST(quality * 2 + toxic AS INTEGER) AS Genre, md5(coalesce(text, '')) AS title_md5
+FROM documents JOIN labels USING (doc_id)"""
+
+ORACLE["submission_file"] = ORACLE["argmax_predictions"]
+ORACLE["metric_log_file"] = ORACLE["epoch_history"]
+ORACLE["ensemble_join"] = ORACLE["ensemble_predict"]
+
+ORACLE["token_vector_file"] = f"""
+SELECT 'w' || vec_id AS token, CAST(len(embedding) AS INTEGER) AS dim,
+       round(list_sum(CAST(embedding AS DOUBLE[])), {D}) AS vec_sum FROM embeddings"""
+
+ORACLE["vocabulary_file"] = f"""
+WITH t AS (SELECT unnest({_basic_tokens_sql("p_name")}) AS token FROM part),
+  c AS (SELECT token, count(*) AS c FROM t GROUP BY token)
+SELECT token, CAST(row_number() OVER (ORDER BY c DESC, token) - 1 AS INTEGER) AS id FROM c"""
+
+ORACLE["encode_titles_pad_end"] = ORACLE["encode_titles"].replace(
+    f"list_resize(body, {Q.MAX_LEN}, 0)", f"list_resize(body, {Q.MAX_LEN}, 2)").split("array_to_string(list_resize(list_resize")[0] + (
+    "CAST(len(body) AS INTEGER) AS n_mask\nFROM f")
+
+#: Pixel (h, w, c) is byte (4 h + w) 4 + c; channels first puts it at 16 c + 4 h + w.
+ORACLE["cover_images"] = """
+WITH px AS (SELECT vec_id AS Id, list_transform(embedding, lambda x:
+              least(255, greatest(0, floor(128 + 256 * CAST(x AS DOUBLE)))) / 255.0) AS p FROM embeddings),
+  st AS (SELECT Id, p, list_avg(p) AS m, list_aggregate(p, 'stddev_samp') AS s, list_min(p) = list_max(p) AS flat FROM px),
+  y AS (SELECT Id, flat, list_sum(list_transform(range(0, 64), lambda k:
+          (k + 1) * CAST(CAST((p[(k % 16) * 4 + k // 16 + 1] - m) / s AS FLOAT) AS DOUBLE))) AS weighted FROM st)
+SELECT d.doc_id AS Id, y.Id IS NOT NULL AS has_image, y.Id IS NOT NULL AS shape_ok, y.flat AS is_constant,
+       round(y.weighted, 4) AS weighted
+FROM documents d LEFT JOIN y ON y.Id = d.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

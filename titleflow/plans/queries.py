@@ -355,6 +355,7 @@ def best_run(spark, sf):
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from titleflow.plans import io_queries as IO
     from titleflow.plans import model_queries as MQ
     q = {
         "accuracy_overall": accuracy_overall,
@@ -394,4 +395,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_run": best_run,
     }
     q.update(MQ.registry())
+    q.update(IO.registry())
     return q
