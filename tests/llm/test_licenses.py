@@ -72,3 +72,24 @@ def test_tagged_expression_in_a_text():
     assert found[5] == "apache-2.0,isc,mit" and found[4] == "mit" and found[6] == 1.0
     nested = L.scan(b"SPDX-License-Identifier:" + b"(" * 5000 + b"MIT" + b")" * 5000, L.automaton())
     assert nested[5] == "mit"
+
+
+@pytest.mark.parametrize(("line", "labels"), [
+    ("<!-- SPDX-License-Identifier: MIT -->", "mit"), ("SPDX-License-Identifier: MIT. See the LICENSE file for details", "mit"),
+    ("/* SPDX-License-Identifier: GPL-2.0+ OR MIT */", "gpl-2.0+,mit"), ("SPDX-License-Identifier: MIT AND (ISC", "isc,mit"),
+    ("# SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception -- note", "apache-2.0"),
+    ("SPDX-License-Identifier: see below", "see"), ("SPDX-License-Identifier:", ""), ("SPDX-License-Identifier: -- --", ""),
+])
+def test_what_follows_an_expression_is_no_label(line, labels):
+    assert L.scan(line.encode(), L.automaton())[5] == labels
+
+
+def test_many_hits_take_linear_time():
+    import time
+    phrases, took = L.automaton(), []
+    for n in (10_000, 80_000):
+        begin = time.process_time()
+        row = L.scan(b"cc by nc " * n, phrases)
+        took.append(time.process_time() - begin)
+        assert row[:4] == (3 * n, n, 0, 3 * n - 3)
+    assert took[1] < 24 * took[0] + 0.5

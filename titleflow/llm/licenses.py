@@ -14,6 +14,7 @@ collected, memory is one Arrow batch.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -79,74 +80,104 @@ SCHEMA = pa.schema([
     ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
 
 
-def freedom(label: str) -> float:
+def known(label: str) -> float | None:
+    """Freedom of a label, or of its longest leading part in the table."""
     parts = label.split("-")
     for n in range(len(parts), 0, -1):
-        if (known := FREEDOM.get("-".join(parts[:n]))) is not None:
-            return known
-    return UNKNOWN_FREEDOM
+        if (value := FREEDOM.get("-".join(parts[:n]))) is not None:
+            return value
+    return None
+
 
+def freedom(label: str) -> float:
+    value = known(label)
+    return UNKNOWN_FREEDOM if value is None else value
 
-def to_postfix(expression: str) -> list[str]:
-    """Shunting-yard: an infix licence expression in postfix order.
 
-    Raises ValueError where operators, operands and parentheses don't fit.
-    """
-    out, stack, operand_next = [], [], True
-    for token in _TOKEN.findall(expression):
+def _identifier(token: str) -> str:
+    """A token without the marks that end a sentence or a comment."""
+    return token.rstrip(".-:")
+
+
+def _ends(token: str) -> bool:
+    """Whether a sentence or comment ends with the token."""
+    return token not in "()" and _identifier(token) != token
+
+
+def well_formed(tokens: list[str]) -> int:
+    """Number of tokens of the longest prefix that is a whole expression."""
+    longest, depth, operand_next = 0, 0, True
+    for i, token in enumerate(tokens):
+        if token == "(" and operand_next:
+            depth += 1
+        elif token == ")" and not operand_next and depth:
+            depth -= 1
+        elif token.upper() in _PRECEDENCE and not operand_next:
+            operand_next = True
+        elif operand_next and token not in "()" and token.upper() not in _PRECEDENCE and _identifier(token):
+            operand_next = False
+        else:
+            break
+        if not depth and not operand_next:
+            longest = i + 1
+            if _ends(token):
+                break
+    return longest
+
+
+def to_postfix(expression: str | list[str]) -> list[str]:
+    """Shunting-yard: an infix licence expression (or its tokens) in postfix
+    order. Raises ValueError where operators, operands and parentheses don't fit."""
+    tokens = _TOKEN.findall(expression) if isinstance(expression, str) else expression
+    if not tokens or well_formed(tokens) != len(tokens):
+        raise ValueError("not a whole expression")
+    out, stack = [], []
+    for token in tokens:
         op = token.upper()
         if token == "(":
-            if not operand_next:
-                raise ValueError("operator expected")
             stack.append(token)
         elif token == ")":
-            if operand_next:
-                raise ValueError("operand expected")
-            while stack and stack[-1] != "(":
+            while stack[-1] != "(":
                 out.append(stack.pop())
-            if not stack:
-                raise ValueError("unbalanced parentheses")
             stack.pop()
         elif op in _PRECEDENCE:
-            if operand_next:
-                raise ValueError("operand expected")
             while stack and _PRECEDENCE.get(stack[-1], 0) >= _PRECEDENCE[op]:
                 out.append(stack.pop())
             stack.append(op)
-            operand_next = True
         else:
-            if not operand_next:
-                raise ValueError("operator expected")
-            out.append(token)
-            operand_next = False
-    if operand_next or "(" in stack:
-        raise ValueError("incomplete expression")
+            out.append(_identifier(token))
     return out + stack[::-1]
 
 
 def evaluate(expression: str) -> tuple[float, frozenset[str]]:
-    """Freedom and labels of a licence expression.
+    """Freedom and labels of the licence expression that a line begins with.
 
     OR offers a choice (the freer side counts), AND binds to both (the
     stricter side counts), WITH grants an exception to its left side and
-    adds no label. A malformed expression counts as all its identifiers
-    joined by AND; without any identifier it is ``(UNKNOWN_FREEDOM, {})``.
+    adds no label. What follows the longest well-formed expression (a
+    comment's end, a further sentence) is no part of it, but for names of
+    known licences before the sentence ends: they are joined by AND. Without
+    any identifier it is ``(UNKNOWN_FREEDOM, {})``.
     """
-    try:
-        postfix = to_postfix(expression)
-    except ValueError:
-        names = [t.lower() for t in _TOKEN.findall(expression)
-                 if t not in "()" and t.upper() not in _PRECEDENCE]
-        return min(map(freedom, names), default=UNKNOWN_FREEDOM), frozenset(names)
+    tokens = _TOKEN.findall(expression)
+    whole = well_formed(tokens)
     stack: list[tuple[float, frozenset[str]]] = []
-    for token in postfix:
+    for token in to_postfix(tokens[:whole]) if whole else []:
         if token not in _PRECEDENCE:
             stack.append((freedom(token.lower()), frozenset([token.lower()])))
             continue
         (b, right), (a, left) = stack.pop(), stack.pop()
         stack.append((a, left) if token == "WITH"
                      else (max(a, b) if token == "OR" else min(a, b), left | right))
-    return stack[0]
+    rest = []
+    if not whole or not _ends(tokens[whole - 1]):
+        for token in tokens[whole:]:
+            if known(_identifier(token).lower()) is not None:
+                rest.append((freedom(_identifier(token).lower()), frozenset([_identifier(token).lower()])))
+            if _ends(token):
+                break
+    stack += rest
+    return min((v for v, _ in stack), default=UNKNOWN_FREEDOM), frozenset().union(*(names for _, names in stack))
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -165,7 +196,7 @@ def scan(raw: bytes, phrases: ahocorasick.Automaton) -> tuple:
     words = raw.translate(_FOLD).split(b" ")
     words = [w for w in words if w] if b"" in words else words
     line = f" {b' '.join(words).decode()} "
-    starts, base, labels, tagged = [], set(), set(), False
+    starts, base, labels, tagged, blanks = [], set(), set(), False, None
     for end, (phrase, label, is_base) in phrases.iter(line):
         if label is None:
             tagged = True
@@ -173,7 +204,8 @@ def scan(raw: bytes, phrases: ahocorasick.Automaton) -> tuple:
         labels.add(label)
         if is_base:
             base.add(label)
-            starts.append(line.count(" ", 0, end - len(phrase)) - 1)
+            blanks = blanks or [m.start() for m in re.finditer(" ", line)]  # the n-th word stands behind the n-th blank
+            starts.append(bisect_left(blanks, end - len(phrase)) - 1)
     values = [freedom(x) for x in labels]
     if tagged:
         for m in _TAGGED.finditer(raw):
