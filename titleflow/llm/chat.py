@@ -21,10 +21,17 @@ from pyspark.sql import functions as F
 from titleflow.llm.common import stored
 
 CHUNK = 1024
-#: Template of a rendered turn; role and text are put in as they are.
+#: Template of a rendered turn; role and text are put in by :func:`escaped`.
 TURN = ("<|", "|>\n", "\n<|end|>\n")
 
 
+def escaped(words: Column) -> Column:
+    """A text that holds no mark of the template: every ``<|`` gets a
+    backslash between its two characters, and every run of backslashes
+    there one more, so that taking one away gives the text back."""
+    return F.regexp_replace(words, r"<(\\*)\|", r"<\\$1|")
+
+
 def _ordered(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """(conv, place, role, text): distinct turns in order, place from 0.
 
@@ -87,7 +94,9 @@ def maximal(ordered: DataFrame) -> DataFrame:
 def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                  text: str = "text") -> DataFrame:
     """One row per turn of the maximal conversations: conv, place, n_turns,
-    rendered. A conversation's training text is its rows in place order.
+    rendered. A conversation's training text is its rows in place order;
+    marks of the template inside a role or text are escaped, so no text can
+    end its turn or begin another.
 
     Wholly equal turn rows count once; turns with equal numbers stay in
     (role, text) order; null roles render as ``unknown``, null texts as
@@ -98,13 +107,19 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     kept = maximal(rows).select(F.col("conv").alias("kc"), F.col("n").alias("n_turns"))
     out = rows.join(kept, rows.conv.eqNullSafe(kept.kc))
     a, b, c = map(F.lit, TURN)
-    body = F.concat(a, F.coalesce("role", F.lit("unknown")), b, F.coalesce("text", F.lit("")), c)
+    body = F.concat(a, F.coalesce(escaped(F.col("role")), F.lit("unknown")), b,
+                    F.coalesce(escaped(F.col("text")), F.lit("")), c)
     return out.select(F.col("conv").alias(conv), "place", "n_turns", body.alias("rendered"))
 
 
 def snapshots(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
               text: str = "text") -> DataFrame:
-    """One row per conversation: id, n_turns, kept."""
+    """One row per conversation: id, n_turns, kept.
+
+    Null ids are one conversation, null turn numbers come first, wholly
+    equal turn rows count once, ties stay in (role, text) order; no turns:
+    no rows; other columns are ignored.
+    """
     rows = stored(_ordered(turns, conv, turn, role, text))
     all_of = rows.groupBy("conv").agg(F.count(F.lit(1)).alias("n_turns"))
     kept = maximal(rows).select(F.col("conv").alias("kc"), F.lit(True).alias("kept"))
