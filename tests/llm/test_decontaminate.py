@@ -94,3 +94,27 @@ def test_very_long_document():
     text = " ".join(f"w{i % 997}" for i in range(60_000)) + " " + item
     index = D.Benchmark([(7, item.encode())], 5, 0.8)
     assert index.find(text.encode()) == [(7, 1.0, 60_000, 40)]
+
+
+@pytest.mark.parametrize("size", [100, 200, 400, 1000])
+@pytest.mark.parametrize("end", ["refrain", "words", "other"])
+def test_repetitive_items_are_found(size, end):
+    r = random.Random(size)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    missed = 0
+    for _ in range(6):
+        tail = size // 9
+        body = [word() for _ in range(size - tail)]
+        item = body + (["again"] * tail if end != "other" else [word() for _ in range(tail)])
+        new = ["often"] * tail if end != "words" else [word() for _ in range(tail)]
+        keep = next(n for n in range(tail) if brute_similar(item, body + item[size - tail:size - tail + n] + new[n:]) >= 0.8)
+        window = body + item[size - tail:size - tail + keep] + new[keep:]
+        found = D.Benchmark([(1, " ".join(item).encode())], 5, 0.8).find(" ".join(["x", "y", *window, "z"]).encode())
+        missed += not found
+    assert not missed
+
+
+def brute_similar(a, b):
+    grams = lambda x: Counter(tuple(x[i:i + 5]) for i in range(len(x) - 4))
+    common = sum((grams(a) & grams(b)).values())
+    return common / (len(a) + len(b) - 8 - common)

@@ -6,14 +6,18 @@ with it. Per Arrow batch of documents:
 
 1. The text is folded to words (ASCII letters in lower case, other ASCII
    characters are gaps) and its shingles are hashed.
-2. Every item-sized window that holds at least one shingle of any item
-   gets a SimHash, from running sums of the shingles' bits. A window
-   without such a shingle has similarity 0 with every item.
+2. Of m shingles a window at similarity s shares 2 s m / (1 + s) at least
+   with its item. Every item-sized window with that many places whose
+   shingle stands in any item gets a SimHash, from running sums of the
+   shingles' bits; the others can leak nothing.
 3. A multi-index over the items' fingerprints (eight blocks of eight bits)
    looks windows up: fingerprints at most ``RADIUS`` bits apart differ in
    at most RADIUS // 8 bits of one block, and each block's table holds all
    values within that distance, so no fingerprint within the radius is
-   missed. The Hamming distance then sifts the candidates.
+   missed. The Hamming distance then sifts the candidates. Where one
+   shingle is repeated so often that a fifth of the weight may be a few
+   shingles only, in the item or in the window, the bits move much further
+   than that: such items and windows go to the exact check without a sieve.
 4. The exact weighted similarity verifies what is left.
 
 Documents are only streamed through: no shuffle. Items are broadcast in
@@ -23,6 +27,7 @@ further passes over the documents, one per block.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,8 +41,9 @@ from pyspark.sql import functions as F
 from titleflow.llm.licenses import _FOLD
 
 #: Largest Hamming distance of fingerprints: two windows at similarity 0.8
-#: differ in about 10 of 64 bits, with a standard deviation of about 3.
-RADIUS = 22
+#: differ in about 10 of 64 bits, with a standard deviation of about 3, if
+#: their shingles' squared counts sum up to at most ``EVEN`` times their number.
+RADIUS, EVEN = 22, 1.5
 _MAP_BITS = 20
 #: Starts of windows that share one table of bit sums.
 _REGION = 1 << 10
@@ -111,6 +117,11 @@ class MultiIndex:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+def uneven(counts: Counter) -> bool:
+    """Whether a few shingles carry so much weight that the bits hang on them."""
+    return sum(n * n for n in counts.values()) > EVEN * sum(counts.values())
+
+
 def weighted_similarity(a: Counter, b: Counter) -> float:
     """Multiset Jaccard: sum of the smaller counts over sum of the larger."""
     common = sum(min(n, b[s]) for s, n in a.items() if s in b)
@@ -134,8 +145,9 @@ class Benchmark:
             hashes = [t.shingles(k) for _, t in members]
             fps = np.array([window_hashes(bit_sums(h), np.zeros(1, np.int64), len(h))[0] for h in hashes], np.uint64)
             known.setdefault(k, []).extend(hashes)
-            self.groups.setdefault(k, []).append(
-                (length, [i for i, _ in members], MultiIndex(fps, RADIUS), [Counter(h.tolist()) for h in hashes]))
+            counts = [Counter(h.tolist()) for h in hashes]
+            self.groups.setdefault(k, []).append((length, [i for i, _ in members], MultiIndex(fps, RADIUS), counts,
+                                                  {i for i, c in enumerate(counts) if uneven(c)}))
         self.known = {k: np.unique(np.concatenate(v)) for k, v in known.items()}
         self.map = {}
         for k, h in self.known.items():
@@ -166,21 +178,27 @@ class Benchmark:
             before[hit + 1] = 1
             before = np.cumsum(before)
             for first, sums in self._regions(h, hit, k):
-                for length, ids, index, counts in groups:
+                for length, ids, index, counts, heavy in groups:
                     m = length - k + 1
+                    need = math.ceil(2 * self.similarity * m / (1 + self.similarity) - 1e-9)
                     n = min(_REGION, len(h) - m + 1 - first)
                     if n < 1:
                         continue
-                    starts = np.flatnonzero(before[first + m:first + n + m] > before[first:first + n])
+                    starts = np.flatnonzero(before[first + m:first + n + m] - before[first:first + n] >= max(1, need))
                     if not len(starts):
                         continue
+                    near: dict[int, set[int]] = {}
                     window, item = index.within(window_hashes(sums, starts, m))
-                    for w, i in zip((starts[window] + first).tolist(), item.tolist(), strict=True):
-                        s = weighted_similarity(Counter(h[w:w + m].tolist()), counts[i])
-                        if s >= self.similarity and s > best.get((length, i), (None, 0.0))[1]:
-                            best[length, i] = (ids[i], s, w, length)
-                            if first_only:
-                                return list(best.values())
+                    for x, i in zip(window.tolist(), item.tolist(), strict=True):
+                        near.setdefault(x, set()).add(i)
+                    for x, w in enumerate((starts + first).tolist()):
+                        own = Counter(h[w:w + m].tolist())
+                        for i in range(len(ids)) if uneven(own) else sorted(near.get(x, set()) | heavy):
+                            s = weighted_similarity(own, counts[i])
+                            if s >= self.similarity and s > best.get((length, i), (None, 0.0))[1]:
+                                best[length, i] = (ids[i], s, w, length)
+                                if first_only:
+                                    return list(best.values())
         return list(best.values())
 
 
@@ -195,7 +213,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text: str, block_chars: int) -> l
     A benchmark is a table of test items; its size is measured first."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col(id_col).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    size = items.agg(F.sum(F.octet_length("t") + 64)).first()[0] or 0  # items without text weigh something, too
     n = max(1, -(-size // block_chars))
     part = F.pmod(F.xxhash64("i", "t"), F.lit(n))
     for b in range(n):
