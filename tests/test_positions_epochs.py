@@ -142,3 +142,16 @@ def test_epoch_training_refuses_labels_outside_the_outputs(spark):
     bad = df.withColumn("Genre", F.lit(7))
     with pytest.raises(Exception, match="label outside"):
         MD.fit_epochs(df, bad, "x", [2, 2], epochs=1, size=4, iterations=1)
+
+
+def test_stored_positions_read_only_the_folders_they_need(spark, tmpdir_path):
+    from titleflow.operators.position_store import fetch_positions, store_positions
+    rows = spark.range(5000).select((4999 - F.col("id")).alias("Id"), F.concat(F.lit("t"), 4999 - F.col("id")).alias("pos"))
+    store_positions(rows, f"{tmpdir_path}/x", "Id", bucket_rows=100)
+    got = fetch_positions(spark, f"{tmpdir_path}/x", [4, 205, 205, 4999, 5000, -1], out="at")
+    assert sorted((r.at, r.Id, r.pos) for r in got.collect()) == [(4, 4, "t4"), (205, 205, "t205"), (205, 205, "t205"), (4999, 4999, "t4999")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [__tf_folder" in plan
+    many = spark.range(0, 5000, 3).toDF("p").unionByName(spark.createDataFrame([(None,)], "p long"))
+    assert sorted(r.pos for r in fetch_positions(spark, f"{tmpdir_path}/x", many).collect()) == list(range(0, 5000, 3))
+    assert fetch_positions(spark, f"{tmpdir_path}/x", []).count() == 0

@@ -112,6 +112,16 @@ def encode_titles_pad_end(spark, sf):
                       F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_mask"))
 
 
+def stored_positions(spark, sf):
+    """Orders stored by position, fetched at the numbers that the parts name."""
+    from titleflow.operators.position_store import fetch_positions, store_positions
+    orders = S.read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    path = _path(spark)
+    store_positions(orders, path, "o_orderkey", bucket_rows=1000)
+    wanted = S.read_table(spark, sf, "part").select((F.col("p_partkey") * 7).alias("pos"))
+    return fetch_positions(spark, path, wanted).select("pos", F.col("o_orderkey").alias("Id"), "o_custkey")
+
+
 def _images(spark, sf) -> DataFrame:
     """The rows of the ``image`` source, one made of each vector's components."""
     byte = F.transform("embedding", lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(128 + 256 * x.cast("double")))))
@@ -134,4 +144,4 @@ def cover_images(spark, sf):
 
 def registry():
     return {f.__name__: f for f in (feature_file, feature_file_by_position, labelled_files, submission_file, metric_log_file,
-                                    token_vector_file, vocabulary_file, ensemble_join, encode_titles_pad_end, cover_images)}
+                                    token_vector_file, vocabulary_file, ensemble_join, encode_titles_pad_end, stored_positions, cover_images)}

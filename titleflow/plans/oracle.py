@@ -413,6 +413,10 @@ WITH t AS (SELECT unnest({_basic_tokens_sql("p_name")}) AS token FROM part),
   c AS (SELECT token, count(*) AS c FROM t GROUP BY token)
 SELECT token, CAST(row_number() OVER (ORDER BY c DESC, token) - 1 AS INTEGER) AS id FROM c"""
 
+ORACLE["stored_positions"] = """
+WITH o AS (SELECT o_orderkey AS Id, o_custkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders)
+SELECT o.pos, Id, o_custkey FROM part JOIN o ON o.pos = p_partkey * 7"""
+
 ORACLE["encode_titles_pad_end"] = ORACLE["encode_titles"].replace(
     f"list_resize(body, {Q.MAX_LEN}, 0)", f"list_resize(body, {Q.MAX_LEN}, 2)").split("array_to_string(list_resize(list_resize")[0] + (
     "CAST(len(body) AS INTEGER) AS n_mask\nFROM f")
