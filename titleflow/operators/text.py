@@ -161,7 +161,7 @@ def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFra
     Catalyst turns into a hash set (no shuffle); for word lists.
     ``strategy='join'``: for block tables too large for a literal; looked
     up per batch when small, otherwise explode, anti-join, regroup.
-    NULL tokens go and a NULL list stays NULL, whichever way is taken.
+    NULL tokens stay and a NULL list becomes empty, whichever way is taken.
     """
     out = out or tokens
     block = token_blocklist() if blocklist is None else blocklist
@@ -169,8 +169,8 @@ def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFra
         if isinstance(block, DataFrame):
             raise ValueError("strategy='array' needs a list; use strategy='join'")
         words = sorted(set(block))
-        return df.withColumn(out, F.filter(F.col(tokens),
-                                           lambda t: ~F.lower(t).isin(words)))
+        return df.withColumn(out, F.filter(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
+                                           lambda t: t.isNull() | ~F.lower(t).isin(words)))
     if strategy != "join":
         raise ValueError("strategy must be 'array' or 'join'")
     table = (block if isinstance(block, DataFrame)
@@ -179,13 +179,12 @@ def remove_tokens(df: DataFrame, tokens: str, blocklist: Sequence[str] | DataFra
     found = _looked_up(df, F.transform(F.col(tokens), F.lower), table, "__tf_low", "__tf_low")
     if found is not None:
         hits = df.withColumn("__tf_hits", found)
-        return hits.withColumn(out, F.filter(F.col(tokens), lambda t, i: t.isNotNull() & F.get(
-            "__tf_hits", i).isNull())).drop("__tf_hits")
-    df = _with_row(df).withColumn("__tf_none", F.isnull(tokens))
-    ex = _explode_tokens(df, key, F.col(tokens)).where(F.col(_TOK).isNotNull() | F.col(_POS).isNull())
-    kept = lookup_join(ex.withColumn("__tf_low", F.lower(_TOK)), table, "__tf_low", how="left_anti", salt_by=[key, _POS])
-    back = _regroup(kept, key, F.col(_TOK), out, carry=df.drop(out))
-    return back.withColumn(out, F.when(~F.col("__tf_none"), F.col(out))).drop("__tf_none")
+        return hits.withColumn(out, F.filter(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
+                                             lambda t, i: F.get("__tf_hits", i).isNull())).drop("__tf_hits")
+    df = _with_row(df)
+    ex = _explode_tokens(df, key, F.col(tokens)).withColumn("__tf_low", F.lower(_TOK))
+    kept = lookup_join(ex, table, "__tf_low", how="left_anti", salt_by=[key, _POS])
+    return _regroup(kept, key, F.col(_TOK), out, carry=df.drop(out))
 
 
 def suffix_lemmas(tokens: DataFrame, dictionary: DataFrame, *,
