@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -50,6 +51,36 @@ def test_title_model_and_search(spark):
     assert best_run(res).count() == 1
 
 
+def test_search_evaluates_all_models_in_one_scan(spark):
+    data = S.split_exact(_emb(spark), "Id", 0.8, 1)
+    train = MD.vector_features(data.where("split = 'train'"), "embedding").withColumn("Genre", F.col("Genre").cast("double"))
+    val = data.where("split = 'validation'").select("Id", "embedding", "Genre")
+    est = MD.vector_estimator([64, 8, 10], solver="gd", seed=1)
+    grid = ParamGridBuilder().addGrid(est.stepSize, [1e-3, 1e-2]).addGrid(est.maxIter, [2, 5]).build()
+    one = random_search(est, grid, train, val, k=3, seed=3,
+                        evaluate=lambda m, v: MD.evaluate(m, v, 25, features="embedding", digits=6))
+    seen = []
+
+    def all_models(models, v):
+        seen.append((len(models), MD.evaluate_all(models, v, 25, features="embedding", digits=6)))
+        return seen[-1][1]
+
+    all_ = random_search(est, grid, train, val, k=3, seed=3, evaluate_all=all_models, parallelism=2)
+    columns = sorted(one.columns)
+    assert sorted(all_.columns) == columns
+    assert sorted(all_.select(columns).collect()) == sorted(one.select(columns).collect())
+    assert [n for n, _ in seen] == [3]
+    plan = seen[0][1]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") + plan.count("LogicalRDD [") == 1, plan
+
+
+def test_search_needs_one_way_to_evaluate(spark):
+    with pytest.raises(ValueError):
+        random_search(None, [], None, None, k=1, seed=1)
+    with pytest.raises(ValueError):
+        MD.evaluate_all([], _emb(spark), 5, features="embedding")
+
+
 def test_streaming_tokenise_and_predict(spark, tmpdir_path):
     from titleflow.streaming.scoring import predict_stream, read_features_stream, with_tokens
     src = os.path.join(tmpdir_path, "in")

@@ -1,6 +1,6 @@
 """Tokenisers as native Spark expressions.
 
-Both are plain ``regexp_replace`` / ``split`` / ``regexp_extract_all``
+All are plain ``regexp_replace`` / ``split`` / ``regexp_extract_all``
 chains, so they stay inside whole-stage codegen and can be applied to batch
 and streaming DataFrames alike. The patterns only use constructs that Java
 regex and RE2 (DuckDB) read the same way, which is what lets the DuckDB
@@ -86,3 +86,82 @@ def tokenize_words(text: Column | str) -> Column:
     """Split ``text`` into word and punctuation tokens, case kept."""
     t = F.col(text) if isinstance(text, str) else text
     return F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0)
+
+
+# Two characters that no token holds mark the dots of abbreviations and the
+# sentence ends while the rules below run.
+_DOT, _END = "\x01", "\x02"
+_SPACE = WHITESPACE_CLASS
+_BLANK = _SPACE[1:-1]
+
+# Abbreviations whose dot ends no sentence.
+ABBREVIATIONS = ["Mr", "Mrs", "Ms", "Dr", "Prof", "St", "Jr", "Sr", "Vol", "No", "vs", "etc"]
+
+# Words that the treebank convention writes as two.
+FUSED_WORDS = [("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("wan", "na")]
+
+_CLITICS = r"([\p{L}\p{N}])('(?:s|S|m|M|d|D|ll|LL|re|RE|ve|VE))([^\p{L}\p{N}])"
+
+
+def treebank_rules() -> list[tuple[str, str]]:
+    """The ordered rewrite rules of :func:`tokenize_treebank` as (pattern,
+    replacement with ``$n`` groups), for a text with a blank on either side."""
+    rules = [
+        (rf"[{_DOT}{_END}]", " "),
+        # a dot behind an initial or an abbreviation stays with it
+        (rf"(^|[^\p{{L}}\p{{N}}])((?:\p{{Lu}}\.)*\p{{Lu}}|{'|'.join(ABBREVIATIONS)})\.", rf"$1$2{_DOT}"),
+        # a sentence ends where a capital letter or a digit follows the end mark
+        (rf"([.!?][\"')\]]*){_SPACE}+([\"'(\[]*[\p{{Lu}}\p{{N}}])", rf"$1 {_END} $2"),
+        # double quotes: opening ones, then all others
+        (rf'([{_BLANK}(\[{{<])"', "$1 `` "),
+        (r'"', " '' "),
+        (r"(\.\.\.+)", " $1 "),
+        (r"([;@#$%&?!\[\](){}<>])", " $1 "),
+        # commas and colons inside numbers and times stay there
+        (r"([,:]+)([^\p{N},:])", " $1 $2"),
+        (r"(--+)", " $1 "),
+        # only the last dot of a sentence is a token of its own
+        (rf"([^.{_BLANK}])\.((?:{_SPACE}|[\])}}>'])*)({_END}|\z)", "$1 . $2$3"),
+        # contractions; twice, as two of them may meet
+        (r"(\p{L})(n't|N'T)([^\p{L}\p{N}])", "$1 $2$3"),
+        (_CLITICS, "$1 $2$3"),
+        (_CLITICS, "$1 $2$3"),
+        (rf"([^'{_BLANK}])'({_SPACE})", "$1 ' $2"),
+    ]
+    for a, b in FUSED_WORDS:
+        first = f"[{a[0].upper()}{a[0]}]{a[1:]}"
+        rules.append((rf"([^\p{{L}}\p{{N}}])({first})({b})([^\p{{L}}\p{{N}}])", "$1$2 $3$4"))
+    return rules
+
+
+def _treebank_marked(text: Column | str) -> Column:
+    t = F.col(text) if isinstance(text, str) else text
+    t = F.concat(F.lit(" "), t, F.lit(" "))
+    for pattern, replacement in treebank_rules():
+        t = F.regexp_replace(t, pattern, replacement)
+    return F.replace(t, F.lit(_DOT), F.lit("."))
+
+
+def _words_of(marked: Column) -> Column:
+    return F.filter(F.split(marked, _SPACE + "+"), lambda w: (w != F.lit("")) & (w != F.lit(_END)))
+
+
+def tokenize_treebank(text: Column | str) -> Column:
+    """Split ``text`` into tokens the way the Penn Treebank writes them, case
+    kept: ``don't`` is ``do`` + ``n't``, ``it's`` is ``it`` + ``'s``,
+    ``cannot`` is ``can`` + ``not``, double quotes become two back or
+    straight single ones, other marks stand alone, commas and colons between
+    digits and hyphens stay inside, and a dot is cut off only where it ends a
+    sentence. A run of commas and colons is one token; a single quote before
+    a word stays on it. An empty or blank text gives an empty array, NULL
+    stays NULL."""
+    return _words_of(_treebank_marked(text))
+
+
+def sentences_treebank(text: Column | str) -> Column:
+    """The tokens of :func:`tokenize_treebank`, one array per sentence.
+    Sentences end at ``.``, ``!`` or ``?`` with closing quotes or brackets,
+    white space and a capital letter or digit behind; the dots of initials
+    and of :data:`ABBREVIATIONS` end none."""
+    parts = F.transform(F.split(_treebank_marked(text), _END), _words_of)
+    return F.filter(parts, lambda s: F.size(s) > 0)

@@ -194,6 +194,40 @@ def evaluate(model, df: DataFrame, size: int, *, key: str = "Id", label: str = "
                    r(F.sum("sc") / F.sum("m")).alias("accuracy"))
 
 
+def _score_all(models: list, rows: DataFrame, keep: list[str], out: str) -> DataFrame:
+    """``keep``, ``out`` (place in ``models``) and ``z`` for every row and
+    model, all models in one pass over ``rows`` (its ``features``)."""
+    for i, model in enumerate(models):
+        rows = model.copy().setRawPredictionCol(f"__tf_z{i}").setProbabilityCol("").setPredictionCol("").transform(rows)
+    return rows.select(*keep, F.posexplode(F.array(*[
+        vector_to_array(f"__tf_z{i}") for i in range(len(models))])).alias(out, "z"))
+
+
+def evaluate_all(models: list, df: DataFrame, size: int, *, features: str, key: str = "Id", label: str = "Genre",
+                 digits: int | None = None) -> DataFrame:
+    """:func:`evaluate` of several vector models: one row per model with its
+    place ``model`` in the list (from 0). The batches are made once and one
+    scan scores every model, so a search over k settings doesn't read the
+    validation table k times. No models are refused; a table without rows
+    gives no rows."""
+    from titleflow.operators.sampling import with_batch, with_position
+    if not models:
+        raise ValueError("no models to evaluate")
+    rows = with_batch(with_position(df.select(key, features, label), key, out="__tf_pos", materialize=True), size,
+                      pos="__tf_pos")
+    each = _score_all(models, vector_features(cut_lineage(rows.select("batch_id", features, label)), features),
+                      ["batch_id", label], "model")
+    each = each.select("model", "batch_id", (argmax("z") == F.col(label)).cast("double").alias("c"),
+                       cross_entropy("z", F.col(label).cast("int")).alias("loss"))
+    per = each.groupBy("model", "batch_id").agg(F.avg("c").alias("acc"), F.avg("loss").alias("l"), F.sum("c").alias("sc"),
+                                                F.count(F.lit(1)).alias("m"))
+
+    def r(c):
+        return c if digits is None else F.round(c, digits)
+    return per.groupBy("model").agg(F.count(F.lit(1)).alias("n_batches"), r(F.avg("acc")).alias("val_accuracy"),
+                                    r(F.avg("l")).alias("val_loss"), r(F.sum("sc") / F.sum("m")).alias("accuracy"))
+
+
 def fit_epochs(train: DataFrame, validation: DataFrame, features: str, layers: list[int], *, epochs: int, size: int,
                key: str = "Id", label: str = "Genre", iterations: int = 5, seed: int = 42,
                run_id: str = "run") -> tuple[list, DataFrame]:
@@ -228,11 +262,8 @@ def fit_epochs(train: DataFrame, validation: DataFrame, features: str, layers: l
 
     def losses(rows: DataFrame, reorder: bool) -> DataFrame:
         """(epoch, loss, right): means over the epoch's batches."""
-        n, out = rows.count(), rows
-        for e, model in enumerate(models):
-            out = model.copy().setRawPredictionCol(f"__tf_z{e}").setProbabilityCol("").setPredictionCol("").transform(out)
-        each = out.select("__tf_pos", label, F.posexplode(F.array(*[
-            vector_to_array(f"__tf_z{e}") for e in range(epochs)])).alias("__tf_e", "z"))
+        n = rows.count()
+        each = _score_all(models, rows, ["__tf_pos", label], "__tf_e")
         place = permuted("__tf_pos", n, seed, "__tf_e") if reorder else F.col("__tf_pos")
         loss = cross_entropy("z", F.col(label).cast("int"))
         each = each.select((F.col("__tf_e") + 1).alias("epoch"), F.floor(place / size).alias("batch"),

@@ -14,7 +14,7 @@ that truncates it (encode, embed) or by the row itself (clean).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from titleflow.functions.arrays import fit_length
+from titleflow.functions.text import tokenize_words
 from titleflow.operators.joins import lookup_join
 from titleflow.operators.wordlists import (ENGLISH_STOP_WORDS, NOUN_SUFFIX_RULES,
                                            PUNCTUATION)
@@ -263,14 +264,16 @@ def joined_text(tokens: Column | str) -> Column:
 
 def clean(df: DataFrame, title: str = "Title", *, blocklist: Sequence[str] | None = None,
           lemmas: DataFrame | None = None, key: str = "Id",
-          out_text: str = "clean_text", out_tokens: str = "clean_tokens") -> DataFrame:
-    """Title cleaning: word-tokenise, drop blocked tokens (compared in lower
-    case, output keeps case), lemmatise, and return both the token list and
-    the space-joined text with its trailing space."""
-    from titleflow.functions.text import tokenize_words
+          out_text: str = "clean_text", out_tokens: str = "clean_tokens",
+          words_of: Callable[[Column], Column] = tokenize_words) -> DataFrame:
+    """Title cleaning: word-tokenise (``words_of``, for example
+    :func:`~titleflow.functions.text.tokenize_treebank`), drop blocked
+    tokens (compared in lower case, output keeps case), lemmatise, and
+    return both the token list and the space-joined text with its trailing
+    space."""
     block = token_blocklist() if blocklist is None else list(blocklist)
     words = sorted(set(block))
-    staged = df.withColumn(out_tokens, F.filter(tokenize_words(F.col(title)),
+    staged = df.withColumn(out_tokens, F.filter(words_of(F.col(title)),
                                                 lambda t: ~F.lower(t).isin(words)))
     if lemmas is not None:
         staged = lemmatize(staged, out_tokens, lemmas, key=key)

@@ -87,10 +87,10 @@ def random_search(spark, sf, k: int = 3):
             .build())
     defaults = {mlp.stepSize: 1e-3, mlp.layers: [64, 32, 10], mlp.maxIter: 30}
 
-    def ev(model, v):
-        return MD.evaluate(model, v, 50, key="Id", label="Genre", features="embedding", digits=6)
+    def ev(models, v):
+        return MD.evaluate_all(models, v, 50, key="Id", label="Genre", features="embedding", digits=6)
 
-    return TU.random_search(mlp, grid, train, val, k=k, seed=SEED, evaluate=ev, defaults=defaults)
+    return TU.random_search(mlp, grid, train, val, k=k, seed=SEED, evaluate_all=ev, defaults=defaults, parallelism=2)
 
 
 def best_search_run(spark, sf, k: int = 3):

@@ -11,7 +11,7 @@ DuckDB 2.0 lambdas are written ``lambda x: ...``; list indexes are
 
 from __future__ import annotations
 
-from titleflow.functions.text import BASIC_ENGLISH_RULES, WHITESPACE_CLASS, WORD_PATTERN
+from titleflow.functions.text import BASIC_ENGLISH_RULES, WHITESPACE_CLASS, WORD_PATTERN, treebank_rules
 from titleflow.operators.permutation import ROUNDS, epoch_key, round_hash
 from titleflow.operators.text import token_blocklist
 from titleflow.operators.wordlists import IRREGULAR_NOUNS, NOUN_SUFFIX_RULES
@@ -433,5 +433,28 @@ SELECT d.doc_id AS Id, y.Id IS NOT NULL AS has_image, y.Id IS NOT NULL AS shape_
 FROM documents d LEFT JOIN y ON y.Id = d.doc_id"""
 
 
+def _treebank_sql(col: str) -> str:
+    """Sentences as token lists: the ordered rules one by one, sentences cut at their mark."""
+    t = f"(' ' || {col} || ' ')"
+    for pattern, repl in treebank_rules():
+        t = f"regexp_replace({t}, {_lit(pattern)}, {_lit(repl.replace('$', chr(92)))}, 'g')"
+    words = f"list_filter(string_split_regex(replace(p, chr(1), '.'), {_lit(WHITESPACE_CLASS + '+')}), lambda w: w <> '')"
+    return f"list_filter(list_transform(string_split({t}, chr(2)), lambda p: {words}), lambda s: len(s) > 0)"
+
+
+TREEBANK = f"d AS (SELECT doc_id AS Id, {_treebank_sql('text')} AS s FROM documents), t AS (SELECT Id, s, flatten(s) AS toks FROM d)"
+
+ORACLE["treebank_tokens"] = f"""
+WITH {TREEBANK}
+SELECT Id, array_to_string(toks, ' ') AS tokens, CAST(len(toks) AS INTEGER) AS n_tokens,
+       CAST(len(s) AS INTEGER) AS n_sentences FROM t"""
+
+ORACLE["clean_text_treebank"] = f"""
+WITH {TREEBANK},
+  k AS (SELECT Id, list_filter(toks, lambda w: lower(w) NOT IN ({BLOCK})) AS kept FROM t)
+SELECT Id, CASE WHEN len(kept) > 0 THEN array_to_string(kept, ' ') || ' ' ELSE '' END AS clean_text,
+       CAST(len(kept) AS INTEGER) AS n_clean FROM k"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

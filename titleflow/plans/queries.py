@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleflow.functions.arrays import argmax, cross_entropy, fit_length
-from titleflow.functions.text import tokenize_basic, tokenize_words
+from titleflow.functions.text import sentences_treebank, tokenize_basic, tokenize_treebank, tokenize_words
 from titleflow.operators import metrics as M
 from titleflow.operators import sampling as S
 from titleflow.operators import text as X
@@ -333,6 +333,20 @@ def _metric_log(spark, sf) -> DataFrame:
                         metric="event_type", value="value")
 
 
+def treebank_tokens(spark, sf):
+    """Treebank tokens of every document, and its number of sentences."""
+    d = spread(_t(spark, sf, "documents").select(F.col("doc_id").alias("Id"), "text"), "Id")
+    d = d.select("Id", sentences_treebank("text").alias("s"))
+    return d.select("Id", F.array_join(F.flatten("s"), " ").alias("tokens"),
+                    F.aggregate("s", F.lit(0), lambda n, x: n + F.size(x)).alias("n_tokens"), F.size("s").alias("n_sentences"))
+
+
+def clean_text_treebank(spark, sf):
+    """Cleaned documents by treebank tokens: stop words and marks dropped."""
+    d = spread(_t(spark, sf, "documents").select(F.col("doc_id").alias("Id"), F.col("text").alias("Title")), "Id")
+    return X.clean(d, words_of=tokenize_treebank).select("Id", "clean_text", F.size("clean_tokens").alias("n_clean"))
+
+
 HISTORY = {"training_loss": "click", "valid_loss": "view", "valid_accur": "purchase"}
 
 
@@ -387,6 +401,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_hash": split_hash,
         "lemma_table": lemma_table,
         "clean_text": clean_text,
+        "treebank_tokens": treebank_tokens,
+        "clean_text_treebank": clean_text_treebank,
         "build_vocab": build_vocab,
         "encode_titles": encode_titles,
         "embed_tokens": embed_tokens,
