@@ -83,6 +83,21 @@ def test_links_in_crowded_buckets(spark):
     assert want == {(d, 0): (d - d % 2, 0) for d in range(80)} and got == want
 
 
+def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+    """Lines that leave out other parts of a template have no shingle of
+    their own, so that nearly all of them meet in crowded buckets only."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    parts = [[word() for _ in range(8)] for _ in range(24)]
+    rows = [(doc, " ".join(w for p in sorted(r.sample(range(24), r.randint(16, 20))) for w in parts[p])) for doc in range(60)]
+    rows += [(doc, t + " " + word()) for doc, t in made_rows(4)[:20]]
+    rows = list(enumerate(t for _, t in rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(L, "CROWD", 2)
+    got = {(x.doc, x.pos): (x["first"].doc, x["first"].pos) for x in L.line_components(docs).collect()}
+    assert got == brute_components(rows)
+
+
 def test_documents_lose_repeated_lines_only(spark):
     a, b = "one line of some ten words that stands here twice", "another line altogether with its own words in it"
     rows = [(2, f"{a}\n\n{b}", 0, "x"), (1, f"  \n{a}", 0, "x"), (3, a, 0, None), (4, None, 0, "x"), (5, "", 0, "x"),

@@ -16,19 +16,23 @@ numpy in Arrow batches, everything else DataFrame functions.
 3. Buckets of up to ``CROWD`` members propose each of their pairs. A pair
    that shares a single key is dropped unless one of its lines has a short
    signature.
-4. The lines of crowded buckets (lines around a common template) are banded
-   anew by a signature of the ``FINE`` smallest hashes: what similar lines
-   share beside the template puts them into small buckets, and a crowded
-   one proposes each member with the bucket's smallest and largest line.
-   Pairs that share a single key there, or whose long signatures have too
-   little in common, are dropped.
+4. The lines of crowded buckets (lines around a common template) are joined
+   exactly: a line's shingles are put in one order for all lines, seldom
+   ones first, and lines with Jaccard similarity s or more share one of the
+   first n - ceil(s n) + 1 of their n. Lines that share such a shingle are
+   a pair unless its place leaves too few shingles behind it. How often
+   shingles occur is counted in ``SLOTS`` classes of their hashes; any
+   order loses nothing, this one keeps the template out of the pairs.
 5. Proposed pairs are verified by the exact Jaccard similarity of their
    whole shingle sets, and the verified links joined to components.
+   Where more than ``CROWD`` lines share a shingle of step 4, their pairs
+   with the smallest and the largest of them come first, and then all
+   pairs of lines that are not in the same component by then.
 6. Of every component the first line in (id, row hash, line number) order
    stays.
 
-Bucket sizes and hubs are counted map-side, so a bucket of any size is some
-rows of a join with a unique other side, never one task's group. Only
+Bucket sizes are counted map-side, so a bucket of any size is some rows of a
+join, never one task's group. Only
 hashes, ids and line numbers are shuffled; texts are read again for lines
 that are part of a proposed pair. A task holds about 130,000 characters
 of lines at a time; longer lines are hashed in parts. Bytes that are not
@@ -37,6 +41,7 @@ UTF-8 count as replacement characters in shingles.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,10 +58,8 @@ from titleflow.llm.components import components
 BROADCAST_ROWS = 1_000_000
 #: Buckets with more members than this are crowded.
 CROWD = 32
-#: Hashes of the longer signature that lines of crowded buckets get.
-FINE = 64
-#: Share of two long signatures that must be common; at similarity 0.8 it is 0.8 with a deviation of 0.05.
-FINE_COMMON = 0.6
+#: Classes of hashes in which the shingles of lines of crowded buckets are counted (a power of two).
+SLOTS = 1 << 18
 #: Pairs that are worth a closer look.
 MET = "shared > 1 or weak = 1"
 #: Characters of a shingle in the registered query and the pipeline.
@@ -279,13 +282,12 @@ def _keys(signed: DataFrame, sketch: int) -> DataFrame:
                          F.explode(band_keys(F.col("signature"))).alias("key"))
 
 
-def _proposals(keys: DataFrame, last: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+def _proposals(keys: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """Out of (key, l1, weak): (a, b, shared, weak) of the pairs that meet in
-    buckets, the (l1) of crowded buckets, and the stored tables behind them.
-    Only in the ``last`` banding do crowded buckets propose their hubs."""
+    buckets, the (l1) of crowded buckets, and the stored tables behind them."""
     buckets = stored(keys.groupBy("key").agg(F.min("l1").alias("lo"), F.max("l1").alias("hi"), F.count(F.lit(1)).alias("n"),
                                              F.max("weak").alias("weak")).where("n > 1"))
-    large = buckets.where("n > 2")
+    large = buckets.where("n > 2").select("key", "n", "weak")
     members = stored(keys.drop("weak").join(_small(large, large.count()), "key"))
     crowd = members.where(f"n > {CROWD}")
     whole = members.where(f"n <= {CROWD}").groupBy("key").agg(
@@ -293,48 +295,132 @@ def _proposals(keys: DataFrame, last: bool) -> tuple[DataFrame, DataFrame, list[
     each = whole.select("s", "weak", F.posexplode("s").alias("i", "a")).select(
         "a", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("b"), "weak")
     met = buckets.where("n = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b"), "weak").unionByName(each)
-    if last:
-        met = met.unionByName(crowd.select("l1", "weak", F.explode(F.array("lo", "hi")).alias("o")).where("l1 <> o").select(
-            F.greatest("l1", "o").alias("a"), F.least("l1", "o").alias("b"), "weak"))
     pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("weak").alias("weak"))
     return pairs, crowd.select("l1").distinct(), [buckets, members]
 
 
-def _fine_pairs(texts: DataFrame, similarity: float, lookahead: int, width: int | None) -> DataFrame:
-    """(a, b) of the lines of crowded buckets that meet by the keys of their
-    ``FINE`` smallest hashes and have enough of these in common."""
-    signed = stored(line_signatures(texts.select("line"), "line", FINE, lookahead, width).select("l1", "signature"))
-    pairs, _, behind = _proposals(_keys(signed, FINE), True)
-    pairs = pairs.where(MET).select("a", "b")
-    for x in ("a", "b"):
-        pairs = pairs.join(signed.select(F.col("l1").alias(x), F.col("signature").alias(f"s{x}")), x)
-    common = F.size(F.array_intersect("sa", "sb"))
-    share = F.lit(FINE_COMMON * similarity / 0.8) * F.greatest(F.size("sa"), F.size("sb"))
-    out = stored(pairs.where(common >= share).select("a", "b"))
-    for t in (signed, *behind):
-        discard(t)
-    return out
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(65 - SLOTS.bit_length())).astype(np.int64)
+
+
+def _often(texts: DataFrame, lookahead: int, width: int | None) -> np.ndarray:
+    """How many shingles of ``texts`` (l1, line) have their hash in each of ``SLOTS`` classes."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for line in batch.column(0):
+                np.add.at(seen, _slot(_all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width)), 1)
+        slot = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])], names=["slot", "n"])
+
+    found = texts.select(F.col("line").cast("binary")).mapInArrow(count, "slot long, n long")
+    found = found.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return often
+
+
+def _seldom(texts: DataFrame, similarity: float, lookahead: int, width: int | None) -> DataFrame:
+    """(l1, size, key, at): of every line's ``size`` shingles, seldom ones
+    first, those of which a similar line must share one, with their places from 1."""
+    often = texts.sparkSession.sparkContext.broadcast(_often(texts, lookahead, width))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, keys, sizes, held = [], [], [], 0
+            for i, (l1, line) in enumerate(zip(batch.column(0), batch.column(1)), 1):
+                hashes = _all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width)
+                # equally frequent ones stay in the order of their hashes
+                order = np.argsort(often.value[_slot(hashes)], kind="stable")
+                keys.append(hashes[order[:hashes.size - math.ceil(similarity * hashes.size - 1e-9) + 1]])
+                own.append(l1.as_py())
+                sizes.append(hashes.size)
+                held += keys[-1].size
+                if held >= BLOCK or i == batch.num_rows:
+                    n = [k.size for k in keys]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.repeat(np.array(own, np.int64), n)), pa.array(np.repeat(np.array(sizes, np.int32), n)),
+                        pa.array(np.concatenate(keys).view(np.int64)),
+                        pa.array(np.concatenate([np.arange(1, x + 1, dtype=np.int32) for x in n]))],
+                        names=["l1", "size", "key", "at"])
+                    own, keys, sizes, held = [], [], [], 0
+
+    return texts.select("l1", F.col("line").cast("binary")).mapInArrow(cut, "l1 long, size int, key long, at int")
+
+
+def _may_be_similar(similarity: float) -> Column:
+    """Whether the lines of x and y (l1, size, at) can be similar if the
+    shingle at ``at`` is the first one that they share."""
+    least = similarity / (1 + similarity) * (F.col("x.size") + F.col("y.size"))
+    return F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at")) + 1 >= least - 1e-9
+
+
+def _crowd_members(texts: DataFrame, similarity: float, lookahead: int, width: int | None) -> DataFrame:
+    """(key, x, n, lo, hi): the lines ``x`` (l1, size, at) that share a seldom
+    shingle with another, how many do, the smallest and the largest of them."""
+    rows = stored(_seldom(texts, similarity, lookahead, width).select("key", F.struct("l1", "size", "at").alias("x")))
+    buckets = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
+                                             F.max("x").alias("hi")).where("n > 1"))
+    members = stored(rows.join(_small(buckets, 3 * buckets.count()), "key"))
+    discard(rows)
+    discard(buckets)
+    return members
+
+
+def _crowd_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of members that share a shingle and may be similar: all pairs
+    of up to ``CROWD`` lines, of more those with the smallest and the largest."""
+    few = members.where(f"n <= {CROWD}").groupBy("key").agg(F.sort_array(F.collect_list("x"), asc=False).alias("s"))
+    each = few.select("s", F.posexplode("s").alias("i", "x")).select(
+        "x", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("y"))
+    hubs = members.where(f"n > {CROWD}").select("x", F.explode(F.array("lo", "hi")).alias("y"))
+    met = each.unionByName(hubs).where("x.l1 <> y.l1").where(_may_be_similar(similarity))
+    return met.select(F.greatest("x.l1", "y.l1").alias("a"), F.least("x.l1", "y.l1").alias("b")).distinct()
+
+
+def _rest_pairs(members: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of all members of crowded buckets that share a shingle, may be
+    similar and are not in the same component of ``roots`` (node, root)."""
+    apart = stored(members.where(f"n > {CROWD}").select("key", "x").join(
+        roots, F.col("x.l1") == F.col("node"), "left").select("key", "x", F.coalesce("root", "x.l1").alias("root")))
+    sizes = apart.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    # pairs inside a bucket's largest component are never made
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("k")).where(
+        "k > 1").select("key", F.col("m.root").alias("main"))
+    split = apart.join(main, "key")
+    pairs = split.where("root <> main").join(
+        split.select("key", F.col("x").alias("y"), F.col("root").alias("other")), "key").where(
+        "root <> other and (other = main or x.l1 > y.l1)").where(_may_be_similar(similarity))
+    pairs = stored(pairs.select(F.greatest("x.l1", "y.l1").alias("a"), F.least("x.l1", "y.l1").alias("b")).distinct())
+    discard(apart)
+    return pairs
 
 
 def _links(docs: DataFrame, text: str, rows: DataFrame, similarity: float, lookahead: int, sketch: int,
            width: int | None) -> DataFrame:
     """Verified (a, b) of distinct lines, a > b."""
     distinct = stored(rows.groupBy("l1").agg(F.first("signature").alias("signature")).where("size(signature) > 1"))
-    pairs, crowd, behind = _proposals(_keys(distinct, sketch), False)
+    pairs, crowd, behind = _proposals(_keys(distinct, sketch))
     pairs, crowd = stored(pairs.where(MET).select("a", "b")), stored(crowd)
     for t in (distinct, *behind):
         discard(t)
-    found = pairs
+    found, crowded = pairs, None
     if not crowd.isEmpty():
-        texts = _texts(docs, text, crowd)
-        fine = _fine_pairs(texts, similarity, lookahead, width)
-        discard(texts)
-        found = found.unionByName(fine)
+        crowded = _texts(docs, text, crowd)
+        members = _crowd_members(crowded, similarity, lookahead, width)
+        found = found.unionByName(_crowd_pairs(members, similarity))
     found = stored(found.distinct())
     texts = _texts(docs, text, found.select(F.explode(F.array("a", "b")).alias("l1")).distinct())
     links = _similar(found, texts, similarity, lookahead, width)
     for t in (pairs, crowd, found, texts):
         discard(t)
+    if crowded is not None:
+        if not members.where(f"n > {CROWD}").isEmpty():
+            rest = _rest_pairs(members, components(links), similarity)
+            links = stored(links.unionByName(_similar(rest, crowded, similarity, lookahead, width)))
+            discard(rest)
+        discard(members)
+        discard(crowded)
     return links
 
 
