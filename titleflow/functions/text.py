@@ -9,6 +9,9 @@ oracle run the identical rules.
 
 from __future__ import annotations
 
+from functools import partial, reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,16 +42,13 @@ def basic_english_rules() -> list[tuple[str, str]]:
     return list(BASIC_ENGLISH_RULES)
 
 
-# The twelve rules above fused into five passes. Rules 3 and 5-9 all put
-# spaces around one character, and rules 4, 10 and 11 all turn a match into
-# one space; none of these can create or break a match of another group, so
-# fusing keeps the result of the sequential application (checked against
-# the sequential Python version on whole documents in the tests). Rule 12
-# is subsumed by splitting on runs of whitespace.
-_APOSTROPHE = (r"'", " '  ")
-_QUOTE = (r'"', "")
-_SPACED = r"([.,()!?])"
-_BLANKED = r"<br />|[;:]"
+# The twelve rules above fused into two replacements of fixed strings and one
+# pass that reads the tokens off. Rules 1, 3 and 5-9 make one character a
+# token of its own, rules 10-12 only separate; quotes and line breaks go
+# first, as none of the other rules can create or break one (checked against
+# the sequential Python version on whole documents in the tests).
+_SINGLE = "'.,()!?"
+_BASIC_TOKEN = rf"[{_SINGLE}]|[^{_SINGLE};:{WHITESPACE_CLASS[1:-1]}]+"
 
 
 def tokenize_basic(title: Column | str) -> Column:
@@ -59,12 +59,8 @@ def tokenize_basic(title: Column | str) -> Column:
     """
     t = F.col(title) if isinstance(title, str) else title
     t = F.lower(t)
-    t = F.regexp_replace(t, *_APOSTROPHE)
-    t = F.regexp_replace(t, *_QUOTE)
-    t = F.regexp_replace(t, _SPACED, " $1 ")
-    t = F.regexp_replace(t, _BLANKED, " ")
-    parts = F.split(t, WHITESPACE_CLASS + "+")
-    return F.filter(parts, lambda x: x != F.lit(""))
+    t = F.replace(F.replace(t, F.lit('"'), F.lit("")), F.lit("<br />"), F.lit(" "))
+    return F.regexp_extract_all(t, F.lit(_BASIC_TOKEN), 0)
 
 
 # Word tokeniser used by ``clean`` (re-aimed Treebank-style splitting):
@@ -134,11 +130,36 @@ def treebank_rules() -> list[tuple[str, str]]:
     return rules
 
 
+def _needs() -> dict[str, list[str]]:
+    """Per pattern of :func:`treebank_rules` the strings of which a match must
+    hold one: searching those is cheap, and few texts have any."""
+    needs = {rf"[{_DOT}{_END}]": [_DOT, _END], r'"': ['"'], r"(\.\.\.+)": ["..."], r"(--+)": ["--"],
+             r"(\p{L})(n't|N'T)([^\p{L}\p{N}])": ["n't", "N'T"], _CLITICS: ["'"]}
+    for pattern, replacement in treebank_rules():
+        if replacement == "$1 `` ":
+            needs[pattern] = ['"']
+        elif replacement == "$1 ' $2":
+            needs[pattern] = ["'"]
+        for a, b in FUSED_WORDS:
+            if f"]{a[1:]})({b})" in pattern:
+                needs[pattern] = [a[1:] + b]
+    return needs
+
+
 def _treebank_marked(text: Column | str) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     t = F.concat(F.lit(" "), t, F.lit(" "))
+    needs = _needs()
+
+    def rule(x: Column, pattern: str, replacement: str) -> Column:
+        done = F.regexp_replace(x, pattern, replacement)
+        held = [F.contains(x, F.lit(n)) for n in needs.get(pattern, [])]
+        return F.when(reduce(or_, held), done).otherwise(x) if held else done
+
     for pattern, replacement in treebank_rules():
-        t = F.regexp_replace(t, pattern, replacement)
+        # bound as a lambda variable, the text so far is computed once
+        once = partial(rule, pattern=pattern, replacement=replacement)
+        t = F.get(F.transform(F.array(t), lambda x: once(x)), F.lit(0)) if pattern in needs else once(t)
     return F.replace(t, F.lit(_DOT), F.lit("."))
 
 
