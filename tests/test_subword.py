@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from titleflow.operators import joins as J
 from titleflow.operators import subword as W
@@ -99,3 +100,25 @@ def test_naive_bayes_keeps_every_token(spark):
     assert len(model.pipeline.stages[0].vocabulary) == 301
     with pytest.raises(ValueError, match="301 distinct tokens"):
         MD.fit_naive_bayes(df, vocab_size=300)
+
+
+def test_texts_are_tokenised_once(spark, monkeypatch):
+    """The passes over the words (distinct ones, hot keys, join) read them from one written table."""
+    from titleflow.operators import joins as J
+    from titleflow.operators import subword as W
+    from titleflow.operators import text as X
+    monkeypatch.setattr(X, "LOOKUP_ROWS", 1)
+    monkeypatch.setattr(W.lookup_join, "__kwdefaults__", {**J.lookup_join.__kwdefaults__, "max_broadcast_rows": 1})
+    seen = spark.sparkContext.accumulator(0)
+
+    def cut(t):
+        seen.add(1)
+        return t.split(" ")
+
+    rows = [(i, "ab abc cab b") for i in range(40)]
+    df = spark.createDataFrame(rows, "Id long, t string").select("Id", F.udf(cut, "array<string>").asNondeterministic()("t").alias("tokens"))
+    vocab = spark.createDataFrame([("ab", 4), ("c", 5), ("##c", 6), ("##ab", 7), ("b", 8)], "token string, id int")
+    for encode in (W.encode_pieces, X.encode):
+        seen.value = 0
+        got = encode(df, "tokens", vocab, max_len=8).collect()
+        assert len(got) == 40 and seen.value == 40

@@ -72,7 +72,9 @@ def encode_pieces(df: DataFrame, tokens: str, vocab: DataFrame, *, key: str = "I
     room = max_len - n_spec
     trunc = df.select(key, F.slice(F.filter(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
                                             lambda w: w.isNotNull() & (w != "")), 1, room).alias("__tf_words"))
-    ex = _explode_tokens(_with_row(trunc), key, F.col("__tf_words"))
+    # written once: the distinct words, the hot keys and the join read at most ``room`` words a
+    # title instead of tokenising the texts again
+    ex = _explode_tokens(_with_row(cut_lineage(trunc)), key, F.col("__tf_words"))
     table = word_pieces(ex.select(F.col(_TOK).alias("word")), vocab, unk_id=unk_id, mark=mark, max_chars=max_chars)
     table = cut_lineage(table.select(F.col("word").alias(_TOK), F.col("ids").alias("__tf_ids")))
     joined = lookup_join(ex, table, _TOK, how="left", salt_by=[key, _POS])

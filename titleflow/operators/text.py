@@ -27,6 +27,7 @@ from titleflow.functions.text import tokenize_words
 from titleflow.operators.joins import lookup_join
 from titleflow.operators.wordlists import (ENGLISH_STOP_WORDS, NOUN_SUFFIX_RULES,
                                            PUNCTUATION)
+from titleflow.session import cut_lineage
 
 _POS = "__tf_pos"
 _TOK = "__tf_tok"
@@ -309,8 +310,6 @@ def build_vocab(df: DataFrame, tokens: str, size: int | None = None, *, n_specia
 def _numbered(counts: DataFrame, first: int) -> DataFrame:
     """``(token, id, count)`` in (count descending, token) order from ``first``."""
     from pyspark.sql import Window
-
-    from titleflow.session import cut_lineage
     order = [F.desc("count"), F.asc("token")]
     dealt = counts.repartitionByRange(*order).sortWithinPartitions(*order)
     # the high bits of this id are the partition, the low 33 bits the place
@@ -348,7 +347,9 @@ def encode(df: DataFrame, tokens: str, vocab: DataFrame, *, key: str = "Id",
         reg = trunc.select(key, found.alias("__tf_ids")).withColumn(
             "__tf_ids", F.transform("__tf_ids", lambda i: F.coalesce(i, F.lit(unk_id))))
     else:
-        ex = _explode_tokens(_with_row(trunc), key, F.col(_TOK + "s"))
+        # written once: the hot keys' passes and the join read at most ``max_len`` tokens a
+        # title instead of tokenising the texts again
+        ex = _explode_tokens(_with_row(cut_lineage(trunc)), key, F.col(_TOK + "s"))
         joined = lookup_join(ex, v, _TOK, how="left", known_rows=vocab_rows, salt_by=[key, _POS])
         reg = _regroup(joined, key, F.coalesce(F.col("__tf_id"), F.lit(unk_id)), "__tf_ids")
     body = F.col("__tf_ids")
