@@ -98,6 +98,33 @@ def test_crowded_buckets_lose_no_link(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_few_pairs_are_compared_that_are_not_similar(spark, monkeypatch):
+    """Of the pairs that share seldom shingles the marks leave the similar ones and few more."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    parts = [[word() for _ in range(8)] for _ in range(24)]
+    rows = [(doc, " ".join(w for p in sorted(r.sample(range(24), r.randint(16, 20))) for w in parts[p])) for doc in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [brute_shingles(t) for _, t in rows]
+    similar = sum(len(s & t) >= 0.8 * len(s | t) for i, s in enumerate(sets) for t in sets[:i])
+    compared, exact = [], L._similar
+    monkeypatch.setattr(L, "CROWD", 2)
+    monkeypatch.setattr(L, "_similar", lambda pairs, *more: (compared.append(pairs.count()), exact(pairs, *more))[1])
+    L.line_components(docs).count()
+    assert sum(compared) <= 3 * similar + 20, (compared, similar)
+
+
+def test_marks_leave_every_similar_pair(spark):
+    lines = sorted({line for _, t in made_rows(6) for line in t.split("\n") if line.strip()} | {"b", "a b", "x " * 40})
+    texts = spark.createDataFrame(list(enumerate(lines)), "l1 long, line string")
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i)]
+    sets = [brute_shingles(x) for x in lines]
+    similar = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    left = L._sifted(spark.createDataFrame(pairs, "a long, b long"), L._marks(texts, 4, None), 0.8)
+    left = {(p.a, p.b) for p in left.collect()}
+    assert similar and similar <= left and len(left) < 0.5 * len(pairs)
+
+
 def test_documents_lose_repeated_lines_only(spark):
     a, b = "one line of some ten words that stands here twice", "another line altogether with its own words in it"
     rows = [(2, f"{a}\n\n{b}", 0, "x"), (1, f"  \n{a}", 0, "x"), (3, a, 0, None), (4, None, 0, "x"), (5, "", 0, "x"),

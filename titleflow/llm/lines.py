@@ -21,9 +21,13 @@ numpy in Arrow batches, everything else DataFrame functions.
    ones first, and lines with Jaccard similarity s or more share one of the
    first n - ceil(s n) + 1 of their n. Lines that share such a shingle are
    a pair unless its place leaves too few shingles behind it. How often
-   shingles occur is counted in ``SLOTS`` classes of their hashes; any
+   shingles occur is counted in up to 2^24 classes of their hashes; any
    order loses nothing, this one keeps the template out of the pairs.
-5. Proposed pairs are verified by the exact Jaccard similarity of their
+   Shingles that are alone in their class are in one line only.
+5. Of the proposed pairs those stay whose marks (the parity of the number
+   of shingles in 512 classes) differ in no more places than the lines may
+   have shingles of their own; a similar pair never differs in more. The
+   rest is verified by the exact Jaccard similarity of their
    whole shingle sets, and the verified links joined to components.
    Where more than ``CROWD`` lines share a shingle of step 4, their pairs
    with the smallest and the largest of them come first, and then all
@@ -43,6 +47,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +64,11 @@ from titleflow.llm.components import components
 BROADCAST_ROWS = 1_000_000
 #: Buckets with more members than this are crowded.
 CROWD = 32
-#: Classes of hashes in which the shingles of lines of crowded buckets are counted (a power of two).
-SLOTS = 1 << 18
+#: Least and largest number of classes of hashes in which the shingles of lines of crowded buckets are
+#: counted (powers of two); one byte each.
+SLOTS = (1 << 16, 1 << 24)
+#: Numbers of a line's mark, 64 bits each.
+MARKS = 8
 #: Pairs that are worth a closer look.
 MET = "shared > 1 or weak = 1"
 #: Characters of a shingle in the registered query and the pipeline.
@@ -299,40 +308,93 @@ def _proposals(keys: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     return pairs, crowd.select("l1").distinct(), [buckets, members]
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(65 - SLOTS.bit_length())).astype(np.int64)
+def _marks(texts: DataFrame, lookahead: int, width: int | None) -> DataFrame:
+    """(l1, size, m0, m1...): the number of a line's shingles and, for 64 ``MARKS``
+    classes of hashes, whether it holds an odd number of them."""
+    names = [f"m{i}" for i in range(MARKS)]
+    bits = 64 * MARKS
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks, sizes = np.zeros((batch.num_rows, MARKS), np.int64), np.zeros(batch.num_rows, np.int32)
+            for i, line in enumerate(batch.column(1)):
+                hashes = _all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width)
+                odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+                marks[i], sizes[i] = np.packbits(odd.astype(np.uint8)).view(np.int64), hashes.size
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), *map(pa.array, marks.T.copy())],
+                                             names=["l1", "size", *names])
+
+    return texts.select("l1", F.col("line").cast("binary")).mapInArrow(
+        mark, "l1 long, size int, " + ", ".join(f"{m} long" for m in names))
+
+
+def _may_match(similarity: float, x: str = "x", y: str = "y") -> Column:
+    """Whether lines with the marks ``x`` and ``y`` can be similar: every class
+    that only one has odd holds a shingle that the other lacks."""
+    differ = reduce(add, [F.bit_count(F.col(f"{x}.m{i}").bitwiseXOR(F.col(f"{y}.m{i}"))) for i in range(MARKS)])
+    apart = F.greatest(differ, F.abs(F.col(f"{x}.size") - F.col(f"{y}.size")))
+    return apart <= (1 - similarity) / (1 + similarity) * (F.col(f"{x}.size") + F.col(f"{y}.size")) + 1e-6
+
+
+def _sifted(pairs: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:
+    """Those (a, b) of ``pairs`` whose marks allow the similarity."""
+    rows = pairs
+    for name, end in (("x", "a"), ("y", "b")):
+        rows = rows.join(marks.select(F.col("l1").alias(end), F.struct("size", *[f"m{i}" for i in range(MARKS)]).alias(name)), end)
+    return stored(rows.where(_may_match(similarity)).select("a", "b"))
+
+
+def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
+    return (hashes >> np.uint64(65 - slots.bit_length())).astype(np.int64)
 
 
 def _often(texts: DataFrame, lookahead: int, width: int | None) -> np.ndarray:
-    """How many shingles of ``texts`` (l1, line) have their hash in each of ``SLOTS`` classes."""
+    """How many shingles of ``texts`` (l1, line) have their hash in each class, up to 255;
+    some 128 classes a line, within the bounds of ``SLOTS``."""
+    slots = min(max(SLOTS[0], 1 << (128 * texts.count()).bit_length()), SLOTS[1])
+    part = min(slots, 1 << 16)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(SLOTS, np.int64)
+        seen = np.zeros(slots, np.int32)
         for batch in batches:
             for line in batch.column(0):
-                np.add.at(seen, _slot(_all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width)), 1)
-        slot = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])], names=["slot", "n"])
+                np.add.at(seen, _slot(_all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width), slots), 1)
+        seen = np.minimum(seen, 255).astype(np.uint8).reshape(-1, part)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen), dtype=np.int32)), pa.array(
+            [x.tobytes() for x in seen], pa.binary())], names=["part", "seen"])
+
+    def total(rows: pa.Table) -> pa.Table:
+        seen = np.zeros(part, np.int32)
+        for x in rows.column("seen"):
+            seen += np.frombuffer(x.as_py(), np.uint8)
+        return pa.table({"part": rows.column("part").slice(0, 1), "seen": pa.array(
+            [np.minimum(seen, 255).astype(np.uint8).tobytes()], pa.binary())})
 
-    found = texts.select(F.col("line").cast("binary")).mapInArrow(count, "slot long, n long")
-    found = found.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    often = np.zeros(SLOTS, np.int64)
-    often[found["slot"].to_numpy()] = found["n"].to_numpy()
-    return often
+    # a task hands over a byte a class, so there are no more tasks than cores
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    found = texts.select(F.col("line").cast("binary")).coalesce(cores).mapInArrow(count, "part int, seen binary")
+    found = found.groupBy("part").applyInArrow(total, "part int, seen binary").toArrow().sort_by("part")
+    return np.frombuffer(b"".join(x.as_py() for x in found["seen"]), np.uint8)
 
 
 def _seldom(texts: DataFrame, similarity: float, lookahead: int, width: int | None) -> DataFrame:
     """(l1, size, key, at): of every line's ``size`` shingles, seldom ones
-    first, those of which a similar line must share one, with their places from 1."""
+    first, those of which a similar line must share one, with their places
+    from 1. Shingles that are alone in their class are in no other line and
+    have no row."""
     often = texts.sparkSession.sparkContext.broadcast(_often(texts, lookahead, width))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, keys, sizes, held = [], [], [], 0
+            own, keys, places, sizes, held = [], [], [], [], 0
             for i, (l1, line) in enumerate(zip(batch.column(0), batch.column(1)), 1):
                 hashes = _all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width)
                 # equally frequent ones stay in the order of their hashes
-                order = np.argsort(often.value[_slot(hashes)], kind="stable")
-                keys.append(hashes[order[:hashes.size - math.ceil(similarity * hashes.size - 1e-9) + 1]])
+                seen = often.value[_slot(hashes, often.value.size)]
+                order = np.argsort(seen, kind="stable")[:hashes.size - math.ceil(similarity * hashes.size - 1e-9) + 1]
+                alone = int(np.count_nonzero(seen[order] == 1))
+                keys.append(hashes[order[alone:]])
+                places.append(np.arange(alone + 1, order.size + 1, dtype=np.int32))
                 own.append(l1.as_py())
                 sizes.append(hashes.size)
                 held += keys[-1].size
@@ -340,10 +402,9 @@ def _seldom(texts: DataFrame, similarity: float, lookahead: int, width: int | No
                     n = [k.size for k in keys]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.repeat(np.array(own, np.int64), n)), pa.array(np.repeat(np.array(sizes, np.int32), n)),
-                        pa.array(np.concatenate(keys).view(np.int64)),
-                        pa.array(np.concatenate([np.arange(1, x + 1, dtype=np.int32) for x in n]))],
+                        pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(places))],
                         names=["l1", "size", "key", "at"])
-                    own, keys, sizes, held = [], [], [], 0
+                    own, keys, places, sizes, held = [], [], [], [], 0
 
     return texts.select("l1", F.col("line").cast("binary")).mapInArrow(cut, "l1 long, size int, key long, at int")
 
@@ -356,12 +417,10 @@ def _may_be_similar(similarity: float) -> Column:
 
 
 def _crowd_members(texts: DataFrame, similarity: float, lookahead: int, width: int | None) -> DataFrame:
-    """(key, x, n, lo, hi): the lines ``x`` (l1, size, at) that share a seldom
-    shingle with another, how many do, the smallest and the largest of them."""
-    rows = stored(_seldom(texts, similarity, lookahead, width).select("key", F.struct("l1", "size", "at").alias("x")))
-    buckets = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
-                                             F.max("x").alias("hi")).where("n > 1"))
-    members = stored(rows.join(_small(buckets, 3 * buckets.count()), "key"))
+    """(key, l1, size, at, n): the lines that share a seldom shingle with another and how many do."""
+    rows = stored(_seldom(texts, similarity, lookahead, width).select("key", "l1", "size", "at"))
+    buckets = stored(rows.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("n")).where("n > 1"))
+    members = stored(rows.join(_small(buckets, buckets.count()), "key"))
     discard(rows)
     discard(buckets)
     return members
@@ -370,19 +429,26 @@ def _crowd_members(texts: DataFrame, similarity: float, lookahead: int, width: i
 def _crowd_pairs(members: DataFrame, similarity: float) -> DataFrame:
     """(a, b) of members that share a shingle and may be similar: all pairs
     of up to ``CROWD`` lines, of more those with the smallest and the largest."""
-    few = members.where(f"n <= {CROWD}").groupBy("key").agg(F.sort_array(F.collect_list("x"), asc=False).alias("s"))
+    rows = members.select("key", "n", F.struct("l1", "size", "at").alias("x"))
+    few = rows.where(f"n <= {CROWD}").groupBy("key").agg(F.sort_array(F.collect_list("x"), asc=False).alias("s"))
     each = few.select("s", F.posexplode("s").alias("i", "x")).select(
         "x", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("y"))
-    hubs = members.where(f"n > {CROWD}").select("x", F.explode(F.array("lo", "hi")).alias("y"))
+    many = rows.where(f"n > {CROWD}")
+    ends = many.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    hubs = many.join(ends, "key").select("x", F.explode(F.array("lo", "hi")).alias("y"))
     met = each.unionByName(hubs).where("x.l1 <> y.l1").where(_may_be_similar(similarity))
     return met.select(F.greatest("x.l1", "y.l1").alias("a"), F.least("x.l1", "y.l1").alias("b")).distinct()
 
 
-def _rest_pairs(members: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def _rest_pairs(members: DataFrame, marks: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """(a, b) of all members of crowded buckets that share a shingle, may be
-    similar and are not in the same component of ``roots`` (node, root)."""
-    apart = stored(members.where(f"n > {CROWD}").select("key", "x").join(
-        roots, F.col("x.l1") == F.col("node"), "left").select("key", "x", F.coalesce("root", "x.l1").alias("root")))
+    similar by its places and their ``marks`` and are not in the same
+    component of ``roots`` (node, root)."""
+    bits = [f"m{i}" for i in range(MARKS)]
+    crowd = members.where(f"n > {CROWD}").select("key", "l1", "at").join(marks, "l1").select(
+        "key", F.struct("l1", "size", "at", *bits).alias("x"))
+    apart = stored(crowd.join(roots, F.col("x.l1") == F.col("node"), "left").select(
+        "key", "x", F.coalesce("root", "x.l1").alias("root")))
     sizes = apart.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     # pairs inside a bucket's largest component are never made
     main = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("k")).where(
@@ -390,7 +456,7 @@ def _rest_pairs(members: DataFrame, roots: DataFrame, similarity: float) -> Data
     split = apart.join(main, "key")
     pairs = split.where("root <> main").join(
         split.select("key", F.col("x").alias("y"), F.col("root").alias("other")), "key").where(
-        "root <> other and (other = main or x.l1 > y.l1)").where(_may_be_similar(similarity))
+        "root <> other and (other = main or x.l1 > y.l1)").where(_may_be_similar(similarity)).where(_may_match(similarity))
     pairs = stored(pairs.select(F.greatest("x.l1", "y.l1").alias("a"), F.least("x.l1", "y.l1").alias("b")).distinct())
     discard(apart)
     return pairs
@@ -411,14 +477,18 @@ def _links(docs: DataFrame, text: str, rows: DataFrame, similarity: float, looka
         found = found.unionByName(_crowd_pairs(members, similarity))
     found = stored(found.distinct())
     texts = _texts(docs, text, found.select(F.explode(F.array("a", "b")).alias("l1")).distinct())
-    links = _similar(found, texts, similarity, lookahead, width)
-    for t in (pairs, crowd, found, texts):
+    marks = stored(_marks(texts, lookahead, width))
+    sifted = _sifted(found, marks, similarity)
+    links = _similar(sifted, texts, similarity, lookahead, width)
+    for t in (pairs, crowd, found, texts, marks, sifted):
         discard(t)
     if crowded is not None:
         if not members.where(f"n > {CROWD}").isEmpty():
-            rest = _rest_pairs(members, components(links), similarity)
+            marks = stored(_marks(crowded, lookahead, width))
+            rest = _rest_pairs(members, marks, components(links), similarity)
             links = stored(links.unionByName(_similar(rest, crowded, similarity, lookahead, width)))
             discard(rest)
+            discard(marks)
         discard(members)
         discard(crowded)
     return links
