@@ -79,3 +79,28 @@ def test_multiply_and_ensemble(spark):
     assert ensemble(a, b, on="Id", mode="probability").first().pred == 1
     with pytest.raises(ValueError):
         ensemble(a, b, mode="other")
+
+
+def test_first_basic_tokens_are_those_of_the_whole_text(spark):
+    texts = [t for _, t in TITLES] + [None, " ", " ; :\n", 'say "a"b ... c<br />d; "e', "x" * 5000 + " y z", "\x85a b:c\n'd'",
+                                      "\n;  A (b)\n" * 400]
+    df = spark.createDataFrame([(t,) for t in texts], "Title string")
+    for n in (0, 1, 3, 15):
+        got = df.select(tokenize_basic("Title").alias("all"), tokenize_basic("Title", first=n).alias("first")).collect()
+        assert [r["first"] for r in got] == [None if r["all"] is None else r["all"][:n] for r in got]
+
+
+def test_title_vectors_read_off_first_tokens_only(spark, monkeypatch):
+    """The title vectors hold 15 tokens: no pass of theirs reads off a whole text's."""
+    from titleflow.functions import text
+    from titleflow.plans import model_queries as Q
+    asked, whole = [], text.tokenize_basic
+    monkeypatch.setattr(text, "tokenize_basic", lambda t, first=None: (asked.append(first), whole(t, first))[1])
+    docs = spark.createDataFrame([(i, "one two; three " * (i + 1)) for i in range(20)], "Id long, Title string")
+    vectors = spark.createDataFrame([(i, [float(i)] * 64) for i in range(3)], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(Q, "read_table", lambda *a: vectors)
+    got = {r.Id: r.vec for r in Q._document_vectors(spark, "", docs, docs).collect()}
+    # one, three and two by frequency and name; 3 (i + 1) tokens of a title, 15 at most
+    want = {i: min(5, i + 1) * 3 / 15 for i in range(20)}
+    assert {i: round(v[0], 9) for i, v in got.items()} == {i: round(x, 9) for i, x in want.items()}
+    assert asked == [None, 15]  # the vocabulary counts all tokens, the titles need 15

@@ -49,17 +49,21 @@ def basic_english_rules() -> list[tuple[str, str]]:
 # the sequential Python version on whole documents in the tests).
 _SINGLE = "'.,()!?"
 _BASIC_TOKEN = rf"[{_SINGLE}]|[^{_SINGLE};:{WHITESPACE_CLASS[1:-1]}]+"
+_BASIC_BLANK = rf"[;:{WHITESPACE_CLASS[1:-1]}]*"
 
 
-def tokenize_basic(title: Column | str) -> Column:
+def tokenize_basic(title: Column | str, first: int | None = None) -> Column:
     """Lower-case and split a title with the basic_english rules.
 
     Returns ``array<string>``; an empty or all-punctuation-free blank title
-    gives an empty array; NULL stays NULL.
+    gives an empty array; NULL stays NULL. With ``first`` only that many
+    tokens are read off, from the start of the text that holds them.
     """
     t = F.col(title) if isinstance(title, str) else title
     t = F.lower(t)
     t = F.replace(F.replace(t, F.lit('"'), F.lit("")), F.lit("<br />"), F.lit(" "))
+    if first is not None:
+        t = F.regexp_extract(t, rf"^(?:{_BASIC_BLANK}(?:{_BASIC_TOKEN})){{0,{int(first)}}}", 0)
     return F.regexp_extract_all(t, F.lit(_BASIC_TOKEN), 0)
 
 

@@ -168,7 +168,7 @@ def _document_vectors(spark, sf, docs, corpus):
     vocab = X.build_vocab(corpus_toks, "tokens", n_specials=0).select(
         "token", F.col("id").cast("long").alias("rank"))
     vectors = X.token_vectors_from_vocab(vocab, read_table(spark, sf, "embeddings"))
-    toks = docs.select("Id", tokenize_basic("Title").alias("tokens"))
+    toks = docs.select("Id", tokenize_basic("Title", first=15).alias("tokens"))
     emb = X.embed_tokens(toks, "tokens", vectors, 64, key="Id", length=15)
     return emb.select("Id", X.matrix_features("embedded", 64, "mean").alias("vec"))
 
