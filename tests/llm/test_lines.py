@@ -179,3 +179,29 @@ def test_character_shingles_at_every_position(spark):
         [(x,) for x in character_shingles(t, 5)], "x string").selectExpr("xxhash64(x) h").collect()
     for r in rows.select("line", L.shingles(F.col("line"), width=5).alias("s")).collect():
         assert len(r.s) == len(set(r.s)) and set(r.s) == {x.h for x in hashed(r.line)}, r.line
+
+
+def test_no_python_on_executors(spark, monkeypatch):
+    plans, stored = [], L.stored
+    monkeypatch.setattr(L, "CROWD", 2)
+    monkeypatch.setattr(L, "stored", lambda df: (plans.append(df._jdf.queryExecution().toString()), stored(df))[1])
+    docs = spark.createDataFrame(made_rows(8)[:20], "doc_id long, text string")
+    L.line_components(docs, width=L.WIDTH).count()
+    assert len(plans) > 10 and not [p for p in plans if "InArrow" in p or "Python" in p]
+
+
+def test_two_frequent_shingles_make_no_pair(spark):
+    """Lines that share two neighbouring hashes only are in no bucket; three, or two of a short line, are."""
+    rows = [(i, [1, 2] + [100 * i + j for j in range(1, 17)]) for i in range(1, 41)]
+    rows += [(101, [5, 6, 7, 8, 9]), (102, [5, 6, 8, 9]), (103, [-3, -2, -1, *range(7000, 7015)]), (104, [-3, -2, -1, *range(8000, 8015)])]
+    signed = spark.createDataFrame(rows, "l1 long, signature array<int>")
+    pairs, crowd, _ = L._proposals(L._keys(signed))
+    assert {tuple(p) for p in pairs.collect()} == {(102, 101), (104, 103)} and crowd.isEmpty()
+
+
+def test_lines_that_are_not_utf8_stay_apart(spark):
+    """Lines are compared byte by byte, also where their bytes are no characters."""
+    docs = spark.sql("select * from values (1L, cast(X'61FF62' as string)), (2L, cast(X'61FE62' as string)), "
+                     "(3L, cast(X'61FF620A63' as string)) as t(doc_id, text)")
+    got = {(x.doc, x.pos): x["first"].doc for x in L.line_components(docs, width=L.WIDTH).collect()}
+    assert got == {(1, 0): 1, (2, 0): 2, (3, 0): 1, (3, 1): 3}

@@ -1,5 +1,5 @@
-"""Fuzzy line deduplication: MinHash signatures and the exact comparison by
-numpy in Arrow batches, everything else DataFrame functions.
+"""Fuzzy line deduplication with DataFrame functions only: MinHash
+signatures, banding, the exact comparison and components.
 
 1. One pass cuts every text into lines. A line's shingles are its runs of
    ``width`` characters, one from every character on (a shorter line is its
@@ -7,55 +7,52 @@ numpy in Arrow batches, everything else DataFrame functions.
    next word and the first ``lookahead`` characters of the one after. Their
    64-bit hashes, sorted, are the line's MinHash order; the ``sketch``
    smallest ones (32 bits of each are kept) are its signature.
-2. Banding: every two neighbouring hashes of the signature make a band key.
-   Of two lines with Jaccard similarity s, each hash of their union is
-   common with probability s, so at s = 0.8 and twelve hashes two of the
-   eleven keys or more are shared in 99.5 % of the cases; more above.
+2. Banding: every three neighbouring hashes of the signature make a band
+   key. Of two lines with Jaccard similarity s, each hash of their union is
+   common with probability s, so at s = 0.8 and eighteen hashes one of the
+   sixteen keys or more is shared in 99.9 % of the cases; more above.
+   Lines of up to five shingles, where one shingle may part all threes,
+   have the keys of two neighbours as well. Two frequent shingles meet in
+   lines that have nothing else in common, three hardly ever do.
    Equal lines are put together before, so that a line copied a million
    times is one member of its buckets.
-3. Buckets of up to ``CROWD`` members propose each of their pairs. A pair
-   that shares a single key is dropped unless one of its lines has a short
-   signature.
-4. The lines of crowded buckets (lines around a common template) are joined
-   exactly: a line's shingles are put in one order for all lines, seldom
-   ones first, and lines with Jaccard similarity s or more share one of the
-   first n - ceil(s n) + 1 of their n. Lines that share such a shingle are
-   a pair unless its place leaves too few shingles behind it. How often
-   shingles occur is counted in up to 2^24 classes of their hashes; any
-   order loses nothing, this one keeps the template out of the pairs.
-   Shingles that are alone in their class are in one line only.
+3. Buckets of up to ``CROWD`` members propose each of their pairs, crowded
+   ones (copies with small changes, lines around a common template) at
+   first the pairs with their smallest and their largest member.
+4. The lines of crowded buckets that are not one component by then are
+   joined exactly: a line's shingles are put in one order for all lines,
+   seldom ones first, and lines with Jaccard similarity s or more share one
+   of the first n - ceil(s n) + 1 of their n. Lines of different components
+   that share such a shingle are a pair unless its place leaves too few
+   shingles behind it. Any order loses nothing, this one keeps the template
+   out of the pairs. Shingles of one line only have no row.
 5. Of the proposed pairs those stay whose marks (the parity of the number
    of shingles in 512 classes) differ in no more places than the lines may
    have shingles of their own; a similar pair never differs in more. The
    rest is verified by the exact Jaccard similarity of their
    whole shingle sets, and the verified links joined to components.
    Where more than ``CROWD`` lines share a shingle of step 4, their pairs
-   with the smallest and the largest of them come first, and then all
-   pairs of lines that are not in the same component by then.
+   with the smallest, the largest and the plainest of them (fewest seldom
+   shingles) come first, and then all pairs of lines that are not in the
+   same component by then.
 6. Of every component the first line in (id, row hash, line number) order
    stays.
 
 Bucket sizes are counted map-side, so a bucket of any size is some rows of a
 join, never one task's group. Only
 hashes, ids and line numbers are shuffled; texts are read again for lines
-that are part of a proposed pair. A task holds about 130,000 characters
-of lines at a time; longer lines are hashed in parts. Bytes that are not
+that are part of a proposed pair. Signatures of lines longer than ``BLOCK``
+characters are made in parts. Bytes that are not
 UTF-8 count as replacement characters in shingles.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
 from functools import reduce
 from operator import add
 
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from titleflow.llm.common import discard, let, row_key, stored
 from titleflow.llm.components import components
@@ -64,18 +61,13 @@ from titleflow.llm.components import components
 BROADCAST_ROWS = 1_000_000
 #: Buckets with more members than this are crowded.
 CROWD = 32
-#: Least and largest number of classes of hashes in which the shingles of lines of crowded buckets are
-#: counted (powers of two); one byte each.
-SLOTS = (1 << 16, 1 << 24)
 #: Numbers of a line's mark, 64 bits each.
 MARKS = 8
-#: Pairs that are worth a closer look.
-MET = "shared > 1 or weak = 1"
 #: Characters of a shingle in the registered query and the pipeline.
 WIDTH = 9
-#: Characters that a task hashes at a time.
+#: Shingles whose hashes a signature's row holds at a time.
 BLOCK = 1 << 17
-_BASE, _MIX1, _MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+_ALL = 2 ** 63 - 1
 
 
 def _has_word(line: Column) -> Column:
@@ -99,111 +91,80 @@ def shingles(line: Column, lookahead: int = 4, width: int | None = None) -> Colu
     return let(F.split(line, " "), of)
 
 
-def band_keys(signature: Column) -> Column:
-    """Keys of neighbouring hashes of a signature; one hash: no key, as only
-    equal lines can be similar to such a line."""
-    return let(signature, lambda s: F.transform(
-        F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(s, i + 1))))
-
-
-def _windows(code: np.ndarray, width: int) -> np.ndarray:
-    """64-bit hashes of all runs of ``width`` code points, put together from runs of powers of two."""
-    if code.size < width:
-        return np.zeros(0, np.uint64)
-    run, length, power = code.astype(np.uint64), 1, _BASE
-    out, done = None, 0
-    while True:
-        if width & length:
-            out = run if out is None else out[:run.size - done] * np.uint64(power) + run[done:]
-            done += length
-        if done == width:
-            break
-        run = run[:-length] * np.uint64(power) + run[length:]
-        power = power * power % 2 ** 64
-        length *= 2
-    out = (out ^ (out >> np.uint64(32))) * np.uint64(_MIX1)
-    out = (out ^ (out >> np.uint64(29))) * np.uint64(_MIX2)
-    return out ^ (out >> np.uint64(32))
-
-
-def _code(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-
-
-def _smallest(line: str, width: int, sketch: int) -> np.ndarray:
-    """The ``sketch`` smallest distinct hashes of one line, in parts of ``BLOCK`` characters."""
-    best = np.zeros(0, np.uint64)
-    for at in range(0, max(len(line) - width + 1, 0), BLOCK):
-        part = _windows(_code(line[at:at + BLOCK + width - 1]), width)
-        best = np.unique(np.concatenate([best, np.unique(part)[:sketch]]))[:sketch]
-    return best
-
-
-def _word_hashes(line: str, lookahead: int) -> np.ndarray:
-    w = line.split(" ")
-    parts = ("\0".join([x, *w[i + 1:i + 2], *(y[:lookahead] for y in w[i + 2:i + 3])]) for i, x in enumerate(w))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "replace")) for x in parts), np.uint64))
-
-
-def _all_hashes(line: str, lookahead: int, width: int | None) -> np.ndarray:
-    """The distinct shingle hashes of one line, in order."""
+def _windows(code: Column, width: int, first: Column, last: Column) -> Column:
+    """Hashes of the runs of ``width`` characters of ``code`` (UTF-32) from characters ``first`` to ``last`` (from 0) on."""
+    return F.transform(F.sequence(4 * first + 1, 4 * last + 1, F.lit(4)),
+                       lambda at: F.xxhash64(F.substring(code, at, F.lit(4 * width))))
+
+
+def _code(line: Column) -> Column:
+    return F.encode(line, "UTF-32")
+
+
+def _hashes(line: Column, lookahead: int, width: int | None) -> Column:
+    """The distinct shingle hashes of a line; with a ``width`` not those of :func:`shingles`, but cheaper."""
     if not width:
-        return _word_hashes(line, lookahead)
-    hashes = _windows(_code(line), width) if len(line) >= width else np.array([xxhash.xxh64_intdigest(line.encode(
-        "utf-8", "replace"))], np.uint64)
-    hashes.sort()
-    new = np.ones(hashes.size, bool)
-    new[1:] = hashes[1:] != hashes[:-1]
-    return hashes[new]
-
-
-def _signatures(lines: list[str], sketch: int, lookahead: int, width: int | None) -> pa.Array:
-    """The signature of every line: 32 bits of its ``sketch`` smallest distinct hashes, in order."""
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    alone = {}
+        return shingles(line, lookahead)
+    return F.when(F.char_length(line) < width, F.array(F.xxhash64(line))).otherwise(F.array_distinct(let(
+        _code(line), lambda code: _windows(code, width, F.lit(0), _count(code, width) - 1))))
+
+
+def _count(code: Column, width: int) -> Column:
+    return F.floor(F.octet_length(code) / 4).cast("int") - (width - 1)
+
+
+def _smallest(code: Column, count: Column, limit: Column, sketch: int, width: int) -> Column:
+    """The ``sketch`` smallest distinct hashes up to ``limit`` of a line's ``count`` shingles, in parts of ``BLOCK``."""
+    def low(hashes: Column) -> Column:
+        return F.slice(F.sort_array(F.array_distinct(F.filter(hashes, lambda h: h <= limit))), 1, sketch)
+
+    parts = F.transform(F.sequence(F.lit(0), count - 1, F.lit(BLOCK)), lambda at: low(
+        _windows(code, width, at, F.least(at + (BLOCK - 1), count - 1))))
+    return F.when(count <= BLOCK, low(_windows(code, width, F.lit(0), count - 1))).otherwise(low(F.flatten(parts)))
+
+
+def signature(line: Column, sketch: int, lookahead: int, width: int | None) -> Column:
+    """32 bits of the ``sketch`` smallest distinct shingle hashes of a line, in order; none if it is shorter than ``width``."""
     if width:
-        count = np.maximum(size - width + 1, 0)
-        alone = {i: _smallest(lines[i], width, sketch) for i in np.flatnonzero(size > BLOCK).tolist()}
-        count[list(alone)] = 0
-        flat = _windows(_code("".join("" if i in alone else x for i, x in enumerate(lines))), width)
-        size[list(alone)] = 0
-        start = np.cumsum(size) - size
-        line = np.repeat(np.arange(len(lines)), count)
-        hashes = flat[np.arange(line.size) + np.repeat(start - (np.cumsum(count) - count), count)]
         # of long lines only hashes low enough to be among the smallest are sorted
-        share = np.minimum(3.0 * sketch / np.maximum(count, 1), 1.0)
-        low = (hashes >> np.uint64(11)) <= (share * 2.0 ** 53).astype(np.uint64)[line]
-        hashes, line = hashes[low], line[low]
-    else:
-        parts = [_word_hashes(x, lookahead)[:sketch] for x in lines]
-        count = np.zeros(len(lines), np.int64)
-        line = np.repeat(np.arange(len(lines)), [p.size for p in parts])
-        hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    order = np.lexsort((hashes, line))
-    hashes, line = hashes[order], line[order]
-    new = np.ones(line.size, bool)
-    new[1:] = (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])
-    hashes, line = hashes[new], line[new]
-    have = np.bincount(line, minlength=len(lines))
-    place = np.arange(line.size) - np.repeat(np.cumsum(have) - have, have)
-    # repeated shingles may leave too few low hashes: such a line is hashed by itself
-    for i in np.flatnonzero((have < sketch) & (count > 3 * sketch)).tolist():
-        alone[i] = _smallest(lines[i], width, sketch)
-    if alone:
-        ids = np.fromiter(alone, np.int64)
-        other = (place < sketch) & ~np.isin(line, ids)
-        hashes = np.concatenate([hashes[other], *alone.values()])
-        line = np.concatenate([line[other], np.repeat(ids, [x.size for x in alone.values()])])
-        order = np.argsort(line, kind="stable")
-        hashes, line = hashes[order], line[order]
+        def of(code: Column, count: Column) -> Column:
+            limit = F.when(count <= 3 * sketch, F.lit(_ALL)).otherwise(((6.0 * sketch / count - 1.0) * 2.0 ** 63).cast("long"))
+            found = let(limit, lambda most: _smallest(code, count, most, sketch, width))
+            # repeated shingles may leave too few low hashes
+            return let(found, lambda s: F.when((F.size(s) < sketch) & (count > 3 * sketch), _smallest(
+                code, count, F.lit(_ALL), sketch, width)).otherwise(s))
+
+        best = F.when(F.char_length(line) < width, F.expr("array(0L)")).otherwise(
+            let(_code(line), lambda code: let(_count(code, width), lambda count: of(code, count))))
     else:
-        hashes, line = hashes[place < sketch], line[place < sketch]
-    ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(lines)))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.astype(np.uint32).view(np.int32)))
+        best = F.slice(F.sort_array(shingles(line, lookahead)), 1, sketch)
+    return F.transform(best, lambda h: (h.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
+
+
+def band_keys(signature: Column) -> Column:
+    """Keys of every three neighbouring hashes of a signature, up to five
+    hashes also of every two; one hash: no key, as only equal lines can be
+    similar to such a line."""
+    def of(s: Column) -> Column:
+        threes = F.transform(F.slice(s, 1, F.greatest(F.size(s) - 2, F.lit(0))),
+                             lambda x, i: F.xxhash64(x, F.get(s, i + 1), F.get(s, i + 2)))
+        twos = F.transform(F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(s, i + 1)))
+        return F.when(F.size(s) > 5, threes).otherwise(F.concat(threes, twos))
 
+    return let(signature, of)
 
-def _signed(values: list[int]) -> pa.Array:
-    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+def _cut(text: Column) -> Column:
+    """The lines of a text byte by byte, also where it is not UTF-8; null: one empty line."""
+    text = F.coalesce(text, F.lit(""))
+    raw = F.transform(F.split(F.decode(text.cast("binary"), "ISO-8859-1"), "\n"),
+                      lambda x: F.encode(x, "ISO-8859-1").cast("string"))
+    return F.when(F.is_valid_utf8(text), F.split(text, "\n")).otherwise(raw)
+
+
+def _lines(docs: DataFrame, text: str, *more: Column | str) -> DataFrame:
+    """(more..., pos, line): the lines with a word; pos counts all lines from 0."""
+    return docs.select(*more, F.posexplode(_cut(F.col(text))).alias("pos", "line")).where(_has_word(F.col("line")))
 
 
 def line_signatures(rows: DataFrame, text: str, sketch: int, lookahead: int, width: int | None) -> DataFrame:
@@ -211,42 +172,9 @@ def line_signatures(rows: DataFrame, text: str, sketch: int, lookahead: int, wid
     (all lines counted from 0), two hashes ``l1`` (:func:`xxhash64` of the
     line) and ``l2``, and its ``signature``. Null texts have no lines."""
     others = [c for c in rows.columns if c != text]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def block() -> pa.RecordBatch:
-            found = [batch.column(batch.schema.get_field_index(c)).take(pa.array(at, pa.int32())) for c in others]
-            return pa.RecordBatch.from_arrays(
-                [*found, pa.array(pos, pa.int32()), _signed([xxhash.xxh64_intdigest(x, 42) for x in raw]),
-                 _signed([xxhash.xxh64_intdigest(x, 43) for x in raw]),
-                 _signatures([x.decode("utf-8", "replace") for x in raw], sketch, lookahead, width)],
-                names=[*others, "pos", "l1", "l2", "signature"])
-
-        for batch in batches:
-            at, pos, raw, held = [], [], [], 0
-            for i, value in enumerate(batch.column(batch.schema.get_field_index(text))):
-                for j, line in enumerate((value.as_py() or b"").split(b"\n")):
-                    if not line.strip(b"\x20\x09\x0a\x0b\x0c\x0d"):
-                        continue
-                    at.append(i)
-                    pos.append(j)
-                    raw.append(line)
-                    held += len(line)
-                    if held >= BLOCK:
-                        yield block()
-                        at, pos, raw, held = [], [], [], 0
-            if raw:
-                yield block()
-
-    schema = T.StructType([rows.schema[c] for c in others] + [
-        T.StructField("pos", T.IntegerType()), T.StructField("l1", T.LongType()), T.StructField("l2", T.LongType()),
-        T.StructField("signature", T.ArrayType(T.IntegerType()))])
-    return rows.withColumn(text, F.col(text).cast("binary")).mapInArrow(cut, schema)
-
-
-def _lines(docs: DataFrame, text: str, *more: Column) -> DataFrame:
-    """(more..., pos, line): the lines with a word; pos counts all lines from 0."""
-    cut = F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("pos", "line")
-    return docs.select(*more, cut).where(_has_word(F.col("line")))
+    return _lines(rows, text, *others).select(
+        *others, "pos", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(43), "line").alias("l2"),
+        signature(F.col("line"), sketch, lookahead, width).alias("signature"))
 
 
 def _small(lookup: DataFrame, rows: int) -> DataFrame:
@@ -267,65 +195,59 @@ def _similar(pairs: DataFrame, texts: DataFrame, similarity: float, lookahead: i
     """Those (a, b) of ``pairs`` whose shingle sets have the exact similarity."""
     rows = pairs
     for x in ("a", "b"):
-        rows = rows.join(texts.select(F.col("l1").alias(x), F.col("line").cast("binary").alias(f"l{x}")), x)
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                s, t = (_all_hashes(z.as_py().decode("utf-8", "replace"), lookahead, width) for z in (x, y))
-                if min(s.size, t.size) < similarity * max(s.size, t.size):
-                    alike.append(False)
-                    continue
-                both = np.sort(np.concatenate([s, t]))
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                alike.append(common >= similarity * (s.size + t.size - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(alike, pa.bool_()))
-
-    return stored(rows.select("a", "b", "la", "lb").mapInArrow(verify, "a long, b long"))
+        rows = rows.join(texts.select(F.col("l1").alias(x), F.col("line").alias(f"l{x}")), x)
+    sets = rows.select("a", "b", _hashes(F.col("la"), lookahead, width).alias("s"), _hashes(F.col("lb"), lookahead, width).alias("t"))
+    sizes = sets.select("a", "b", F.size(F.array_intersect("s", "t")).alias("common"), (F.size("s") + F.size("t")).alias("both"))
+    return stored(sizes.where(F.col("common") >= similarity * (F.col("both") - F.col("common"))).select("a", "b"))
 
 
-def _keys(signed: DataFrame, sketch: int) -> DataFrame:
-    """(l1, weak, key) of (l1, signature); weak: fewer than ``sketch`` hashes."""
-    return signed.select("l1", (F.size("signature") < sketch).cast("int").alias("weak"),
-                         F.explode(band_keys(F.col("signature"))).alias("key"))
+def _keys(signed: DataFrame) -> DataFrame:
+    """(l1, key) of (l1, signature)."""
+    return signed.select("l1", F.explode(band_keys(F.col("signature"))).alias("key"))
 
 
 def _proposals(keys: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """Out of (key, l1, weak): (a, b, shared, weak) of the pairs that meet in
-    buckets, the (l1) of crowded buckets, and the stored tables behind them."""
-    buckets = stored(keys.groupBy("key").agg(F.min("l1").alias("lo"), F.max("l1").alias("hi"), F.count(F.lit(1)).alias("n"),
-                                             F.max("weak").alias("weak")).where("n > 1"))
-    large = buckets.where("n > 2").select("key", "n", "weak")
-    members = stored(keys.drop("weak").join(_small(large, large.count()), "key"))
+    """Out of (key, l1): (a, b) of the pairs that meet in buckets, in crowded
+    ones those with the smallest and the largest member; the (key, l1) of
+    crowded buckets, and the stored tables behind them."""
+    buckets = stored(keys.groupBy("key").agg(F.min("l1").alias("lo"), F.max("l1").alias("hi"),
+                                             F.count(F.lit(1)).alias("n")).where("n > 1"))
+    large = buckets.where("n > 2")
+    members = stored(keys.join(_small(large, large.count()), "key"))
     crowd = members.where(f"n > {CROWD}")
-    whole = members.where(f"n <= {CROWD}").groupBy("key").agg(
-        F.sort_array(F.collect_list("l1"), asc=False).alias("s"), F.max("weak").alias("weak"))
-    each = whole.select("s", "weak", F.posexplode("s").alias("i", "a")).select(
-        "a", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("b"), "weak")
-    met = buckets.where("n = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b"), "weak").unionByName(each)
-    pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("weak").alias("weak"))
-    return pairs, crowd.select("l1").distinct(), [buckets, members]
+    whole = members.where(f"n <= {CROWD}").groupBy("key").agg(F.sort_array(F.collect_list("l1"), asc=False).alias("s"))
+    each = whole.select("s", F.posexplode("s").alias("i", "a")).select(
+        "a", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("b"))
+    ends = crowd.select("l1", F.explode(F.array("lo", "hi")).alias("y")).where("l1 <> y").select(
+        F.greatest("l1", "y").alias("a"), F.least("l1", "y").alias("b"))
+    met = buckets.where("n = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(each).unionByName(ends)
+    return met.where("a <> b").distinct(), crowd.select("key", "l1"), [buckets, members]
+
+
+def _with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` (l1...) with the ``root`` of their component, alone: themselves."""
+    known = roots.select(F.col("node").alias("l1"), "root")
+    return rows.join(known, "l1", "left").withColumn("root", F.coalesce("root", "l1"))
+
+
+def _split_lines(crowd: DataFrame, roots: DataFrame) -> DataFrame:
+    """(l1, root) of the lines of those buckets (key, l1) that are not one component."""
+    rows = stored(_with_root(crowd, roots))
+    split = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    found = stored(rows.join(_small(split, split.count()), "key").select("l1", "root").distinct())
+    discard(rows)
+    return found
 
 
 def _marks(texts: DataFrame, lookahead: int, width: int | None) -> DataFrame:
     """(l1, size, m0, m1...): the number of a line's shingles and, for 64 ``MARKS``
     classes of hashes, whether it holds an odd number of them."""
-    names = [f"m{i}" for i in range(MARKS)]
-    bits = 64 * MARKS
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks, sizes = np.zeros((batch.num_rows, MARKS), np.int64), np.zeros(batch.num_rows, np.int32)
-            for i, line in enumerate(batch.column(1)):
-                hashes = _all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width)
-                odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-                marks[i], sizes[i] = np.packbits(odd.astype(np.uint8)).view(np.int64), hashes.size
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), *map(pa.array, marks.T.copy())],
-                                             names=["l1", "size", *names])
-
-    return texts.select("l1", F.col("line").cast("binary")).mapInArrow(
-        mark, "l1 long, size int, " + ", ".join(f"{m} long" for m in names))
+    rows = texts.select("l1", _hashes(F.col("line"), lookahead, width).alias("s")).select(
+        "l1", F.size("s").alias("size"), F.explode("s").alias("h"))
+    bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    of = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(MARKS - 1))
+    return rows.groupBy("l1").agg(F.max("size").alias("size"), *[
+        F.bit_xor(F.when(of == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{j}") for j in range(MARKS)])
 
 
 def _may_match(similarity: float, x: str = "x", y: str = "y") -> Column:
@@ -344,69 +266,25 @@ def _sifted(pairs: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:
     return stored(rows.where(_may_match(similarity)).select("a", "b"))
 
 
-def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
-    return (hashes >> np.uint64(65 - slots.bit_length())).astype(np.int64)
-
-
-def _often(texts: DataFrame, lookahead: int, width: int | None) -> np.ndarray:
-    """How many shingles of ``texts`` (l1, line) have their hash in each class, up to 255;
-    some 128 classes a line, within the bounds of ``SLOTS``."""
-    slots = min(max(SLOTS[0], 1 << (128 * texts.count()).bit_length()), SLOTS[1])
-    part = min(slots, 1 << 16)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(slots, np.int32)
-        for batch in batches:
-            for line in batch.column(0):
-                np.add.at(seen, _slot(_all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width), slots), 1)
-        seen = np.minimum(seen, 255).astype(np.uint8).reshape(-1, part)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen), dtype=np.int32)), pa.array(
-            [x.tobytes() for x in seen], pa.binary())], names=["part", "seen"])
-
-    def total(rows: pa.Table) -> pa.Table:
-        seen = np.zeros(part, np.int32)
-        for x in rows.column("seen"):
-            seen += np.frombuffer(x.as_py(), np.uint8)
-        return pa.table({"part": rows.column("part").slice(0, 1), "seen": pa.array(
-            [np.minimum(seen, 255).astype(np.uint8).tobytes()], pa.binary())})
-
-    # a task hands over a byte a class, so there are no more tasks than cores
-    cores = texts.sparkSession.sparkContext.defaultParallelism
-    found = texts.select(F.col("line").cast("binary")).coalesce(cores).mapInArrow(count, "part int, seen binary")
-    found = found.groupBy("part").applyInArrow(total, "part int, seen binary").toArrow().sort_by("part")
-    return np.frombuffer(b"".join(x.as_py() for x in found["seen"]), np.uint8)
-
-
 def _seldom(texts: DataFrame, similarity: float, lookahead: int, width: int | None) -> DataFrame:
-    """(l1, size, key, at): of every line's ``size`` shingles, seldom ones
-    first, those of which a similar line must share one, with their places
-    from 1. Shingles that are alone in their class are in no other line and
-    have no row."""
-    often = texts.sparkSession.sparkContext.broadcast(_often(texts, lookahead, width))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own, keys, places, sizes, held = [], [], [], [], 0
-            for i, (l1, line) in enumerate(zip(batch.column(0), batch.column(1)), 1):
-                hashes = _all_hashes(line.as_py().decode("utf-8", "replace"), lookahead, width)
-                # equally frequent ones stay in the order of their hashes
-                seen = often.value[_slot(hashes, often.value.size)]
-                order = np.argsort(seen, kind="stable")[:hashes.size - math.ceil(similarity * hashes.size - 1e-9) + 1]
-                alone = int(np.count_nonzero(seen[order] == 1))
-                keys.append(hashes[order[alone:]])
-                places.append(np.arange(alone + 1, order.size + 1, dtype=np.int32))
-                own.append(l1.as_py())
-                sizes.append(hashes.size)
-                held += keys[-1].size
-                if held >= BLOCK or i == batch.num_rows:
-                    n = [k.size for k in keys]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.repeat(np.array(own, np.int64), n)), pa.array(np.repeat(np.array(sizes, np.int32), n)),
-                        pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(places))],
-                        names=["l1", "size", "key", "at"])
-                    own, keys, places, sizes, held = [], [], [], [], 0
-
-    return texts.select("l1", F.col("line").cast("binary")).mapInArrow(cut, "l1 long, size int, key long, at int")
+    """(l1, size, plain, key, at): of every line's ``size`` shingles, seldom
+    ones first, those of which a similar line must share one, with their
+    places from 1; ``plain`` grows with the mean frequency of its shingles.
+    Shingles of one line only have no row."""
+    sets = stored(texts.select("l1", _hashes(F.col("line"), lookahead, width).alias("s")))
+    rows = sets.select("l1", F.size("s").alias("size"), F.explode("s").alias("key"))
+    often = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    shared = rows.join(_small(often, often.count()), "key").groupBy("l1").agg(
+        F.max("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "key"))).alias("s"),
+        F.sum(F.log2("n")).alias("weight"))
+    first = F.col("size") - F.ceil(similarity * F.col("size") - 1e-9).cast("int") + 1
+    alone = F.col("size") - F.size("s")
+    cut = shared.select("l1", "size", (F.col("weight") / F.col("size")).alias("plain"), alone.alias("alone"), F.posexplode(
+        F.slice("s", F.lit(1), F.greatest(first - alone, F.lit(0)))).alias("i", "x"))
+    out = stored(cut.select("l1", "size", "plain", F.col("x.key").alias("key"), (F.col("alone") + F.col("i") + 1).alias("at")))
+    discard(sets)
+    discard(often)
+    return out
 
 
 def _may_be_similar(similarity: float) -> Column:
@@ -417,8 +295,8 @@ def _may_be_similar(similarity: float) -> Column:
 
 
 def _crowd_members(texts: DataFrame, similarity: float, lookahead: int, width: int | None) -> DataFrame:
-    """(key, l1, size, at, n): the lines that share a seldom shingle with another and how many do."""
-    rows = stored(_seldom(texts, similarity, lookahead, width).select("key", "l1", "size", "at"))
+    """(key, l1, size, plain, at, n): the lines that share a seldom shingle with another and how many do."""
+    rows = _seldom(texts, similarity, lookahead, width)
     buckets = stored(rows.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("n")).where("n > 1"))
     members = stored(rows.join(_small(buckets, buckets.count()), "key"))
     discard(rows)
@@ -426,17 +304,19 @@ def _crowd_members(texts: DataFrame, similarity: float, lookahead: int, width: i
     return members
 
 
-def _crowd_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of members that share a shingle and may be similar: all pairs
-    of up to ``CROWD`` lines, of more those with the smallest and the largest."""
-    rows = members.select("key", "n", F.struct("l1", "size", "at").alias("x"))
-    few = rows.where(f"n <= {CROWD}").groupBy("key").agg(F.sort_array(F.collect_list("x"), asc=False).alias("s"))
-    each = few.select("s", F.posexplode("s").alias("i", "x")).select(
+def _crowd_pairs(members: DataFrame, split: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of members that share a shingle, may be similar and are not in
+    the same component of ``split`` (l1, root): all pairs of up to ``CROWD``
+    lines, of more those with the smallest, the largest and the plainest."""
+    rows = members.join(split, "l1").select("key", "n", "plain", F.struct("l1", "size", "at", "root").alias("x"))
+    few = rows.where(f"n <= {CROWD}").groupBy("key").agg(F.sort_array(F.collect_list("x"), asc=False).alias("s"),
+                                                         F.min("x.root").alias("lo"), F.max("x.root").alias("hi"))
+    each = few.where("lo <> hi").select("s", F.posexplode("s").alias("i", "x")).select(
         "x", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("y"))
     many = rows.where(f"n > {CROWD}")
-    ends = many.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    hubs = many.join(ends, "key").select("x", F.explode(F.array("lo", "hi")).alias("y"))
-    met = each.unionByName(hubs).where("x.l1 <> y.l1").where(_may_be_similar(similarity))
+    ends = many.groupBy("key").agg(F.array(F.min("x"), F.max("x"), F.max(F.struct("plain", "x"))["x"]).alias("ends"))
+    hubs = many.join(ends, "key").select("x", F.explode("ends").alias("y"))
+    met = each.unionByName(hubs).where("x.root <> y.root").where(_may_be_similar(similarity))
     return met.select(F.greatest("x.l1", "y.l1").alias("a"), F.least("x.l1", "y.l1").alias("b")).distinct()
 
 
@@ -466,36 +346,45 @@ def _links(docs: DataFrame, text: str, rows: DataFrame, similarity: float, looka
            width: int | None) -> DataFrame:
     """Verified (a, b) of distinct lines, a > b."""
     distinct = stored(rows.groupBy("l1").agg(F.first("signature").alias("signature")).where("size(signature) > 1"))
-    pairs, crowd, behind = _proposals(_keys(distinct, sketch))
-    pairs, crowd = stored(pairs.where(MET).select("a", "b")), stored(crowd)
-    for t in (distinct, *behind):
-        discard(t)
-    found, crowded = pairs, None
-    if not crowd.isEmpty():
-        crowded = _texts(docs, text, crowd)
-        members = _crowd_members(crowded, similarity, lookahead, width)
-        found = found.unionByName(_crowd_pairs(members, similarity))
-    found = stored(found.distinct())
-    texts = _texts(docs, text, found.select(F.explode(F.array("a", "b")).alias("l1")).distinct())
+    pairs, crowd, behind = _proposals(_keys(distinct))
+    pairs = stored(pairs)
+    texts = _texts(docs, text, pairs.select(F.explode(F.array("a", "b")).alias("l1")).distinct())
     marks = stored(_marks(texts, lookahead, width))
-    sifted = _sifted(found, marks, similarity)
+    sifted = _sifted(pairs, marks, similarity)
     links = _similar(sifted, texts, similarity, lookahead, width)
-    for t in (pairs, crowd, found, texts, marks, sifted):
+    for t in (distinct, pairs, sifted):
         discard(t)
-    if crowded is not None:
-        if not members.where(f"n > {CROWD}").isEmpty():
-            marks = stored(_marks(crowded, lookahead, width))
-            rest = _rest_pairs(members, marks, components(links), similarity)
-            links = stored(links.unionByName(_similar(rest, crowded, similarity, lookahead, width)))
-            discard(rest)
-            discard(marks)
-        discard(members)
-        discard(crowded)
+    if not crowd.isEmpty():
+        links = _crowd_links(crowd, texts, marks, links, similarity, lookahead, width)
+    for t in (texts, marks, *behind):
+        discard(t)
+    return links
+
+
+def _crowd_links(crowd: DataFrame, texts: DataFrame, marks: DataFrame, links: DataFrame, similarity: float,
+                 lookahead: int, width: int | None) -> DataFrame:
+    """``links`` and those between lines of crowded buckets (key, l1) that they leave apart."""
+    split = _split_lines(crowd, components(links))
+    if split.isEmpty():
+        return links
+    # every member of a crowded bucket is in a pair, so its text and its mark are there
+    members = _crowd_members(texts.join(split.select("l1"), "l1", "left_semi"), similarity, lookahead, width)
+    pairs = stored(_crowd_pairs(members, split, similarity))
+    sifted = _sifted(pairs, marks, similarity)
+    links = stored(links.unionByName(_similar(sifted, texts, similarity, lookahead, width)))
+    discard(pairs)
+    discard(sifted)
+    if not members.where(f"n > {CROWD}").isEmpty():
+        rest = _rest_pairs(members, marks, components(links), similarity)
+        links = stored(links.unionByName(_similar(rest, texts, similarity, lookahead, width)))
+        discard(rest)
+    discard(members)
+    discard(split)
     return links
 
 
 def line_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = 0.8,
-                    lookahead: int = 4, sketch: int = 12, width: int | None = None) -> DataFrame:
+                    lookahead: int = 4, sketch: int = 18, width: int | None = None) -> DataFrame:
     """One row per line with a word: ``__h1``, ``__h2`` (the row's key),
     ``doc``, ``pos`` and, of the first line of its component, ``first``
     (struct nodoc, doc, h1, h2, pos); ``kept`` says that it is that line.
@@ -527,7 +416,7 @@ def line_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = 0.8,
-                lookahead: int = 4, sketch: int = 12, chars: str | None = None, width: int | None = None) -> DataFrame:
+                lookahead: int = 4, sketch: int = 18, chars: str | None = None, width: int | None = None) -> DataFrame:
     """``docs`` without the repeated lines, columns unchanged.
 
     Lines without a word stay where they are. A text that loses no line is
