@@ -205,3 +205,46 @@ def test_lines_that_are_not_utf8_stay_apart(spark):
                      "(3L, cast(X'61FF620A63' as string)) as t(doc_id, text)")
     got = {(x.doc, x.pos): x["first"].doc for x in L.line_components(docs, width=L.WIDTH).collect()}
     assert got == {(1, 0): 1, (2, 0): 2, (3, 0): 1, (3, 1): 3}
+
+
+def minhash_order(line, width, hashed):
+    """Distinct shingles that start with a character of FIRST by hash, then the others by hash."""
+    sets = character_shingles(line, width) if len(line) >= width else set()
+    first = sorted({hashed[x] for x in sets if x[0] in L.FIRST})
+    return first + sorted({hashed[x] for x in sets if x[0] not in L.FIRST})
+
+
+def test_one_minhash_order_for_short_long_and_divided_lines(spark, monkeypatch):
+    """Lines with enough shingles of the first class, with few and with none get the first ones of the same order."""
+    r = random.Random(2)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    cases = ["", "ab", "zzzzzz zzzzzzz", "a\rb c\td\u2028e rest", "x😀y😀😀zé€ w d😀😀😀😀c", "Привет, мир и все остальные слова", "z" * 300]
+    cases += [" ".join(word(r.randint(2, 9)) for _ in range(n)) for n in (4, 8, 15, 30, 90)]
+    every = sorted({x for t in cases for x in character_shingles(t, 6)})
+    hashed = {x.s: x.h for x in spark.createDataFrame([(x,) for x in every], "s string").selectExpr("s", "hash(s) h").collect()}
+    rows = spark.createDataFrame([(t,) for t in cases], "line string")
+    for block in (L.BLOCK, 50):
+        monkeypatch.setattr(L, "BLOCK", block)
+        for x in L.with_signature(rows, 12, 4, 6).collect():
+            assert x.signature == minhash_order(x.line, 6, hashed)[:12], (block, x.line)
+
+
+def test_lines_are_hashed_once_for_a_comparison(spark, monkeypatch):
+    """The sets of a pair are steps of their own; no filter below repeats them."""
+    plans, stored = [], L.stored
+    monkeypatch.setattr(L, "stored", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), stored(df))[1])
+    texts = spark.createDataFrame([(1, "these words make a line"), (2, "these words make a line!"), (3, "others")], "l1 long, line string")
+    pairs = spark.createDataFrame([(2, 1), (3, 1)], "a long, b long")
+    assert [tuple(p) for p in L._similar(pairs, texts, 0.8, 4, 9).collect()] == [(2, 1)]
+    assert len(plans) == 1 and plans[0].count("substring(") == 2
+
+
+def test_marks_of_characters_leave_every_similar_pair(spark):
+    lines = sorted({line[:r] for _, t in made_rows(6) for line in t.split("\n") for r in (70, 73, 400) if len(line) > 8 and line.strip()})
+    texts = spark.createDataFrame(list(enumerate(lines)), "l1 long, line string")
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i)]
+    sets = [character_shingles(x, L.WIDTH) for x in lines]
+    similar = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    left = L._sifted(spark.createDataFrame(pairs, "a long, b long"), L._marks(texts, 4, L.WIDTH), 0.8)
+    left = {(p.a, p.b) for p in left.collect()}
+    assert similar and similar <= left and len(left) < 0.5 * len(pairs)

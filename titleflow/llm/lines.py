@@ -4,9 +4,12 @@ signatures, banding, the exact comparison and components.
 1. One pass cuts every text into lines. A line's shingles are its runs of
    ``width`` characters, one from every character on (a shorter line is its
    own shingle). Without a ``width`` they are cut at its words: a word, the
-   next word and the first ``lookahead`` characters of the one after. Their
-   64-bit hashes, sorted, are the line's MinHash order; the ``sketch``
-   smallest ones (32 bits of each are kept) are its signature.
+   next word and the first ``lookahead`` characters of the one after. The
+   order of their hashes is the line's MinHash order; the ``sketch``
+   first ones (32 bits of each) are its signature. With a ``width``
+   those with a first character in ``FIRST`` come before all others, so that
+   lines with enough of them need no hash of the rest. One order holds for
+   all lines, whichever of their shingles are hashed.
 2. Banding: every three neighbouring hashes of the signature make a band
    key. Of two lines with Jaccard similarity s, each hash of their union is
    common with probability s, so at s = 0.8 and eighteen hashes one of the
@@ -26,9 +29,9 @@ signatures, banding, the exact comparison and components.
    that share such a shingle are a pair unless its place leaves too few
    shingles behind it. Any order loses nothing, this one keeps the template
    out of the pairs. Shingles of one line only have no row.
-5. Of the proposed pairs those stay whose marks (the parity of the number
-   of shingles in 512 classes) differ in no more places than the lines may
-   have shingles of their own; a similar pair never differs in more. The
+5. Of the proposed pairs those stay whose marks (which of 1,024 classes
+   hold a shingle) differ in no more places than the lines may have
+   shingles of their own; a similar pair never differs in more. The
    rest is verified by the exact Jaccard similarity of their
    whole shingle sets, and the verified links joined to components.
    Where more than ``CROWD`` lines share a shingle of step 4, their pairs
@@ -61,13 +64,14 @@ from titleflow.llm.components import components
 BROADCAST_ROWS = 1_000_000
 #: Buckets with more members than this are crowded.
 CROWD = 32
-#: Numbers of a line's mark, 64 bits each.
-MARKS = 8
+#: Numbers of a line's mark, 64 bits each (a power of two).
+MARKS = 16
 #: Characters of a shingle in the registered query and the pipeline.
 WIDTH = 9
 #: Shingles whose hashes a signature's row holds at a time.
 BLOCK = 1 << 17
-_ALL = 2 ** 63 - 1
+#: First characters of the character shingles that come first in MinHash order, one in five or so.
+FIRST = "acdhlr"
 
 
 def _has_word(line: Column) -> Column:
@@ -101,57 +105,65 @@ def _code(line: Column) -> Column:
     return F.encode(line, "UTF-32")
 
 
-def _hashes(line: Column, lookahead: int, width: int | None) -> Column:
-    """The distinct shingle hashes of a line; with a ``width`` not those of :func:`shingles`, but cheaper."""
+def _every_hash(line: Column, lookahead: int, width: int | None) -> Column:
+    """The shingle hashes of a line, equal ones more than once; with a ``width`` not those of :func:`shingles`, but cheaper."""
     if not width:
         return shingles(line, lookahead)
-    return F.when(F.char_length(line) < width, F.array(F.xxhash64(line))).otherwise(F.array_distinct(let(
-        _code(line), lambda code: _windows(code, width, F.lit(0), _count(code, width) - 1))))
+    return F.when(F.char_length(line) < width, F.array(F.xxhash64(line))).otherwise(let(
+        _code(line), lambda code: _windows(code, width, F.lit(0), _count(code, width) - 1)))
+
+
+def _hashes(line: Column, lookahead: int, width: int | None) -> Column:
+    """The distinct shingle hashes of a line."""
+    return F.array_distinct(_every_hash(line, lookahead, width))
 
 
 def _count(code: Column, width: int) -> Column:
     return F.floor(F.octet_length(code) / 4).cast("int") - (width - 1)
 
 
-def _smallest(code: Column, count: Column, limit: Column, sketch: int, width: int) -> Column:
-    """The ``sketch`` smallest distinct hashes up to ``limit`` of a line's ``count`` shingles, in parts of ``BLOCK``."""
+def _smallest(line: Column, start: str, sketch: int, width: int) -> Column:
+    """The ``sketch`` smallest distinct hashes of a line's shingles whose first
+    character is in the class ``start``, long lines in parts of ``BLOCK``."""
     def low(hashes: Column) -> Column:
-        return F.slice(F.sort_array(F.array_distinct(F.filter(hashes, lambda h: h <= limit))), 1, sketch)
+        return F.slice(F.array_distinct(F.sort_array(hashes)), 1, sketch)
 
-    parts = F.transform(F.sequence(F.lit(0), count - 1, F.lit(BLOCK)), lambda at: low(
-        _windows(code, width, at, F.least(at + (BLOCK - 1), count - 1))))
-    return F.when(count <= BLOCK, low(_windows(code, width, F.lit(0), count - 1))).otherwise(low(F.flatten(parts)))
+    def of(part: Column) -> Column:
+        # the matches are empty, so one starts at every such character
+        runs = F.regexp_extract_all(part, F.lit(rf"(?s)(?=({start}.{{{width - 1}}}))"), F.lit(1))
+        return low(F.transform(runs, lambda x: F.hash(x)))
 
+    parts = F.transform(F.sequence(F.lit(1), F.char_length(line), F.lit(BLOCK)),
+                        lambda at: of(F.substring(line, at, F.lit(BLOCK + width - 1))))
+    return F.when(F.char_length(line) <= BLOCK, of(line)).otherwise(low(F.flatten(parts)))
 
-def signature(line: Column, sketch: int, lookahead: int, width: int | None) -> Column:
-    """32 bits of the ``sketch`` smallest distinct shingle hashes of a line, in order; none if it is shorter than ``width``."""
-    if width:
-        # of long lines only hashes low enough to be among the smallest are sorted
-        def of(code: Column, count: Column) -> Column:
-            limit = F.when(count <= 3 * sketch, F.lit(_ALL)).otherwise(((6.0 * sketch / count - 1.0) * 2.0 ** 63).cast("long"))
-            found = let(limit, lambda most: _smallest(code, count, most, sketch, width))
-            # repeated shingles may leave too few low hashes
-            return let(found, lambda s: F.when((F.size(s) < sketch) & (count > 3 * sketch), _smallest(
-                code, count, F.lit(_ALL), sketch, width)).otherwise(s))
-
-        best = F.when(F.char_length(line) < width, F.expr("array(0L)")).otherwise(
-            let(_code(line), lambda code: let(_count(code, width), lambda count: of(code, count))))
-    else:
+
+def with_signature(rows: DataFrame, sketch: int, lookahead: int, width: int | None) -> DataFrame:
+    """``rows`` with the ``signature`` of each ``line``: 32 bits of the ``sketch``
+    first distinct shingles in MinHash order; none if it is shorter than ``width``."""
+    line = F.col("line")
+    if not width:
         best = F.slice(F.sort_array(shingles(line, lookahead)), 1, sketch)
-    return F.transform(best, lambda h: (h.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
+        return rows.withColumn("signature", F.transform(
+            best, lambda h: (h.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int")))
+    # a step of its own, so that it is computed once; the others only where they are needed
+    rows = rows.withColumn("__first", _smallest(line, f"[{FIRST}]", sketch, width))
+    others = _smallest(line, rf"[^{FIRST}\p{{Cs}}]", sketch, width)
+    return rows.withColumn("signature", F.when(F.size("__first") >= sketch, F.col("__first")).otherwise(
+        F.slice(F.concat("__first", others), 1, sketch))).drop("__first")
 
 
-def band_keys(signature: Column) -> Column:
+def band_keys(signature: Column, sketch: int) -> Column:
     """Keys of every three neighbouring hashes of a signature, up to five
     hashes also of every two; one hash: no key, as only equal lines can be
-    similar to such a line."""
-    def of(s: Column) -> Column:
-        threes = F.transform(F.slice(s, 1, F.greatest(F.size(s) - 2, F.lit(0))),
-                             lambda x, i: F.xxhash64(x, F.get(s, i + 1), F.get(s, i + 2)))
-        twos = F.transform(F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(s, i + 1)))
-        return F.when(F.size(s) > 5, threes).otherwise(F.concat(threes, twos))
+    similar to such a line. Null where the signature is shorter."""
+    def key(first: int, last: int) -> Column:
+        return F.xxhash64(*[F.get(signature, F.lit(i)) for i in range(first, last + 1)])
 
-    return let(signature, of)
+    # written out, as Spark compiles these but no lambda
+    size = F.size(signature)
+    return F.array(*[F.when(size > i + 2, key(i, i + 2)) for i in range(sketch - 2)],
+                   *[F.when((size > i + 1) & (size <= 5), key(i, i + 1)) for i in range(min(4, sketch - 1))])
 
 
 def _cut(text: Column) -> Column:
@@ -172,9 +184,8 @@ def line_signatures(rows: DataFrame, text: str, sketch: int, lookahead: int, wid
     (all lines counted from 0), two hashes ``l1`` (:func:`xxhash64` of the
     line) and ``l2``, and its ``signature``. Null texts have no lines."""
     others = [c for c in rows.columns if c != text]
-    return _lines(rows, text, *others).select(
-        *others, "pos", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(43), "line").alias("l2"),
-        signature(F.col("line"), sketch, lookahead, width).alias("signature"))
+    return with_signature(_lines(rows, text, *others), sketch, lookahead, width).select(
+        *others, "pos", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(43), "line").alias("l2"), "signature")
 
 
 def _small(lookup: DataFrame, rows: int) -> DataFrame:
@@ -196,14 +207,15 @@ def _similar(pairs: DataFrame, texts: DataFrame, similarity: float, lookahead: i
     rows = pairs
     for x in ("a", "b"):
         rows = rows.join(texts.select(F.col("l1").alias(x), F.col("line").alias(f"l{x}")), x)
-    sets = rows.select("a", "b", _hashes(F.col("la"), lookahead, width).alias("s"), _hashes(F.col("lb"), lookahead, width).alias("t"))
-    sizes = sets.select("a", "b", F.size(F.array_intersect("s", "t")).alias("common"), (F.size("s") + F.size("t")).alias("both"))
-    return stored(sizes.where(F.col("common") >= similarity * (F.col("both") - F.col("common"))).select("a", "b"))
+    sets = rows.select("a", "b", _every_hash(F.col("la"), lookahead, width).alias("s"), _every_hash(F.col("lb"), lookahead, width).alias("t"))
+    # written before they are filtered: a filter put below the projection would hash every line once more for each use of its set
+    sizes = stored(sets.select("a", "b", F.size(F.array_intersect("s", "t")).alias("common"), F.size(F.array_union("s", "t")).alias("all")))
+    return sizes.where(F.col("common") >= similarity * F.col("all")).select("a", "b")
 
 
-def _keys(signed: DataFrame) -> DataFrame:
+def _keys(signed: DataFrame, sketch: int = 18) -> DataFrame:
     """(l1, key) of (l1, signature)."""
-    return signed.select("l1", F.explode(band_keys(F.col("signature"))).alias("key"))
+    return signed.select("l1", F.explode(band_keys(F.col("signature"), sketch)).alias("key")).where("key is not null")
 
 
 def _proposals(keys: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
@@ -240,29 +252,33 @@ def _split_lines(crowd: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _marks(texts: DataFrame, lookahead: int, width: int | None) -> DataFrame:
-    """(l1, size, m0, m1...): the number of a line's shingles and, for 64 ``MARKS``
-    classes of hashes, whether it holds an odd number of them."""
-    rows = texts.select("l1", _hashes(F.col("line"), lookahead, width).alias("s")).select(
-        "l1", F.size("s").alias("size"), F.explode("s").alias("h"))
+    """(l1, most, m0, m1...): at least as many as a line has different shingles
+    and, for 64 ``MARKS`` classes of hashes, whether it holds any of them."""
+    if width:
+        # rows of an explode, as Spark compiles these but no lambda
+        code = texts.select("l1", _code(F.col("line")).alias("code"))
+        code = code.select("l1", "code", F.explode(F.sequence(F.lit(0), F.greatest(_count(F.col("code"), width) - 1, F.lit(0)))).alias("at"))
+        rows = code.select("l1", F.xxhash64(F.substring(F.col("code"), 4 * F.col("at") + 1, F.lit(4 * width))).alias("h"))
+    else:
+        rows = texts.select("l1", F.explode(shingles(F.col("line"), lookahead)).alias("h"))
     bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
     of = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(MARKS - 1))
-    return rows.groupBy("l1").agg(F.max("size").alias("size"), *[
-        F.bit_xor(F.when(of == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{j}") for j in range(MARKS)])
+    return rows.groupBy("l1").agg(F.count(F.lit(1)).cast("int").alias("most"), *[
+        F.bit_or(F.when(of == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{j}") for j in range(MARKS)])
 
 
 def _may_match(similarity: float, x: str = "x", y: str = "y") -> Column:
     """Whether lines with the marks ``x`` and ``y`` can be similar: every class
-    that only one has odd holds a shingle that the other lacks."""
+    that only one has holds a shingle that the other lacks."""
     differ = reduce(add, [F.bit_count(F.col(f"{x}.m{i}").bitwiseXOR(F.col(f"{y}.m{i}"))) for i in range(MARKS)])
-    apart = F.greatest(differ, F.abs(F.col(f"{x}.size") - F.col(f"{y}.size")))
-    return apart <= (1 - similarity) / (1 + similarity) * (F.col(f"{x}.size") + F.col(f"{y}.size")) + 1e-6
+    return differ <= (1 - similarity) / (1 + similarity) * (F.col(f"{x}.most") + F.col(f"{y}.most")) + 1e-6
 
 
 def _sifted(pairs: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:
     """Those (a, b) of ``pairs`` whose marks allow the similarity."""
     rows = pairs
     for name, end in (("x", "a"), ("y", "b")):
-        rows = rows.join(marks.select(F.col("l1").alias(end), F.struct("size", *[f"m{i}" for i in range(MARKS)]).alias(name)), end)
+        rows = rows.join(marks.select(F.col("l1").alias(end), F.struct("most", *[f"m{i}" for i in range(MARKS)]).alias(name)), end)
     return stored(rows.where(_may_match(similarity)).select("a", "b"))
 
 
@@ -325,8 +341,8 @@ def _rest_pairs(members: DataFrame, marks: DataFrame, roots: DataFrame, similari
     similar by its places and their ``marks`` and are not in the same
     component of ``roots`` (node, root)."""
     bits = [f"m{i}" for i in range(MARKS)]
-    crowd = members.where(f"n > {CROWD}").select("key", "l1", "at").join(marks, "l1").select(
-        "key", F.struct("l1", "size", "at", *bits).alias("x"))
+    crowd = members.where(f"n > {CROWD}").select("key", "l1", "size", "at").join(marks, "l1").select(
+        "key", F.struct("l1", "size", "at", "most", *bits).alias("x"))
     apart = stored(crowd.join(roots, F.col("x.l1") == F.col("node"), "left").select(
         "key", "x", F.coalesce("root", "x.l1").alias("root")))
     sizes = apart.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
@@ -342,41 +358,47 @@ def _rest_pairs(members: DataFrame, marks: DataFrame, roots: DataFrame, similari
     return pairs
 
 
-def _links(docs: DataFrame, text: str, rows: DataFrame, similarity: float, lookahead: int, sketch: int,
+def _links(docs: DataFrame, text: str, distinct: DataFrame, similarity: float, lookahead: int, sketch: int,
            width: int | None) -> DataFrame:
-    """Verified (a, b) of distinct lines, a > b."""
-    distinct = stored(rows.groupBy("l1").agg(F.first("signature").alias("signature")).where("size(signature) > 1"))
-    pairs, crowd, behind = _proposals(_keys(distinct))
+    """(a, b) that join the components of the lines (l1, signature) by verified links."""
+    pairs, crowd, behind = _proposals(_keys(distinct, sketch))
     pairs = stored(pairs)
     texts = _texts(docs, text, pairs.select(F.explode(F.array("a", "b")).alias("l1")).distinct())
     marks = stored(_marks(texts, lookahead, width))
     sifted = _sifted(pairs, marks, similarity)
     links = _similar(sifted, texts, similarity, lookahead, width)
-    for t in (distinct, pairs, sifted):
+    for t in (pairs, sifted):
         discard(t)
     if not crowd.isEmpty():
+        # every member of a crowded bucket is in a pair, so its text and its mark are there
         links = _crowd_links(crowd, texts, marks, links, similarity, lookahead, width)
     for t in (texts, marks, *behind):
         discard(t)
     return links
 
 
+def _stars(roots: DataFrame) -> DataFrame:
+    """(a, b): the links of every line to the root of its component."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def _crowd_links(crowd: DataFrame, texts: DataFrame, marks: DataFrame, links: DataFrame, similarity: float,
                  lookahead: int, width: int | None) -> DataFrame:
-    """``links`` and those between lines of crowded buckets (key, l1) that they leave apart."""
-    split = _split_lines(crowd, components(links))
+    """(a, b) that join what ``links`` join and the lines of crowded buckets (key, l1) that they leave apart."""
+    roots = components(links)
+    split = _split_lines(crowd, roots)
     if split.isEmpty():
-        return links
-    # every member of a crowded bucket is in a pair, so its text and its mark are there
+        return _stars(roots)
     members = _crowd_members(texts.join(split.select("l1"), "l1", "left_semi"), similarity, lookahead, width)
     pairs = stored(_crowd_pairs(members, split, similarity))
     sifted = _sifted(pairs, marks, similarity)
-    links = stored(links.unionByName(_similar(sifted, texts, similarity, lookahead, width)))
+    links = _stars(roots).unionByName(_similar(sifted, texts, similarity, lookahead, width))
     discard(pairs)
     discard(sifted)
     if not members.where(f"n > {CROWD}").isEmpty():
-        rest = _rest_pairs(members, marks, components(links), similarity)
-        links = stored(links.unionByName(_similar(rest, texts, similarity, lookahead, width)))
+        roots = components(links)
+        rest = _rest_pairs(members, marks, roots, similarity)
+        links = _stars(roots).unionByName(_similar(rest, texts, similarity, lookahead, width))
         discard(rest)
     discard(members)
     discard(split)
@@ -397,16 +419,21 @@ def line_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     rows = stored(line_signatures(docs.select(*row_key(docs), F.col(id_col).alias("doc"), F.col(text).alias("__text")),
                                   "__text", sketch, lookahead, width))
-    roots = components(_links(docs, text, rows, similarity, lookahead, sketch, width))
-
-    # a line without links is told from another with the same 64 bits by 64 more
-    linked = stored(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()))
-    lines = rows.join(_small(linked, linked.count()), rows.l1 == linked.node, "left").select(
-        "__h1", "__h2", "doc", "pos", F.coalesce("root", "l1").alias("g1"),
+    distinct = stored(rows.groupBy("l1").agg(F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n")))
+    signed = distinct.where("size(signature) > 1").select("l1", "signature")
+    roots = components(_links(docs, text, signed, similarity, lookahead, sketch, width))
+
+    # only lines with links or copies are grouped; one without links is told from another with the same 64 bits by 64 more
+    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    copied = distinct.where("n > 1").select(F.col("l1").alias("node"), F.lit(None).cast("long").alias("root"))
+    grouped = stored(linked.unionByName(copied).groupBy("node").agg(F.max("root").alias("root")))
+    discard(distinct)
+    lines = rows.join(_small(grouped, grouped.count()), rows.l1 == grouped.node, "left").select(
+        "__h1", "__h2", "doc", "pos", F.isnotnull("node").alias("member"), F.coalesce("root", "l1").alias("g1"),
         F.when(F.col("root").isNull(), F.col("l2")).otherwise(F.lit(0)).alias("g2"))
     place = F.struct(F.isnull("doc").alias("nodoc"), F.col("doc"), F.col("__h1").alias("h1"),
                      F.col("__h2").alias("h2"), F.col("pos"))
-    first = lines.groupBy("g1", "g2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = lines.where("member").groupBy("g1", "g2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     first = stored(first.where("n > 1").drop("n"))
     out = lines.join(_small(first, 2 * first.count()), ["g1", "g2"], "left")
     own = F.struct(F.isnull("doc").alias("nodoc"), F.col("doc"), F.col("__h1").alias("h1"),
